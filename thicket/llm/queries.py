@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import OP3_SQL, op3
 from .sharding import op8
+from .warc import OP5_SQL, op5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_chat": op3,
+    "op5_warc": op5,
     "op8_sharding": op8,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_chat": OP3_SQL,
+    "op5_warc": OP5_SQL,
+}
