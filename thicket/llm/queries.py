@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP3_SQL, op3
+from .mixing import op6
 from .sharding import op8
 from .warc import OP5_SQL, op5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3,
     "op5_warc": op5,
+    "op6_mixing": op6,
     "op8_sharding": op8,
 }
 
