@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP3_SQL, op3
 from .mixing import op6
+from .packing import op10
 from .sharding import op8
 from .warc import OP5_SQL, op5
 
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5,
     "op6_mixing": op6,
     "op8_sharding": op8,
+    "op10_packing": op10,
 }
 
 ORACLES: dict[str, str] = {
