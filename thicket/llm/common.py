@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -10,11 +11,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, whatever their working folder."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
     Only where that setting is absent (tests, one machine) a temporary folder takes its place.
     """
+    share_package(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.conf.get("spark.thicket.shared.dir", None)

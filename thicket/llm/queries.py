@@ -10,17 +10,22 @@ from .chat import OP3_SQL, op3
 from .mixing import op6
 from .packing import op10
 from .sharding import op8
+from .simhash import op9
+from .vptree import OP7_SQL, op7
 from .warc import OP5_SQL, op5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3,
     "op5_warc": op5,
     "op6_mixing": op6,
+    "op7_nearest": op7,
     "op8_sharding": op8,
+    "op9_simhash": op9,
     "op10_packing": op10,
 }
 
 ORACLES: dict[str, str] = {
     "op3_chat": OP3_SQL,
     "op5_warc": OP5_SQL,
+    "op7_nearest": OP7_SQL,
 }
