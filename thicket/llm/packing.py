@@ -22,14 +22,21 @@ from .common import materialize
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, part long, open boolean"
 NAMES = [x.split()[0] for x in PIECE.split(", ")]
 _ODD = re.compile("[\x1c-\x1f]")  # str.split() takes these for white space, the tokenizer does not
-_MARK = "0"
 
 
-class WordTokenizer:
+def _byte_letters() -> list[str]:
+    """The character by which a byte-level vocabulary writes each byte: itself where it prints, else one from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in prints else next(others)) for b in range(256)]
+
+
+class WordTokenizer(dict):
     """Ids of whole texts as little-endian unsigned 32-bit bytes, for a tokenizer that drops white space.
 
-    Such a tokenizer never joins what white space separates, so each word is encoded once and remembered; new
-    words are encoded together, with a digit (a token of its own) between them. At most ``most`` words are kept.
+    Such a tokenizer never joins what white space separates, so each word is encoded once and kept here, at most
+    ``most`` words and as many stems (a word in lower case without a full stop or comma at its end). A stem of
+    Latin letters goes to the vocabulary's merges at once; other words take the tokenizer's whole way.
     """
 
     def __init__(self, path: str, most: int = 300_000):
@@ -37,38 +44,33 @@ class WordTokenizer:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # such strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-        self.most = most
-        self.mark = self._direct(_MARK)
+        self.merges, self.letters, self.most = self.model.model, _byte_letters(), most
+        self.stems: dict[str, bytes] = {}
+        self.ends = {c: self.direct(c) for c in ".,"}
 
-    def _direct(self, text: str) -> bytes:
+    def direct(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        plain = [w for w in words if _MARK not in w]
-        new = {w: self._direct(w) for w in words if _MARK in w}
-        mark = int(np.frombuffer(self.mark, dtype="<u4")[0])
-        for k in range(0, len(plain), 5000):
-            some = plain[k : k + 5000]
-            ids = np.array(self.model.encode(f" {_MARK} ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            edges = np.flatnonzero(ids == mark)
-            begin = np.concatenate([[0], edges + 1]).tolist()
-            end = np.concatenate([edges, [len(ids)]]).tolist()
-            data = ids.tobytes()
-            new |= {w: data[4 * b : 4 * e] for w, b, e in zip(some, begin, end, strict=True)}
-        return new
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) else t.split() for t in texts]
-        new = {w for words in split if words for w in words}
-        new.difference_update(self.known)
-        if len(self.known) + len(new) > self.most:
-            self.known = {}
-            new = {w for words in split if words for w in words}
-        if new:
-            self.known |= self._learn(list(new))
-        known = self.known
-        return [self._direct(t) if words is None else b"".join([known[w] for w in words]) for t, words in zip(texts, split, strict=True)]
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        stem, end = word.lower(), b""
+        if stem[-1] in self.ends and stem[-2:-1].isalpha():
+            stem, end = stem[:-1], self.ends[stem[-1]]
+        ids = self.stems.get(stem)
+        if ids is None:
+            if len(self.stems) >= self.most:
+                self.stems.clear()
+            if not stem.isalpha() or max(stem) >= "\u0250":
+                out = self[word] = self.direct(word)
+                return out
+            mapped = stem if stem.isascii() else "".join([self.letters[b] for b in stem.encode()])
+            ids = self.stems[stem] = np.array([t.id for t in self.merges.tokenize(mapped)], dtype="<u4").tobytes()
+        out = self[word] = ids + end
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.direct(text) if _ODD.search(text) else b"".join(map(self.__getitem__, text.split()))
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -185,8 +187,8 @@ def _tokenize_and_pack(path: str | None, end_id: int, size: int, windows: int, g
                 while to < len(texts) and (to == at or chars < 4_000_000):
                     chars += len(texts[to])
                     to += 1
-                for doc, ids in zip(docs[at:to], model.encode(texts[at:to]), strict=True):
-                    ids += end
+                for doc, text in zip(docs[at:to], texts[at:to], strict=True):
+                    ids = model.encode(text) + end
                     packer.add(doc, 0, ids, len(ids) // 4)
                 for window in packer.taken():
                     rows.put(window, False)
