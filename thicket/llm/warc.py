@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path
+from .common import fresh_path, materialize
 
 CRLF = "\r\n"
 MIN_REVISIT = 1000
@@ -62,6 +62,7 @@ def warc_records(df: DataFrame, key: str = "page_id", url: str = "url", html: st
         .where("copies > 1")
         .select("digest", "head")
     )
+    heads = materialize(heads, "warc-heads")  # its size is known then: Spark broadcasts it, or sorts both sides
     rows = base.join(heads, "digest", "left").withColumn("revisit", F.coalesce(F.col("head.row") != F.col("row"), F.lit(False)))
     http = F.concat(_bytes("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + CRLF))
     block = F.when(F.col("revisit"), F.concat(http, _bytes("Content-Length: "), F.col("n").cast("string").cast("binary"), _bytes(CRLF * 2))).otherwise(
@@ -239,7 +240,7 @@ def op5(spark, sf_dir: str) -> DataFrame:
     write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     records = read_warc(spark, path).where("problem is null")
     digests = records.select("id", "type", "page_id", "refers_id", "payload_bytes", F.when(F.col("type") == "revisit", F.col("digest")).otherwise(F.sha1("payload")).alias("payload_digest"))
-    return resolve_revisits(digests).select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+    return resolve_revisits(materialize(digests, "warc-read")).select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
 OP5_SQL = """
