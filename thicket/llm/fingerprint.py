@@ -8,12 +8,15 @@ sum(min(w)) / sum(max(w)) of their words. Terms are lower-case words, weighted b
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SPLIT = r"[\x09-\x0D\x20]+"
-EACH = 8  # samples computed side by side; more would make methods that the JVM does not compile
+EACH = 2  # samples computed side by side; more would make a method that the JVM does not compile
+CELLS = 1024  # of the quantile tables
+LOW32 = 4294967295
 
 
 def words(text: Column) -> Column:
@@ -22,54 +25,78 @@ def words(text: Column) -> Column:
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("")))
 
 
-def _uniform(bits: str) -> str:
-    """32 bits as a double inside (0, 1)."""
-    return f"((({bits}) & 4294967295L) + 0.5D) * {2.0 ** -32!r}D"
+def gamma_quantiles(p: np.ndarray) -> np.ndarray:
+    """Where the distribution function of Gamma(2, 1), 1 - exp(-x) (1 + x), reaches ``p``: bisection."""
+    lo, hi = np.zeros_like(p), np.full_like(p, 64.0)
+    for _ in range(80):
+        mid = (lo + hi) / 2
+        below = -np.expm1(-mid) - mid * np.exp(-mid) < p
+        lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
+    return (lo + hi) / 2
 
 
-def signatures(df: DataFrame, keys: list[str], texts: dict[str, Column], samples: int = 64) -> DataFrame:
-    """``keys`` (which tell the rows of ``df`` apart, none null) and, for each of ``texts``, an array of ``samples``
-    longs below 2**32 under its name.
+def _tables() -> tuple[list[float], list[float]]:
+    """Cell edges of r and of ln c over a uniform: CELLS cells, then CELLS finer ones that stand for the 1/64 of all
+    draws in which r is large, or c small (there lie the samples that win)."""
+    edge = np.arange(CELLS + 1) / CELLS
+    inside = 1e-9 + edge * (1 - 2e-9)
+    r = np.concatenate([gamma_quantiles(inside), gamma_quantiles(np.minimum(1 - (1 - edge) / 64, 1 - 1e-9))])
+    c = np.concatenate([gamma_quantiles(inside), gamma_quantiles(np.maximum(edge / 64, 1e-9))])
+    return r.tolist(), np.log(c).tolist()
+
+
+def _draw(table: str, bits: str, fine: str) -> str:
+    """SQL for a value of ``table`` at 32 random ``bits``: linear inside a cell; ``fine`` says when the finer cells hold."""
+    top = f"shiftright({bits}, 22)"
+    at = f"if({fine.format(top=top)}, {CELLS + 1} + (shiftright({bits}, 16) & {CELLS - 1}), {top})"
+    part = f"if({fine.format(top=top)}, ({bits} & 65535) / 65536D, ({bits} & 4194303) / 4194304D)"
+    low, high = f"{table}[cast({at} as int)]", f"{table}[cast({at} as int) + 1]"
+    return f"{low} + ({high} - {low}) * ({part})"
+
+
+def signatures(df: DataFrame, keys: list[str], texts: dict[str, Column], carry: list[str], samples: int = 64) -> DataFrame:
+    """``keys`` (which tell the rows of ``df`` apart, none null), the longs ``carry``, and for each of ``texts`` an array
+    of ``samples`` longs below 2**32 under its name.
 
     If ``df`` is partitioned by one of ``keys``, no row is exchanged: words are counted, sampled and reduced in
-    the task that has the text. Weights are exact counts over whole texts.
+    the task that has the text. Weights are exact counts over whole texts. What is carried travels as rows
+    of one value beside the words, so that the grouping keys stay few.
     """
     if samples % EACH:
         raise ValueError(f"samples must be a multiple of {EACH}")
-    names = list(texts)
-    each = F.array(*[F.struct(F.lit(k).alias("kind"), words(texts[n]).alias("words")) for k, n in enumerate(names)])
-    terms = df.select(*keys, F.explode(each).alias("t")).select(*keys, F.col("t.kind").alias("kind"), F.explode("t.words").alias("word"))
-    counted = terms.groupBy(*keys, F.xxhash64("word").alias("term")).agg(*[F.count_if(F.col("kind") == k).alias(f"w{k}") for k in range(len(names))])
+    names, groups = list(texts), samples // EACH
+    each = [F.struct(F.lit(k).alias("kind"), F.lit(0).alias("slot"), words(texts[n]).alias("words")) for k, n in enumerate(names)]
+    each += [F.struct(F.lit(-1).alias("kind"), F.lit(k + 1).alias("slot"), F.array(F.col(c).cast("string")).alias("words")) for k, c in enumerate(carry)]
+    terms = df.select(*keys, F.explode(F.array(*each)).alias("t")).select(*keys, F.col("t.kind").alias("kind"), F.col("t.slot").alias("slot"), F.explode("t.words").alias("word"))
+    term = F.when(F.col("slot") == 0, F.xxhash64("word")).otherwise(F.col("word").cast("long"))
+    counted = terms.groupBy(*keys, "slot", term.alias("term")).agg(*[F.count_if(F.col("kind") == k).alias(f"w{k}") for k in range(len(names))])
     logs = [F.ln(F.col(f"w{k}").cast("double")).alias(f"l{k}") for k in range(len(names))]  # null where the text has no such term
-    spread = counted.select(*keys, "term", *logs, F.explode(F.array(*[F.lit(g) for g in range(samples // EACH)])).alias("g"))
+    own = F.when(F.col("slot") == 0, F.array(*[F.lit(g) for g in range(groups)])).otherwise(F.array(F.lit(groups - 1) + F.col("slot")))
+    spread = counted.select(*keys, "slot", "term", *logs, F.explode(own).alias("g"))
     hashed = spread.select("*", *[F.expr(f"xxhash64(term, g, {j})").alias(f"h{j}") for j in range(EACH)])
-    hashed = hashed.select("*", *[F.expr(f"xxhash64(h{j})").alias(f"i{j}") for j in range(EACH)])
-    hashed = hashed.select("*", *[F.expr(f"xxhash64(i{j})").alias(f"k{j}") for j in range(EACH)])
+    hashed = hashed.select("*", *[F.expr(f"xxhash64(h{j})").alias(f"k{j}") for j in range(EACH)])
+    r_table, c_table = (f"from_json('{t}', 'array<double>')" for t in _tables())
     drawn = hashed.select(
         *keys,
         "g",
+        "slot",
+        "term",
         *[f"l{k}" for k in range(len(names))],
-        *[F.expr(f"-ln(({_uniform(f'h{j}')}) * ({_uniform(f'shiftrightunsigned(h{j}, 32)')}))").alias(f"r{j}") for j in range(EACH)],
-        *[F.expr(f"ln(-ln(({_uniform(f'i{j}')}) * ({_uniform(f'shiftrightunsigned(i{j}, 32)')})))").alias(f"c{j}") for j in range(EACH)],
-        *[F.expr(_uniform(f"shiftrightunsigned(k{j}, 32)")).alias(f"b{j}") for j in range(EACH)],
-        *[F.expr(f"k{j} & 4294967295L").alias(f"k{j}") for j in range(EACH)],
+        *[F.expr(_draw(r_table, f"(h{j} & {LOW32})", f"{{top}} >= {CELLS - CELLS // 64}")).alias(f"r{j}") for j in range(EACH)],
+        *[F.expr(_draw(c_table, f"shiftrightunsigned(h{j}, 32)", f"{{top}} < {CELLS // 64}")).alias(f"c{j}") for j in range(EACH)],
+        *[F.expr(f"shiftrightunsigned(k{j}, 32) * {2.0**-32!r}D").alias(f"b{j}") for j in range(EACH)],
+        *[F.expr(f"k{j} & {LOW32}").alias(f"k{j}") for j in range(EACH)],
     )
     pairs = [(k, j) for k in range(len(names)) for j in range(EACH)]
     placed = drawn.select("*", *[F.expr(f"floor(l{k} / r{j} + b{j})").alias(f"t{k}_{j}") for k, j in pairs])
     # one long: 31 bits of log a, which is above -128, then 32 bits that name the term and its grid point
-    scored = placed.select(
-        *keys,
-        "g",
-        *[
-            F.expr(f"shiftleft(cast((c{j} - r{j} * (t{k}_{j} - b{j}) - r{j} + 128D) * 8388608D as bigint), 32) | ((k{j} + t{k}_{j} * 2654435761L) & 4294967295L)").alias(f"s{k}_{j}")
-            for k, j in pairs
-        ],
-    )
+    score = "shiftleft(cast((c{j} - r{j} * (t{k}_{j} - b{j}) - r{j} + 128D) * 8388608D as bigint), 32) | ((k{j} + t{k}_{j} * 2654435761L) & 4294967295L)"
+    scored = placed.select(*keys, "g", *[F.expr(f"if(slot = 0, {score.format(k=k, j=j)}, term)").alias(f"s{k}_{j}") for k, j in pairs])
     least = scored.groupBy(*keys, "g").agg(*[F.min(f"s{k}_{j}").alias(f"s{k}_{j}") for k, j in pairs])
     parts = F.struct("g", *[F.array(*[F.col(f"s{k}_{j}") for j in range(EACH)]).alias(f"p{k}") for k in range(len(names))])
     whole = least.groupBy(*keys).agg(F.array_sort(F.collect_list(parts)).alias("parts"))
-    flat = [F.transform(F.flatten(F.col(f"parts.p{k}")), lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF))).alias(n) for k, n in enumerate(names)]
-    return whole.select(*keys, *flat)
+    signed = [F.transform(F.flatten(F.slice(F.col(f"parts.p{k}"), 1, groups)), lambda x: x.bitwiseAND(F.lit(LOW32))).alias(n) for k, n in enumerate(names)]
+    return whole.select(*keys, *[F.col("parts.p0")[groups + k][0].alias(c) for k, c in enumerate(carry)], *signed)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -130,11 +157,11 @@ def fingerprints_with_next(df: DataFrame, key: str = "doc_id", text: str = "text
     edited = F.concat(F.left("text", F.col("n_chars").cast("int") - half), F.left("next", half))
     near = near.withColumn("edited", edited).withColumn("sha", F.sha2(F.col("edited").cast("binary"), 256))
     digest = [F.conv(F.substring("sha", 16 * k + 1, 16), 16, -10).cast("long").alias(f"sha{k}") for k in range(4)]
-    near = near.select("bucket", "turn", "extra", "doc_id", "n_chars", *digest, "text", "edited")
-    keys = ["bucket", "turn", "extra", "doc_id", "n_chars", *[f"sha{k}" for k in range(4)]]
-    signed = signatures(near, keys, {"signature": F.col("text"), "edited_signature": F.col("edited")}, samples)
+    near = near.select("bucket", "turn", F.col("extra").cast("long").alias("extra"), "doc_id", "n_chars", *digest, "text", "edited")
+    carry = ["extra", "doc_id", "n_chars", *[f"sha{k}" for k in range(4)]]
+    signed = signatures(near, ["bucket", "turn"], {"signature": F.col("text"), "edited_signature": F.col("edited")}, carry, samples)
     after = F.lead("signature").over(Window.partitionBy("bucket").orderBy("turn"))
-    return signed.withColumn("next_signature", after).where("not extra").select(
+    return signed.withColumn("next_signature", after).where("extra = 0").select(
         "doc_id",
         "n_chars",
         F.concat(*[F.lower(F.lpad(F.hex(f"sha{k}"), 16, "0")) for k in range(4)]).alias("edited_sha256"),

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP3_SQL, op3
+from .fingerprint import op4
 from .mixing import op6
 from .packing import op10
 from .sharding import op8
@@ -16,6 +17,7 @@ from .warc import OP5_SQL, op5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3,
+    "op4_fingerprints": op4,
     "op5_warc": op5,
     "op6_mixing": op6,
     "op7_nearest": op7,
