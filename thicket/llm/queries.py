@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP3_SQL, op3
 from .fingerprint import op4
+from .langid import op1
 from .mixing import op6
 from .packing import op10
+from .quality import op2
 from .sharding import op8
 from .simhash import op9
 from .vptree import OP7_SQL, op7
 from .warc import OP5_SQL, op5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1,
+    "op2_quality": op2,
     "op3_chat": op3,
     "op4_fingerprints": op4,
     "op5_warc": op5,
