@@ -9,6 +9,7 @@ by block index.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -181,6 +182,52 @@ def taken_words(mixed: Mix) -> DataFrame:
     return mixed.documents.join(uses, "doc_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
 
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _cut(columns: list[str], text: str, taken: str, spans: str):
+    """For mapInPandas: each document's text cut to the words in its spans (start, words), runs on lines of their own."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = []
+            for whole, n, some in zip(batch[text], batch[taken], batch[spans], strict=True):
+                runs: list[list[int]] = []
+                for start, words in sorted((int(x["start"]), int(x["words"])) for x in some):
+                    if runs and runs[-1][1] == start:
+                        runs[-1][1] += words
+                    else:
+                        runs.append([start, start + words])
+                if runs == [[0, int(n)]]:
+                    texts.append(whole)
+                    continue
+                at = [m.span() for m in _WORD.finditer(whole)]
+                texts.append("\n".join(whole[at[a][0] : at[b - 1][1]] for a, b in runs))
+            yield batch[columns].assign(**{text: texts})
+
+    return run
+
+
+def mix_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The mix as documents: a row of ``df``'s columns for each document and use, with the words taken in that use.
+
+    A document whose blocks are used twice comes twice; one that is used in part comes with that part of its text.
+    Rows that repeat a key and a text are told apart by number. Documents without words are not in a mix.
+    """
+    mixed = mix(df, key, text, source, **options)
+    uses = mixed.spans().groupBy("doc_row", "epoch").agg(F.collect_list(F.struct("start", "words")).alias("spans"))
+    same = Window.partitionBy("doc", "h2").orderBy("doc_row")
+    rows = mixed.documents.where("size > 0").select("doc", "h2", "doc_row", "size", F.row_number().over(same).alias("copy"))
+    uses = rows.join(uses, "doc_row").select("doc", "h2", "copy", "size", "spans")
+    names = [free_name(df, x) for x in ("mix_h", "mix_copy", "mix_size", "mix_spans")]
+    h, copy, size, spans = names
+    own = df.withColumn(h, F.xxhash64(F.col(text)))
+    own = own.withColumn(copy, F.row_number().over(Window.partitionBy(key, h).orderBy(F.lit(0))))
+    uses = uses.select(F.col("doc").alias("mix_doc__"), F.col("h2").alias("mix_h__"), F.col("copy").alias("mix_copy__"), F.col("size").alias(size), F.col("spans").alias(spans))
+    met = own.join(uses, F.col(key).eqNullSafe(F.col("mix_doc__")) & (F.col(h) == F.col("mix_h__")) & (F.col(copy) == F.col("mix_copy__")))
+    return met.select(*df.columns, size, spans).mapInPandas(_cut(df.columns, text, size, spans), df.schema)
+
+
 def op6(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     return taken_words(mix(docs)).select(F.col("doc").alias("doc_id"), "size", F.col("source_size").cast("long").alias("source_size"), "target", "taken")
