@@ -1 +1 @@
-"""."""
+"""Column functions (native expressions) and the numeric kernels behind the Arrow UDFs."""
