@@ -286,7 +286,11 @@ def newton_step(beta: np.ndarray, labels: np.ndarray, features: np.ndarray, ridg
     then 2.1 r + 0.9 r. Without, each is added to the bare matrix.
     """
     p = logistic(features @ beta)
-    score, info = features.T @ (labels - p), (features * (p * (1 - p))[:, None]).T @ features
+    return newton_sums(features.T @ (labels - p), (features * (p * (1 - p))[:, None]).T @ features, ridge, accumulate)
+
+
+def newton_sums(score: np.ndarray, info: np.ndarray, ridge: float, accumulate: bool = True) -> np.ndarray:
+    """``newton_step`` from the score and the information matrix."""
     held = 0.0
 
     def solved(r: float) -> np.ndarray:
