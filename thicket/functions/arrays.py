@@ -12,6 +12,11 @@ def _c(x) -> Column:
     return x if isinstance(x, Column) else F.col(x)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once. Inside a lambda an expression is computed for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _indices(size: Column) -> Column:
     return F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
 
@@ -30,13 +35,11 @@ def fill_forward(series, bad: Callable[[Column], Column] | float | None, default
 
 def running(series, pick: Callable[..., Column]) -> Column:
     """Prefix maxima (``F.array_max``), minima (``F.array_min``) or any reduction of prefixes."""
-    s = _c(series)
-    return F.transform(s, lambda x, i: pick(F.slice(s, 1, i + 1)))
+    return let(_c(series), lambda s: F.transform(s, lambda x, i: pick(F.slice(s, 1, i + 1))))
 
 
 def running_sum(series) -> Column:
-    s = _c(series)
-    return F.transform(s, lambda x, i: F.aggregate(F.slice(s, 1, i + 1), F.lit(0.0), lambda a, y: a + y))
+    return let(_c(series), lambda s: F.transform(s, lambda x, i: total(F.slice(s, 1, i + 1))))
 
 
 def total(series) -> Column:
@@ -44,24 +47,25 @@ def total(series) -> Column:
 
 
 def average(series) -> Column:
-    return total(series) / F.size(_c(series))
+    return let(_c(series), lambda s: total(s) / F.size(s))
 
 
 def moving_average(series, window: int) -> Column:
     """Means of all whole windows: size - window + 1 values."""
-    s = _c(series)
-    return F.transform(_indices(F.size(s) - (window - 1)), lambda i: average(F.slice(s, i, window)))
+    return let(_c(series), lambda s: F.transform(_indices(F.size(s) - (window - 1)), lambda i: average(F.slice(s, i, window))))
 
 
 def trailing_average(series, window: int) -> Column:
     """Means of up to ``window`` values that end at each; every mean is rounded to 32 bits."""
-    s = _c(series)
-    return F.transform(s, lambda x, i: average(F.slice(s, F.greatest(i + 2 - window, F.lit(1)), F.least(F.lit(window), i + 1))).cast("float").cast("double"))
+
+    def mean(s: Column, i: Column) -> Column:
+        return average(F.slice(s, F.greatest(i + 2 - window, F.lit(1)), F.least(F.lit(window), i + 1))).cast("float").cast("double")
+
+    return let(_c(series), lambda s: F.transform(s, lambda x, i: mean(s, i)))
 
 
 def windows(series, size: int) -> Column:
-    s = _c(series)
-    return F.transform(_indices(F.size(s) - (size - 1)), lambda i: F.slice(s, i, size))
+    return let(_c(series), lambda s: F.transform(_indices(F.size(s) - (size - 1)), lambda i: F.slice(s, i, size)))
 
 
 def round_half_up(x: Column) -> Column:
@@ -141,7 +145,7 @@ def expand_sparse(entries, start, length, fill) -> Column:
     """An array of (idx, value) structs as a dense series of ``length`` from ``start``; indices are distinct, and those
     outside do not count."""
     m = F.map_from_entries(F.filter(_c(entries), lambda e: (e["idx"] >= start) & (e["idx"] < start + length)))
-    return F.transform(F.sequence(_lit(start), _lit(start) + _lit(length) - 1), lambda p: F.coalesce(F.try_element_at(m, p), F.lit(fill)))
+    return let(m, lambda held: F.transform(F.sequence(_lit(start), _lit(start) + _lit(length) - 1), lambda p: F.coalesce(F.try_element_at(held, p), F.lit(fill))))
 
 
 def _lit(x) -> Column:
@@ -155,8 +159,7 @@ def pad_with_last(series, size) -> Column:
 
 def prefixes(series, first, last) -> Column:
     """Prefixes of lengths first .. last, padded with the last value."""
-    s = _c(series)
-    return F.transform(F.sequence(_lit(first), _lit(last)), lambda n: pad_with_last(F.slice(s, 1, F.least(n, F.size(s))), n))
+    return let(_c(series), lambda s: F.transform(F.sequence(_lit(first), _lit(last)), lambda n: pad_with_last(F.slice(s, 1, F.least(n, F.size(s))), n)))
 
 
 def mask(flags, series, test: Callable[[Column], Column]) -> Column:
@@ -199,8 +202,7 @@ def rest(series) -> Column:
 
 def revolve(series) -> Column:
     """All rotations."""
-    s = _c(series)
-    return F.transform(s, lambda x, i: F.concat(F.slice(s, i + 1, F.size(s)), F.slice(s, 1, i)))
+    return let(_c(series), lambda s: F.transform(s, lambda x, i: F.concat(F.slice(s, i + 1, F.size(s)), F.slice(s, 1, i))))
 
 
 def outer_product(a, b) -> Column:
@@ -259,7 +261,7 @@ def stretch(start, series, from_res: str, to_res: str, aligned: bool = False) ->
     end = P.shift_resolution(at + F.size(s), from_res, to_res)
     offset = P.date_offset(to_res, first, from_res, at)
 
-    def mean(p: Column) -> Column:
+    def mean(days: Column, p: Column) -> Column:
         begun = F.datediff(P.period_start(p, to_res), P.period_start(first, to_res))
         span = P.period_span(p, to_res)
         if aligned:
@@ -268,5 +270,6 @@ def stretch(start, series, from_res: str, to_res: str, aligned: bool = False) ->
             lo, hi = begun + offset, F.least(begun + offset + span, F.size(days))
         return F.when(hi > lo, average(F.slice(days, lo + 1, F.greatest(hi - lo, F.lit(0)))).cast("float").cast("double"))
 
-    means = F.transform(F.when(end > first, F.sequence(first, end - 1)).otherwise(F.array().cast("array<int>")), mean)
+    new = F.when(end > first, F.sequence(first, end - 1)).otherwise(F.array().cast("array<int>"))
+    means = let(days, lambda held: F.transform(new, lambda p: mean(held, p)))
     return F.struct(first.alias("start"), F.filter(means, lambda x: x.isNotNull()).alias("series"))

@@ -149,9 +149,13 @@ def series_to_map(start, series) -> Column:
 
 def map_to_series(periods, fill) -> Column:
     """The values of a map by period from the least to the greatest, holes filled."""
-    m = _c(periods)
-    keys = F.map_keys(m)
-    return F.transform(F.sequence(F.array_min(keys), F.array_max(keys)), lambda p: F.coalesce(F.try_element_at(m, p), F.lit(fill)))
+    from .arrays import let
+
+    def dense(m: Column) -> Column:
+        keys = F.map_keys(m)
+        return F.transform(F.sequence(F.array_min(keys), F.array_max(keys)), lambda p: F.coalesce(F.try_element_at(m, p), F.lit(fill)))
+
+    return let(_c(periods), dense)
 
 
 def map_start(periods) -> Column:

@@ -73,8 +73,8 @@ def window_stat(df: DataFrame, keys: list[str], value: str, radius: int = 1) ->
     """Count, mean, least and greatest value of the (2 radius + 1)**2 block around each pixel, itself included."""
     span = range(-radius, radius + 1)
     at = F.explode(F.array(*[F.struct(F.lit(dl).alias("dl"), F.lit(ds).alias("ds")) for dl in span for ds in span]))
-    sent = df.select(*keys, "sample", "line", F.col(value).alias("v"), at.alias("o"))
-    met = sent.select(*keys, (F.col("sample") - F.col("o.ds")).alias("sample"), (F.col("line") - F.col("o.dl")).alias("line"), "v", ((F.col("o.ds") == 0) & (F.col("o.dl") == 0)).alias("own"))
+    sent = df.select(*keys, "sample", "line", F.col(value).alias("value__"), at.alias("o"))
+    met = sent.select(*keys, (F.col("sample") - F.col("o.ds")).alias("sample"), (F.col("line") - F.col("o.dl")).alias("line"), "value__", ((F.col("o.ds") == 0) & (F.col("o.dl") == 0)).alias("own"))
     return met.groupBy(*keys, "sample", "line").agg(
-        F.count("v").alias("n"), F.avg("v").alias("avg_value"), F.min("v").alias("min_value"), F.max("v").alias("max_value"), F.max("own").alias("own")
+        F.count("value__").alias("n"), F.avg("value__").alias("avg_value"), F.min("value__").alias("min_value"), F.max("value__").alias("max_value"), F.max("own").alias("own")
     ).where("own").drop("own")

@@ -11,6 +11,12 @@ from ..functions import periods as P
 from ..schema import KEYS, NODATA, fire
 
 
+def _looked_up(entries: str, periods: Column, field: str, fill) -> Column:
+    """A field of a map's structs at each period, holes filled."""
+    other = fill if isinstance(fill, Column) else F.lit(fill)
+    return F.transform(periods, lambda p: F.coalesce(F.try_element_at(entries, p)[field], other))
+
+
 def to_series(df: DataFrame, keys: list[str], period: str, values: list[str], fill, start=None, end=None) -> DataFrame:
     """One row for each key: ``start_idx`` and a dense array for each of ``values``, holes filled.
 
@@ -26,7 +32,7 @@ def to_series(df: DataFrame, keys: list[str], period: str, values: list[str], fi
     packed = once.groupBy(*keys).agg(F.min("p__").alias("lo__"), F.max("p__").alias("hi__"), F.map_from_entries(F.collect_list(F.struct("p__", F.struct(*values)))).alias("m__"))
     lo = F.lit(start) if start is not None else F.col("lo__")
     hi = F.lit(end) if end is not None else F.col("hi__")
-    series = [F.transform(F.sequence(lo, hi), lambda p, v=v: F.coalesce(F.try_element_at("m__", p)[v], fill if isinstance(fill, Column) else F.lit(fill))).alias(v) for v in values]
+    series = [_looked_up("m__", F.sequence(lo, hi), v, fill).alias(v) for v in values]
     return packed.select(*keys, lo.cast("int").alias("start_idx"), *series)
 
 
@@ -39,8 +45,12 @@ def sparse_windows(df: DataFrame, keys: list[str], width: int, height: int, valu
     """Pixels as row-major windows: ``win_col, win_row, data``."""
     at = (F.col("line") % height) * width + F.col("sample") % width
     placed = df.select(*keys, F.floor(F.col("sample") / width).cast("int").alias("win_col"), F.floor(F.col("line") / height).cast("int").alias("win_row"), at.cast("int").alias("at"), value)
-    out = to_series(placed, [*keys, "win_col", "win_row"], "at", [value], fill, 0, width * height - 1)
-    return out.select(*keys, "win_col", "win_row", F.col(value).alias("data"))
+    once = placed.groupBy(*keys, "win_col", "win_row", "at").agg(F.max(value).alias("val__"))
+    packed = once.groupBy(*keys, "win_col", "win_row").agg(F.array_sort(F.collect_list(F.struct("at", "val__"))).alias("e__"))
+    full = F.transform("e__", lambda e: e["val__"])  # a full window needs no look-up
+    m = F.map_from_entries("e__")
+    sparse = A.let(m, lambda held: F.transform(F.sequence(F.lit(0), F.lit(width * height - 1)), lambda p: F.coalesce(F.try_element_at(held, p), F.lit(fill))))
+    return packed.select(*keys, "win_col", "win_row", F.when(F.size("e__") == width * height, full).otherwise(sparse).alias("data"))
 
 
 def to_chunks(df: DataFrame, keys: list[str], s_res: str, chunk_size: int, value: str = "val", fill=int(NODATA)) -> DataFrame:
@@ -117,7 +127,7 @@ def overlay_versions(df: DataFrame, keys: list[str], series: list[str], consecut
     if consecutive:
         gap = F.raise_error(F.lit("versions leave a gap")).cast("int")
         whole = whole.withColumn("lo", F.when(F.size("m") == F.col("hi") - F.col("lo") + 1, F.col("lo")).otherwise(gap))
-    fields = [F.transform(F.sequence("lo", "hi"), lambda p, s=s: F.coalesce(F.try_element_at("m", p)[s], F.lit(nodata))).alias(s) for s in series]
+    fields = [_looked_up("m", F.sequence("lo", "hi"), s, nodata).alias(s) for s in series]
     return whole.select(*keys, F.col("lo").alias("start_idx"), *fields)
 
 

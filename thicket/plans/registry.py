@@ -2,5 +2,444 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import arrays as A
+from ..functions import geo as G
+from ..functions import periods as P
+from ..operators import classify, exports, neighbors, pixels, series, trends
+from ..schema import KEYS, RunParams, pixel_value
+from ..sources import grids, rain, tiles
+from . import virtual as V
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+LAT, LON = V.latlon()
+
+
+def query(sql: str | None = None):
+    """Registers a function of (spark, sf_dir) under its name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _k(df: DataFrame) -> DataFrame:
+    """The supplier back from its pixel."""
+    return df.withColumn("k", (F.col("line") * 10 + F.col("sample")).cast("long"))
+
+
+def _text(column: str):
+    return F.array_join(F.transform(column, lambda x: x.cast("string")), ",")
+
+
+# --- exports ---
+
+
+@query(f"WITH {V.CLEAN}, {V.HITS}, m AS (SELECT iso, {V.p32(V.start16('period'))} AS p FROM hits) SELECT iso, CAST(p - 360 AS INTEGER) AS cdm_period, CAST(make_date(CAST(1970 + p // 12 AS BIGINT), CAST(p % 12 + 1 AS BIGINT), 1) AS VARCHAR) AS date, count(*) AS count FROM m GROUP BY iso, p")
+def country_stats(spark: SparkSession, d: str) -> DataFrame:
+    return exports.country_stats(V.probabilities(spark, d), V.admin(spark, d), 50, "16", "32")
+
+
+_X, _Y = V.tile("lat", "lon", 17)
+_TILES = f"{V.CLEAN}, {V.HITS}, placed AS (SELECT {LAT} AS lat, {LON} AS lon, {V.p32(V.start16('period'))} - 360 AS p FROM hits), tiles AS (SELECT {_X} AS x, {_Y} AS y, 17 AS z, CAST(min(p) AS INTEGER) AS period FROM placed GROUP BY 1, 2)"
+_ZOOMS = f"{_TILES}, lv AS (SELECT x, y, period, unnest(range(7, 18)) AS zz FROM tiles), zooms AS (SELECT x // (1::BIGINT << (17 - zz)) AS x, y // (1::BIGINT << (17 - zz)) AS y, CAST(zz AS INTEGER) AS z, period, count(*) AS count FROM lv GROUP BY 1, 2, 3, 4)"
+
+
+@query(f"WITH {_TILES} SELECT x, y, z, period FROM tiles")
+def map_tiles(spark, d):
+    return exports.map_tiles(V.probabilities(spark, d), V.admin(spark, d), V.RES, 17, "16", "32", 50)
+
+
+@query(f"WITH {_ZOOMS} SELECT x, y, z, period, count FROM zooms")
+def all_zooms(spark, d):
+    return exports.all_zooms(map_tiles(spark, d), 7)
+
+
+@query(f"""WITH {_ZOOMS} SELECT x, y, z, '"{{' || string_agg(CAST(period AS VARCHAR), ',' ORDER BY period) || '}}"' AS periods, '"{{' || string_agg(CAST(count AS VARCHAR), ',' ORDER BY period) || '}}"' AS counts FROM zooms GROUP BY x, y, z""")
+def website(spark, d):
+    return exports.website(V.probabilities(spark, d), V.admin(spark, d), V.RES, 17, 7, "16", "32", 50)
+
+
+@query(f"WITH {V.CLEAN}, {V.HITS} SELECT iso, CAST({V.p32(V.start16('period'))} - 360 AS INTEGER) AS period, count(*) AS count FROM hits GROUP BY 1, 2")
+def spark_graph(spark, d):
+    return exports.spark_graph(exports.spark_hits(V.probabilities(spark, d), V.admin(spark, d), 50, "16", "32"))
+
+
+@query(f"WITH {V.CLEAN}, {V.HITS} SELECT DISTINCT printf('%.8f', {LAT}) AS lat, printf('%.8f', {LON}) AS lon, iso, gadm2, CAST({V.start16('period')} AS VARCHAR) AS date FROM hits")
+def download(spark, d):
+    return exports.download(V.probabilities(spark, d), V.admin(spark, d), V.RES, 50, "16")
+
+
+_CLEANS = f"{V.CLEAN}, cs AS (SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY period) AS clean FROM clean GROUP BY k)"
+
+
+@query(f"WITH {_CLEANS} SELECT c.k, round({V.latlon('c.k')[0]}, 6) AS lat, round({V.latlon('c.k')[1]}, 6) AS lon, n_name AS iso, CAST(s_suppkey * 37 % 100 AS INTEGER) AS vcf, CAST(s_acctbal > 5000 AS INTEGER) AS hansen, clean FROM cs c JOIN supplier ON s_suppkey = c.k JOIN nation ON n_nationkey = s_nationkey AND n_regionkey < 4")
+def blue_raster(spark, d):
+    out = exports.blue_raster(V.probabilities(spark, d), V.static(spark, d), V.admin(spark, d), V.RES)
+    return _k(out).select("k", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "iso", "vcf", "hansen", _text("clean").alias("clean"))
+
+
+@query(f"WITH {_CLEANS} SELECT round({V.latlon('c.k')[0]}, 6) AS lat, round({V.latlon('c.k')[1]}, 6) AS lon, s_nationkey AS gadm2, s_nationkey AS ecoid, CAST(s_acctbal > 5000 AS INTEGER) AS hansen, clean FROM cs c JOIN supplier ON s_suppkey = c.k")
+def david(spark, d):
+    out = exports.david(V.probabilities(spark, d), V.static(spark, d), V.RES)
+    return out.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "gadm2", "ecoid", "hansen", _text("clean").alias("clean"))
+
+
+_API = f"{V.CLEAN}, adm AS (SELECT n_nationkey AS objectid, n_name AS iso FROM nation WHERE n_regionkey < 4), j AS (SELECT c.k, c.lo, c.period, c.c, max(c.c) OVER (PARTITION BY c.k) AS last_c, max(c.period) OVER (PARTITION BY c.k) AS hi, s_nationkey AS gadm2, iso FROM clean c JOIN supplier ON s_suppkey = c.k JOIN adm ON objectid = s_nationkey)"
+
+
+@query(f"WITH {_API} SELECT k, iso, gadm2, CAST({V.start16('period')} AS VARCHAR) AS date, CAST(year({V.start16('period')}) AS VARCHAR) AS year, c AS prob FROM j WHERE last_c >= 90")
+def api_long(spark, d):
+    at = exports.latlon(V.probabilities(spark, d), V.RES)
+    out = exports.api_long(V.probabilities(spark, d), V.admin(spark, d), V.RES, "16", 90)
+    return out.join(_k(at).select("k", "lat", "lon"), ["lat", "lon"]).select("k", "iso", "gadm2", "date", "year", "prob")
+
+
+@query(f"WITH {_API}, f AS (SELECT k, min(period) AS period FROM j WHERE c >= 70 GROUP BY k) SELECT round({V.latlon('j.k')[0]}, 6) AS lat, round({V.latlon('j.k')[1]}, 6) AS lon, iso, gadm2, CAST({V.start16('j.period')} AS VARCHAR) AS date, c AS prob FROM j JOIN f ON f.k = j.k AND f.period = j.period")
+def api_first(spark, d):
+    out = exports.api_first(V.probabilities(spark, d), V.admin(spark, d), V.RES, "16", 70)
+    return out.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "iso", "gadm2", "date", "prob")
+
+
+@query(f"WITH {_API}, f AS (SELECT k, min(period) AS period FROM j WHERE c >= 98 GROUP BY k) SELECT round({V.latlon('j.k')[0]}, 6) AS lat, round({V.latlon('j.k')[1]}, 6) AS lon, iso, gadm2, CAST({V.start16('j.period')} AS VARCHAR) AS date, c AS prob FROM j JOIN f ON f.k = j.k AND f.period = j.period WHERE j.period = j.hi")
+def api_latest(spark, d):
+    out = exports.api_latest(V.probabilities(spark, d), V.admin(spark, d), V.RES, "16", 98)
+    return out.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "iso", "gadm2", "date", "prob")
+
+
+# --- series ---
+
+
+@query(f"WITH {V.DENSE} SELECT k, CAST(period AS INTEGER) AS period, coalesce(CAST(qty AS DOUBLE), -9999.0) AS value FROM dense")
+def pixel_series(spark, d):
+    rows = V.observations(spark, d).select("k", "period", F.col("qty").cast("double").alias("value"))
+    return series.from_series(series.to_series(rows, ["k"], "period", ["value"], -9999.0), ["k"], "value")
+
+
+@query(f"WITH {V.CLEAN} SELECT k, CAST(period AS INTEGER) AS period, c AS value FROM clean")
+def clean_probabilities(spark, d):
+    s = _k(V.probabilities(spark, d)).select("k", "start_idx", A.clean_probabilities("prob").alias("series"))
+    return series.from_series(s, ["k"])
+
+
+@query(f"WITH {V.DENSE} SELECT k, CAST(period AS INTEGER) AS period, CAST(last_value(qty IGNORE NULLS) OVER (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value FROM dense")
+def forward_fill(spark, d):
+    s = _k(V.ndvi(spark, d)).select("k", "start_idx", A.fill_forward("ndvi", -9999.0, -9999.0).alias("series"))
+    return series.from_series(s, ["k"])
+
+
+@query(f"WITH {V.DENSE}, f AS (SELECT k, period, last_value(qty IGNORE NULLS) OVER (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v FROM dense), w AS (SELECT k, period, avg(v) OVER (PARTITION BY k ORDER BY period ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS m, count(*) OVER (PARTITION BY k ORDER BY period ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS n FROM f) SELECT k, CAST(period AS INTEGER) AS period, round(m, 6) AS value FROM w WHERE n = 10")
+def moving_average(spark, d):
+    s = _k(V.ndvi(spark, d)).select("k", "start_idx", A.moving_average(A.fill_forward("ndvi", -9999.0, -9999.0), 10).alias("series"))
+    return series.from_series(s, ["k"]).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {V.DENSE}, f AS (SELECT k, period, coalesce(qty, 1000000) AS v FROM dense) SELECT k, CAST(period AS INTEGER) AS period, CAST(min(v) OVER w AS DOUBLE) AS low, CAST(max(v) OVER w AS DOUBLE) AS high, CAST(sum(v) OVER w AS DOUBLE) AS total FROM f WINDOW w AS (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+def running_statistics(spark, d):
+    s = _k(V.ndvi(spark, d)).withColumn("s", A.replace_value("ndvi", -9999.0, 1000000.0))
+    z = F.arrays_zip(A.running("s", F.array_min).alias("low"), A.running("s", F.array_max).alias("high"), A.running_sum("s").alias("total"))
+    return series.from_series(s.select("k", "start_idx", z.alias("series")), ["k"]).select("k", "period", "value.*")
+
+
+@query(f"WITH {V.DENSE} SELECT k, CAST(greatest(lo, 600) AS INTEGER) AS start_idx, count(*) AS n, CAST(sum(coalesce(qty, 0)) AS DOUBLE) AS total FROM dense WHERE period >= 600 AND period < 700 GROUP BY k, lo")
+def aligned_series(spark, d):
+    s = _k(V.ndvi(spark, d)).withColumn("other", F.array_repeat(F.lit(0.0), 100))
+    a = s.select("k", A.align(("start_idx", "ndvi"), (F.lit(600), "other")).alias("a"))
+    return a.select("k", F.col("a.start").cast("int").alias("start_idx"), F.size("a.s0").cast("long").alias("n"), A.total(A.replace_value("a.s0", -9999.0, 0.0)).alias("total"))
+
+
+_M = """m AS (SELECT l_suppkey AS k, (year(l_shipdate) - 1970) * 12 + month(l_shipdate) - 1 AS p, CAST(sum(l_quantity) AS DOUBLE) AS v FROM lineitem WHERE year(l_shipdate) BETWEEN 1993 AND 1997 GROUP BY 1, 2),
+g AS (SELECT k, unnest(range(276, 336)) AS p FROM (SELECT DISTINCT k FROM m)),
+days AS (SELECT g.k, coalesce(m.v, 0) AS v, CAST(unnest(range(make_date(CAST(1970 + g.p // 12 AS BIGINT), CAST(g.p % 12 + 1 AS BIGINT), 1), make_date(CAST(1970 + (g.p + 1) // 12 AS BIGINT), CAST((g.p + 1) % 12 + 1 AS BIGINT), 1), INTERVAL 1 DAY)) AS DATE) AS dt FROM g LEFT JOIN m ON m.k = g.k AND m.p = g.p)"""
+
+
+@query(f"WITH {_M} SELECT k, CAST({V.p16('dt')} AS INTEGER) AS period, CAST(floor(avg(v) + 0.5) AS BIGINT) AS value FROM days GROUP BY 1, 2")
+def stretched_series(spark, d):
+    rows = V.table(spark, d, "lineitem").where(F.year("l_shipdate").between(1993, 1997)).groupBy(F.col("l_suppkey").alias("k"), P.period("l_shipdate", "32").alias("p")).agg(F.sum("l_quantity").alias("series"))
+    cells = series.to_series(rows, ["k"], "p", ["series"], 0.0, 276, 335)
+    return series.from_series(pixels.adjust_rain(cells, "32", "16"), ["k"])
+
+
+@query(f"WITH {V.OBS}, v AS (SELECT k, period, CAST(qty AS DOUBLE) AS x, 1 AS ped FROM obs WHERE period BETWEEN 600 AND 650 UNION ALL SELECT k, period, CAST(rain AS DOUBLE), 2 FROM obs WHERE period BETWEEN 640 AND 700), g AS (SELECT k, unnest(range(600, 701)) AS period FROM (SELECT DISTINCT k FROM v)), a AS (SELECT g.k, g.period, coalesce(max(CASE WHEN ped = 1 THEN x END), CASE WHEN g.period <= 650 THEN -9999.0 END) AS x1, coalesce(max(CASE WHEN ped = 2 THEN x END), CASE WHEN g.period >= 640 THEN -9999.0 END) AS x2 FROM g LEFT JOIN v ON v.k = g.k AND v.period = g.period GROUP BY g.k, g.period) SELECT k, CAST(period AS INTEGER) AS period, coalesce(x2, x1) AS value FROM a")
+def version_overlay(spark, d):
+    obs = V.observations(spark, d)
+    keys = obs.where(F.col("period").between(600, 700)).select("k").distinct()
+
+    def version(column, lo, hi, pedigree):
+        rows = obs.select("k", "period", F.col(column).cast("double").alias("series")).where(F.col("period").between(lo, hi))
+        dense = keys.join(series.to_series(rows, ["k"], "period", ["series"], -9999.0, lo, hi), "k", "left")
+        empty = F.array_repeat(F.lit(-9999.0), hi - lo + 1)
+        return dense.select("k", F.lit(lo).alias("start_idx"), F.coalesce("series", empty).alias("series"), F.lit(pedigree).alias("pedigree"))
+
+    both = version("qty", 600, 650, 1).unionByName(version("rain", 640, 700, 2))
+    return series.from_series(series.overlay_versions(both, ["k"], ["series"]), ["k"])
+
+
+@query("SELECT CAST(s_suppkey % 10 // 5 AS INTEGER) AS win_col, CAST(s_suppkey // 10 // 5 AS INTEGER) AS win_row, count(*) AS n, CAST(sum(s_nationkey) AS BIGINT) AS total FROM supplier GROUP BY 1, 2")
+def sparse_windows(spark, d):
+    out = series.sparse_windows(V.layer(spark, d, "ecoid"), ["h", "v"], 5, 5, "val", -9999)
+    held = F.filter("data", lambda x: x != -9999)
+    return out.select("win_col", "win_row", F.size(held).cast("long").alias("n"), F.aggregate(held, F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+
+
+@query("SELECT CAST(s_suppkey % 10 AS INTEGER) AS sample, CAST(s_suppkey // 10 AS INTEGER) AS line, s_nationkey AS val FROM supplier")
+def chunk_round_trip(spark, d):
+    chunks = series.to_chunks(V.layer(spark, d, "ecoid"), ["h", "v"], V.RES, 24000)
+    return series.blossom_chunks(chunks, ["h", "v"], V.RES, 24000).where(F.col("val") != -9999).select("sample", "line", "val")
+
+
+# --- periods ---
+
+
+@query(f"SELECT o_orderkey, CAST({V.p32('o_orderdate')} AS INTEGER) AS p32, CAST({V.p16('o_orderdate')} AS INTEGER) AS p16, CAST((year(o_orderdate) - 1970) * 46 + (dayofyear(o_orderdate) - 1) // 8 AS INTEGER) AS p8, CAST((year(o_orderdate) - 1970) * 365 + dayofyear(o_orderdate) - 1 AS INTEGER) AS p1 FROM orders")
+def date_periods(spark, d):
+    o = V.table(spark, d, "orders")
+    return o.select("o_orderkey", *[P.period("o_orderdate", r).alias(f"p{r}") for r in ("32", "16", "8", "1")])
+
+
+_P = V.p16("o_orderdate")
+
+
+@query(f"SELECT o_orderkey, {V.start16(_P)} AS begins, CAST({V.start16(_P + ' + 1')} - {V.start16(_P)} AS INTEGER) AS span, CAST({V.p32(V.start16(_P))} AS INTEGER) AS month_period, CAST({_P} - 500 AS INTEGER) AS relative, o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1996-01-01' AS inside FROM orders")
+def period_arithmetic(spark, d):
+    o = V.table(spark, d, "orders").withColumn("p", P.period("o_orderdate", "16"))
+    return o.select("o_orderkey", P.period_start("p", "16").alias("begins"), P.period_span("p", "16").alias("span"), P.shift_resolution("p", "16", "32").alias("month_period"), P.relative_period("16", 500, "o_orderdate").alias("relative"), P.within_dates("1995-01-01", "1996-01-01", "o_orderdate").alias("inside"))
+
+
+# --- geography ---
+
+
+@query(f"SELECT s_suppkey AS k, round({V.latlon('s_suppkey')[0]}, 6) AS lat, round({V.latlon('s_suppkey')[1]}, 6) AS lon, 28 AS h, 8 AS v, CAST(s_suppkey % 10 AS INTEGER) AS sample, CAST(s_suppkey // 10 AS INTEGER) AS line FROM supplier")
+def pixel_positions(spark, d):
+    """To latitude and longitude, and back to the pixel."""
+    p = exports.latlon(_k(V.static(spark, d)), V.RES)
+    back = p.withColumn("b", G.latlon_to_pixel(V.RES, "lat", "lon"))
+    return back.select("k", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "b.*")
+
+
+@query(f"SELECT s_suppkey AS k, CAST(floor(({V.latlon('s_suppkey')[0]} + 90) * 2) AS INTEGER) AS cell_row, CAST(floor({V.latlon('s_suppkey')[1]} * 2) AS INTEGER) AS cell_col FROM supplier")
+def rain_cells(spark, d):
+    p = _k(V.static(spark, d)).withColumn("c", G.pixel_to_cell(V.RES, grids.GRIDS["precl"], "h", "v", "sample", "line"))
+    return p.select("k", F.col("c.row").alias("cell_row"), F.col("c.col").alias("cell_col"))
+
+
+@query("SELECT s_suppkey AS k, CAST((8 * 2400 + s_suppkey // 10) * 86400 + 28 * 2400 + s_suppkey % 10 AS BIGINT) AS idx, CAST((8 * 2400 + s_suppkey // 10 - 1) * 86400 + 28 * 2400 + s_suppkey % 10 - 1 AS BIGINT) AS north_west FROM supplier")
+def grid_index(spark, d):
+    p = _k(V.static(spark, d)).withColumn("g", G.global_rowcol(V.RES, "h", "v", "sample", "line"))
+    idx = G.global_index(V.RES, "g.row", "g.col")
+    return p.select("k", idx.alias("idx"), G.neighbor_indices(V.RES, idx)[0].alias("north_west"))
+
+
+@query("SELECT CAST(c_custkey % 360 AS INTEGER) AS r, CAST(c_custkey * 7 % 720 AS INTEGER) AS c, CAST((c_custkey * 7 % 720 // 20 + 18) % 36 AS INTEGER) AS h, CAST(17 - c_custkey % 360 // 20 AS INTEGER) AS v, CAST((c_custkey * 7 % 720 + 360) % 720 - ((c_custkey * 7 % 720 // 20 + 18) % 36) * 20 AS INTEGER) AS tile_col, CAST(359 - c_custkey % 360 - (17 - c_custkey % 360 // 20) * 20 AS INTEGER) AS tile_row FROM customer")
+def rain_cell_tiles(spark, d):
+    c = V.table(spark, d, "customer").select((F.col("c_custkey") % 360).cast("int").alias("r"), (F.col("c_custkey") * 7 % 720).cast("int").alias("c"))
+    return c.select("r", "c", rain.cell_tile(F.col("r"), F.col("c")).alias("t")).select("r", "c", "t.*")
+
+
+# --- relations ---
+
+
+@query("SELECT s_suppkey AS k, CAST(s_suppkey * 37 % 100 AS INTEGER) AS vcf, s_nationkey AS gadm, s_nationkey AS ecoid, CAST(s_acctbal > 5000 AS INTEGER) AS hansen, CAST(s_suppkey % 20 AS INTEGER) AS coast_dist FROM supplier WHERE s_suppkey * 37 % 100 >= 25 AND s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 3)")
+def consolidate_static(spark, d):
+    eco = V.table(spark, d, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("ecoid"))
+    out = pixels.consolidate_static(25, *[V.layer(spark, d, n) for n in ("vcf", "hansen", "ecoid", "gadm", "coast_dist")], eco)
+    return _k(out).select("k", "vcf", "gadm", "ecoid", "hansen", "coast_dist")
+
+
+@query(f"WITH {V.DENSE} SELECT k, CAST(min(lo) AS INTEGER) AS start_idx, count(*) AS n FROM dense WHERE k * 37 % 100 >= 25 GROUP BY k")
+def covered_series(spark, d):
+    out = pixels.filter_covered(V.ndvi(spark, d), V.static(spark, d), 25)
+    return _k(out).select("k", "start_idx", F.size("ndvi").cast("long").alias("n"))
+
+
+_DYN = f"{V.DENSE}, f AS (SELECT k, lo, period, last_value(qty IGNORE NULLS) OVER w AS n, last_value(rain IGNORE NULLS) OVER w AS r FROM dense WINDOW w AS (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"
+
+
+@query(f"WITH {_DYN} SELECT k, CAST(min(lo) AS INTEGER) AS start_idx, CAST(sum(n) AS DOUBLE) AS ndvi, CAST(sum(r) AS DOUBLE) AS precl FROM f GROUP BY k")
+def dynamic_filter(spark, d):
+    s = V.ndvi(spark, d)
+    out = pixels.dynamic_filter(s.drop("precl"), s.drop("ndvi"), RunParams(est_start="1995-01-01"))
+    return _k(out).select("k", F.col("start_idx").cast("int").alias("start_idx"), A.total("ndvi").alias("ndvi"), A.total("precl").alias("precl"))
+
+
+@query("SELECT n_regionkey, count(*) AS n FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_suppkey % 36 IN (28, 29) GROUP BY 1")
+def screened_tiles(spark, d):
+    s = V.table(spark, d, "supplier").withColumns({"h": (F.col("s_suppkey") % 36).cast("int"), "v": F.lit(8)})
+    kept = pixels.screen_tiles(s, tiles.tile_set((28, 8), (29, 8)))
+    return kept.join(V.table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT ecoregion, count(*) AS n, CAST(sum(hansen) AS BIGINT) AS hits FROM (SELECT s_nationkey AS ecoregion, CAST(s_acctbal > 5000 AS INTEGER) AS hansen FROM supplier WHERE s_suppkey % 20 >= 3 UNION ALL SELECT 1000 + n_regionkey, CAST(s_acctbal > 5000 AS INTEGER) FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_suppkey % 20 >= 3) GROUP BY 1")
+def training_rows(spark, d):
+    rows = _neighbor_rows(spark, d).withColumn("period", F.lit(P.period_of("1996-01-01", "16")))
+    out = pixels.training_rows(rows, V.static(spark, d), RunParams(est_start="1996-01-01"), V.regions(spark, d))
+    return out.groupBy("ecoregion").agg(F.count(F.lit(1)).alias("n"), F.sum("hansen").alias("hits"))
+
+
+@query("SELECT CAST(CASE WHEN (n_nationkey % 10) / 1000.0 <= 0.005 THEN n_regionkey + 1000 ELSE n_nationkey END AS INTEGER) AS ecoregion, count(*) AS n FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY 1")
+def final_ecoregion(spark, d):
+    out = pixels.final_ecoregion(V.static(spark, d), V.regions(spark, d), True)
+    return out.groupBy(F.col("ecoregion").cast("int").alias("ecoregion")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 1000 + n_regionkey AS regionid, r_name AS region, CAST(sum(p) AS BIGINT) AS pixels, CAST(sum(h) AS BIGINT) AS hits, round(sum(h) / sum(p), 6) AS hit_share FROM (SELECT s_nationkey, count(*) AS p, count(*) FILTER (s_acctbal > 5000) AS h FROM supplier GROUP BY 1) JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2")
+def region_summary(spark, d):
+    n = V.table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("pixels"), F.count_if(F.col("s_acctbal") > 5000).alias("hits"))
+    c = n.join(V.table(spark, d, "nation"), "n_nationkey").join(V.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    out = pixels.summarize_regions(c.select((F.col("n_regionkey") + 1000).alias("regionid"), F.concat(F.lit('"'), "r_name", F.lit('"')).alias("region"), "pixels", "hits"))
+    return out.withColumn("hit_share", F.round("hit_share", 6))
+
+
+@query(f"WITH {V.OBS}, h AS (SELECT k, period % 16 AS h, period, prob FROM obs2 WHERE prob > 0.5), c AS (SELECT k, period, qty FROM obs WHERE qty % 3 = 0) SELECT count(*) AS hits, count(c.qty) AS matched, round(CAST(coalesce(sum(c.qty), 0) / count(*) AS DOUBLE), 6) AS avg_count FROM h LEFT JOIN c ON c.k = h.k AND c.period = h.period WHERE h.period // 23 = 26")
+def counted_hits(spark, d):
+    o = V.observations(spark, d)
+    at = o.select((F.col("period") % 16).alias("h"), F.lit(8).alias("v"), F.col("k").alias("s"), F.col("period").alias("l"), F.floor(F.col("period") / 23).alias("year"), "prob", "qty")
+    hits = pixels.counted_hits(at.drop("qty"), at.where("qty % 3 = 0").select("h", "v", "s", "l", "year", F.col("qty").alias("count")), 26, 0.5)
+    n = hits.agg(F.count(F.lit(1)).alias("hits"), F.count("count").alias("matched"))
+    return n.crossJoin(pixels.average_count(hits)).withColumn("avg_count", F.round("avg_count", 6))
+
+
+@query("SELECT CAST(least(floor((s_acctbal + 1000) / 275), 39) AS INTEGER) AS bin, count(*) AS n FROM supplier WHERE s_acctbal BETWEEN -1000 AND 10000 GROUP BY 1")
+def balance_histogram(spark, d):
+    return pixels.histogram(V.table(spark, d, "supplier"), "s_acctbal", -1000, 10000)
+
+
+@query(f"WITH {V.OBS}, r AS (SELECT prob > 0.6 AS hit, s_acctbal > 5000 AS yes FROM obs2 JOIN supplier ON s_suppkey = k), n AS (SELECT count(*) FILTER (NOT yes AND hit) AS fp, count(*) FILTER (NOT yes AND NOT hit) AS tn, count(*) FILTER (yes AND hit) AS tp, count(*) FILTER (yes AND NOT hit) AS fn FROM r) SELECT fp, tn, tp, fn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS sensitivity FROM n")
+def error_counts(spark, d):
+    rows = V.observations(spark, d).join(_k(V.static(spark, d)).select("k", "hansen"), "k")
+    out = pixels.error_counts(rows, 0.6)
+    return out.withColumns({c: F.round(c, 6) for c in ("precision", "sensitivity")})
+
+
+# --- fires ---
+
+_FIRES = "fires AS (SELECT user_id % 1000 AS k, CAST(ts AS DATE) AS date, value + 300 AS kelvin, value % 100 AS conf FROM events WHERE value IS NOT NULL)"
+_FIRE_COUNTS = "count(*) FILTER (kelvin >= 330) AS temp330, count(*) FILTER (conf >= 50) AS conf50, count(*) FILTER (kelvin >= 330 AND conf >= 50) AS both_preds, count(*) AS count"
+
+
+@query(f"WITH {_FIRES} SELECT k, date, {_FIRE_COUNTS} FROM fires GROUP BY k, date")
+def fire_counts(spark, d):
+    return series.fire_counts(V.fires(spark, d), ["k", "date"])
+
+
+@query(f"WITH {_FIRES}, c AS (SELECT k, {V.p16('date')} AS p, {_FIRE_COUNTS} FROM fires GROUP BY 1, 2), g AS (SELECT k, unnest(range(1242, 1246)) AS p FROM (SELECT DISTINCT k FROM c WHERE p BETWEEN 1242 AND 1245)) SELECT g.k, CAST(g.p AS INTEGER) AS period, CAST(sum(coalesce(temp330, 0)) OVER w AS INTEGER) AS temp330, CAST(sum(coalesce(conf50, 0)) OVER w AS INTEGER) AS conf50, CAST(sum(coalesce(both_preds, 0)) OVER w AS INTEGER) AS both_preds, CAST(sum(coalesce(count, 0)) OVER w AS INTEGER) AS count FROM g LEFT JOIN c ON c.k = g.k AND c.p = g.p WINDOW w AS (PARTITION BY g.k ORDER BY g.p)")
+def fire_running_sums(spark, d):
+    daily = series.fire_counts(V.fires(spark, d), ["k", "date"])
+    out = series.fire_series(daily, ["k"], "16", "2024-01-01", "2024-02-20")
+    return series.from_series(out, ["k"], "fires").select("k", "period", "value.*")
+
+
+# --- neighbours ---
+
+
+def _values(spark, d) -> DataFrame:
+    s = _k(V.static(spark, d))
+    f = F.struct(*[(F.col("k") % n).cast("int").alias(x) for n, x in ((2, "temp330"), (3, "conf50"), (5, "both_preds"), (7, "count"))])
+    num = F.col("k").cast("double")
+    return s.select(*KEYS, F.lit(827).alias("period"), pixel_value(f, num, num % 7, num % 11, num % 13).alias("val"))
+
+
+def _neighbor_rows(spark, d) -> DataFrame:
+    return neighbors.neighbor_values(_values(spark, d), 600)
+
+
+_NEAR = "n AS (SELECT a.s_suppkey AS k, b.s_suppkey AS o FROM supplier a JOIN supplier b ON b.s_suppkey <> a.s_suppkey AND abs(a.s_suppkey % 10 - b.s_suppkey % 10) <= 1 AND abs(a.s_suppkey // 10 - b.s_suppkey // 10) <= 1 AND (a.s_suppkey % 10) // {w} = (b.s_suppkey % 10) // {w} AND (a.s_suppkey // 10) // {w} = (b.s_suppkey // 10) // {w})"
+
+
+@query("WITH " + _NEAR.format(w=5) + " SELECT k, CAST(count(*) AS INTEGER) AS n, CAST(sum(o % 7) AS INTEGER) AS fires, round(avg(CAST(o AS DOUBLE)), 6) AS avg_short, CAST(min(o) AS DOUBLE) AS min_short, CAST(max(o % 13) AS DOUBLE) AS max_break FROM n GROUP BY k")
+def neighbor_values(spark, d):
+    out = _k(neighbors.neighbor_values(_values(spark, d), 5)).where(F.col("neighbor.neighbor_count") > 0)
+    n = F.col("neighbor")
+    return out.select("k", n["neighbor_count"].alias("n"), n["fire"]["count"].alias("fires"), F.round(n["avg_short_drop"], 6).alias("avg_short"), n["min_short_drop"].alias("min_short"), n["max_param_break"].alias("max_break"))
+
+
+@query("SELECT a.s_suppkey AS k, count(*) AS n, round(avg(b.s_nationkey), 6) AS avg_value, min(b.s_nationkey) AS min_value, max(b.s_nationkey) AS max_value FROM supplier a JOIN supplier b ON abs(a.s_suppkey % 10 - b.s_suppkey % 10) <= 2 AND abs(a.s_suppkey // 10 - b.s_suppkey // 10) <= 2 GROUP BY 1")
+def window_statistics(spark, d):
+    out = _k(neighbors.window_stat(V.layer(spark, d, "ecoid"), ["s_res", "h", "v"], "val", 2))
+    return out.select("k", "n", F.round("avg_value", 6).alias("avg_value"), "min_value", "max_value")
+
+
+# --- trends and classes ---
+
+_FILLED = f"{V.DENSE}, f AS (SELECT k, period - lo + 1 AS t, period - lo AS i, CAST(last_value(qty IGNORE NULLS) OVER (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS y FROM dense)"
+
+
+def _filled(spark, d) -> DataFrame:
+    return _k(V.ndvi(spark, d)).select("k", "start_idx", A.fill_forward("ndvi", -9999.0, -9999.0).alias("y"))
+
+
+@query(f"WITH {_FILLED} SELECT k, count(*) AS n, round(regr_slope(y, t), 6) AS slope FROM f GROUP BY k")
+def long_trend(spark, d):
+    """The trend of whole series, by the same kernel as prefixes."""
+    from ..functions.stats import long_stats
+
+    out = _filled(spark, d)
+    return out.select("k", F.size("y").cast("long").alias("n"), F.round(trends.scalar_of(F.col("y"), lambda y: long_stats(y)[0]), 6).alias("slope"))
+
+
+@query(f"WITH {_FILLED}, s AS (SELECT k, i, y, avg(y) OVER (PARTITION BY k, i % 23) AS season, avg(y) OVER (PARTITION BY k) AS mean FROM f) SELECT k, CAST(i AS INTEGER) AS i, round(y - season + mean, 5) AS value FROM s")
+def deseasonalized(spark, d):
+    out = _filled(spark, d).select("k", F.posexplode(trends.deseasonalized(F.col("y"), 23)).alias("i", "value"))
+    return out.select("k", "i", F.round("value", 5).alias("value"))
+
+
+@query(f"WITH {_FILLED}, w AS (SELECT k, t, regr_slope(y, t) OVER (PARTITION BY k ORDER BY t ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS s FROM f), m AS (SELECT k, t, avg(s) OVER (PARTITION BY k ORDER BY t ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS m FROM w WHERE t >= 30) SELECT k, round(min(m), 6) AS short_drop FROM m WHERE t >= 39 GROUP BY k")
+def short_drop(spark, d):
+    from ..functions.stats import short_stat
+
+    return _filled(spark, d).select("k", F.round(trends.scalar_of(F.col("y"), lambda y: short_stat(30, 10, y)), 6).alias("short_drop"))
+
+
+@query()
+def trend_series(spark, d):
+    """Statistics of all prefixes; checked against one regression at a time in the tests."""
+    s = V.ndvi(spark, d).withColumn("precl", A.fill_forward("precl", -9999.0, 0.0))
+    return trends.analyze_trends(s, RunParams(est_start="1996-01-01", est_end="1998-01-01"))
+
+
+@query()
+def stability_statistic(spark, d):
+    return _filled(spark, d).select("k", trends.stability(F.col("y")).alias("hansen"))
+
+
+@query()
+def break_process(spark, d):
+    return _filled(spark, d).select("k", F.posexplode(trends.mosum_process(F.col("y"))).alias("i", "value"))
+
+
+@query()
+def smooth_trend(spark, d):
+    return _filled(spark, d).select("k", F.posexplode(trends.hp_trend(F.col("y"), 100.0)).alias("i", "value"))
+
+
+@query()
+def harmonic_trend(spark, d):
+    return _filled(spark, d).select("k", F.posexplode(trends.harmonic_trend(F.col("y"), 23)).alias("i", "value"))
+
+
+@query()
+def logistic_betas(spark, d):
+    """Coefficients by region, features scaled to unit range."""
+    s = V.static(spark, d).join(V.regions(spark, d), "ecoid")
+    x = F.array(F.lit(1.0), F.col("vcf") / 100.0, F.col("coast_dist") / 20.0)
+    return classify.fit(s.select(F.col("regionid").alias("ecoregion"), "hansen", x.alias("x")), ["ecoregion"], RunParams(ridge=1e-4))
+
+
+_BETA = "0.01 * (s_nationkey + 1)"
+
+
+@query(f"WITH n AS ({'WITH ' + _NEAR.format(w=600) + ' SELECT k, count(*) AS c FROM n GROUP BY k'}) SELECT s_suppkey AS k, round(exp({_BETA} * (1 + s_suppkey % 7)) / (exp({_BETA} * (1 + s_suppkey % 7)) + 1), 6) AS prob FROM supplier")
+def estimated_probability(spark, d):
+    """Given coefficients: the constant and the count of fires."""
+    rows = _neighbor_rows(spark, d).join(V.static(spark, d).select(*KEYS, F.col("ecoid").alias("ecoregion")), KEYS)
+    b = (F.col("n_nationkey") + 1) * 0.01
+    betas = V.table(spark, d, "nation").select(F.col("n_nationkey").alias("ecoregion"), F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.when(i.isin(0, 4), b).otherwise(F.lit(0.0))).alias("beta"))
+    out = classify.estimate(rows, betas, RunParams())
+    return _k(out).select("k", F.round(F.col("prob")[0], 6).alias("prob"))
