@@ -108,9 +108,11 @@ def api_first(spark, d):
     return out.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "iso", "gadm2", "date", "prob")
 
 
-@query(f"WITH {_API}, f AS (SELECT k, min(period) AS period FROM j WHERE c >= 98 GROUP BY k) SELECT round({V.latlon('j.k')[0]}, 6) AS lat, round({V.latlon('j.k')[1]}, 6) AS lon, iso, gadm2, CAST({V.start16('j.period')} AS VARCHAR) AS date, c AS prob FROM j JOIN f ON f.k = j.k AND f.period = j.period WHERE j.period = j.hi")
+@query(f"WITH {_API}, f AS (SELECT k, min(period) AS period FROM j WHERE c >= 60 AND period < lo + 4 GROUP BY k) SELECT round({V.latlon('j.k')[0]}, 6) AS lat, round({V.latlon('j.k')[1]}, 6) AS lon, iso, gadm2, CAST({V.start16('j.period')} AS VARCHAR) AS date, c AS prob FROM j JOIN f ON f.k = j.k AND f.period = j.period WHERE j.period = lo + 3")
 def api_latest(spark, d):
-    out = exports.api_latest(V.probabilities(spark, d), V.admin(spark, d), V.RES, "16", 98)
+    """Over the first four periods of each series."""
+    first = V.probabilities(spark, d).withColumn("prob", F.slice("prob", 1, 4))
+    out = exports.api_latest(first, V.admin(spark, d), V.RES, "16", 60)
     return out.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "iso", "gadm2", "date", "prob")
 
 
@@ -265,7 +267,7 @@ _DYN = f"{V.DENSE}, f AS (SELECT k, lo, period, last_value(qty IGNORE NULLS) OVE
 @query(f"WITH {_DYN} SELECT k, CAST(min(lo) AS INTEGER) AS start_idx, CAST(sum(n) AS DOUBLE) AS ndvi, CAST(sum(r) AS DOUBLE) AS precl FROM f GROUP BY k")
 def dynamic_filter(spark, d):
     s = V.ndvi(spark, d)
-    out = pixels.dynamic_filter(s.drop("precl"), s.drop("ndvi"), RunParams(est_start="1995-01-01"))
+    out = pixels.dynamic_filter(s.drop("precl"), s.drop("ndvi"), RunParams(est_start="1998-01-01"))
     return _k(out).select("k", F.col("start_idx").cast("int").alias("start_idx"), A.total("ndvi").alias("ndvi"), A.total("precl").alias("precl"))
 
 
