@@ -56,7 +56,7 @@ def draw_counts(owed: list[int], shard_blocks: int, seed: int) -> np.ndarray:
             need -= int(more.sum())
         shards.append(got)
         left -= got
-    return np.array(shards, dtype=np.int64).reshape(-1, len(owed))
+    return np.array(shards, dtype=np.int64).reshape(len(shards), len(owed))
 
 
 def _mixed(x: np.ndarray, key: np.ndarray) -> np.ndarray:
