@@ -8,6 +8,7 @@ partition ends is merged with the leftovers of other partitions, some of them at
 from __future__ import annotations
 
 import re
+import struct
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -22,6 +23,11 @@ from .common import materialize
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, part long, open boolean"
 NAMES = [x.split()[0] for x in PIECE.split(", ")]
 _ODD = re.compile("[\x1c-\x1f]")  # str.split() takes these for white space, the tokenizer does not
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation but the apostrophe, which begins tokens of its own
+
+
+def pack_ids(*ids: int) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _byte_letters() -> list[str]:
@@ -35,37 +41,49 @@ class WordTokenizer(dict):
     """Ids of whole texts as little-endian unsigned 32-bit bytes, for a tokenizer that drops white space.
 
     Such a tokenizer never joins what white space separates, so each word is encoded once and kept here, at most
-    ``most`` words and as many stems (a word in lower case without a full stop or comma at its end). A stem of
-    Latin letters goes to the vocabulary's merges at once; other words take the tokenizer's whole way.
+    ``most`` words and as many stems (a word in lower case without the marks at its end), none over 64 characters.
+    A stem of Latin letters goes to the vocabulary's merges at once; other words take the tokenizer's whole way.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 200_000):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # such strings in a text are ordinary text
         self.merges, self.letters, self.most = self.model.model, _byte_letters(), most
         self.stems: dict[str, bytes] = {}
-        self.ends = {c: self.direct(c) for c in ".,"}
+        self.ends: dict[str, bytes] = {}
 
     def direct(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return pack_ids(*self.model.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, word: str) -> bytes:
+        if len(word) > 64:
+            return self.direct(word)
         if len(self) >= self.most:
             self.clear()
-        stem, end = word.lower(), b""
-        if stem[-1] in self.ends and stem[-2:-1].isalpha():
-            stem, end = stem[:-1], self.ends[stem[-1]]
+        lower = word.lower()
+        stem, end = lower.rstrip(MARKS), b""
+        if not stem or len(stem) < len(lower) and not stem[-1].isalpha():
+            stem = lower
+        elif len(stem) < len(lower):  # the marks after a letter are one token run
+            tail = lower[len(stem) :]
+            end = self.ends.get(tail)
+            if end is None:
+                if len(self.ends) >= self.most:
+                    self.ends.clear()
+                end = self.ends[tail] = self.direct(tail)
         ids = self.stems.get(stem)
         if ids is None:
             if len(self.stems) >= self.most:
                 self.stems.clear()
-            if not stem.isalpha() or max(stem) >= "\u0250":
+            mapped = stem
+            if not stem.isascii() and stem.isalpha() and max(stem) < "\u0250":
+                mapped = "".join([self.letters[b] for b in stem.encode()])
+            elif not (stem.isascii() and stem.isalpha()):
                 out = self[word] = self.direct(word)
                 return out
-            mapped = stem if stem.isascii() else "".join([self.letters[b] for b in stem.encode()])
-            ids = self.stems[stem] = np.array([t.id for t in self.merges.tokenize(mapped)], dtype="<u4").tobytes()
+            ids = self.stems[stem] = pack_ids(*[t.id for t in self.merges.tokenize(mapped)])
         out = self[word] = ids + end
         return out
 
