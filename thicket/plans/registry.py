@@ -108,11 +108,16 @@ def api_first(spark, d):
     return out.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "iso", "gadm2", "date", "prob")
 
 
-@query(f"WITH {_API}, f AS (SELECT k, min(period) AS period FROM j WHERE c >= 60 AND period < lo + 4 GROUP BY k) SELECT round({V.latlon('j.k')[0]}, 6) AS lat, round({V.latlon('j.k')[1]}, 6) AS lon, iso, gadm2, CAST({V.start16('j.period')} AS VARCHAR) AS date, c AS prob FROM j JOIN f ON f.k = j.k AND f.period = j.period WHERE j.period = lo + 3")
+_LAST = _API.replace("(qty * 37 % 101) / 100.0::DOUBLE AS prob", "CASE WHEN period = max(period) OVER (PARTITION BY k) AND qty > 100 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END AS prob")
+
+
+@query(f"WITH {_LAST}, f AS (SELECT k, min(period) AS period FROM j WHERE c >= 60 GROUP BY k) SELECT round({V.latlon('j.k')[0]}, 6) AS lat, round({V.latlon('j.k')[1]}, 6) AS lon, iso, gadm2, CAST({V.start16('j.period')} AS VARCHAR) AS date, c AS prob FROM j JOIN f ON f.k = j.k AND f.period = j.period WHERE j.period = j.hi")
 def api_latest(spark, d):
-    """Over the first four periods of each series."""
-    first = V.probabilities(spark, d).withColumn("prob", F.slice("prob", 1, 4))
-    out = exports.api_latest(first, V.admin(spark, d), V.RES, "16", 60)
+    """Series that rise at their end where the last observation is large."""
+    last = _k(V.ndvi(spark, d)).select("k", F.element_at("ndvi", -1).alias("last"), F.transform("ndvi", lambda x: F.when(x == -9999.0, -9999.0).otherwise(0.5)).alias("flat"))
+    rise = last.select("k", F.concat(F.slice("flat", 1, F.size("flat") - 1), F.array(F.when(F.col("last") > 100, 1.0).otherwise(0.5))).alias("prob"))
+    rows = _k(V.probabilities(spark, d)).drop("prob").join(rise, "k")
+    out = exports.api_latest(rows, V.admin(spark, d), V.RES, "16", 60)
     return out.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "iso", "gadm2", "date", "prob")
 
 
@@ -157,16 +162,21 @@ def aligned_series(spark, d):
     return a.select("k", F.col("a.start").cast("int").alias("start_idx"), F.size("a.s0").cast("long").alias("n"), A.total(A.replace_value("a.s0", -9999.0, 0.0)).alias("total"))
 
 
-_M = """m AS (SELECT l_suppkey AS k, (year(l_shipdate) - 1970) * 12 + month(l_shipdate) - 1 AS p, CAST(sum(l_quantity) AS DOUBLE) AS v FROM lineitem WHERE year(l_shipdate) BETWEEN 1993 AND 1997 GROUP BY 1, 2),
-g AS (SELECT k, unnest(range(276, 336)) AS p FROM (SELECT DISTINCT k FROM m)),
-days AS (SELECT g.k, coalesce(m.v, 0) AS v, CAST(unnest(range(make_date(CAST(1970 + g.p // 12 AS BIGINT), CAST(g.p % 12 + 1 AS BIGINT), 1), make_date(CAST(1970 + (g.p + 1) // 12 AS BIGINT), CAST((g.p + 1) % 12 + 1 AS BIGINT), 1), INTERVAL 1 DAY)) AS DATE) AS dt FROM g LEFT JOIN m ON m.k = g.k AND m.p = g.p)"""
+_DAY = "make_date(CAST(1970 + ({p}) // 12 AS BIGINT), CAST(({p}) % 12 + 1 AS BIGINT), 1)"
+_M = f"""m AS (SELECT l_suppkey AS k, {V.p32('l_shipdate')} AS p, CAST(sum(l_quantity) AS DOUBLE) AS v FROM lineitem GROUP BY 1, 2),
+s AS (SELECT k, min(p) AS lo, max(p) AS hi FROM m GROUP BY k),
+g AS (SELECT k, hi, unnest(range(lo, hi + 1)) AS p FROM s),
+days AS (SELECT g.k, g.hi, coalesce(m.v, 0) AS v, CAST(unnest(range({_DAY.format(p='g.p')}, {_DAY.format(p='g.p + 1')}, INTERVAL 1 DAY)) AS DATE) AS dt FROM g LEFT JOIN m ON m.k = g.k AND m.p = g.p),
+n AS (SELECT k, {V.p16('dt')} AS period, {V.p16(_DAY.format(p='hi + 1'))} AS ends, v FROM days)"""
 
 
-@query(f"WITH {_M} SELECT k, CAST({V.p16('dt')} AS INTEGER) AS period, CAST(floor(avg(v) + 0.5) AS BIGINT) AS value FROM days GROUP BY 1, 2")
+@query(f"WITH {_M} SELECT k, CAST(period AS INTEGER) AS period, CAST(floor(CAST(CAST(avg(v) AS FLOAT) AS DOUBLE) + 0.5) AS BIGINT) AS value FROM n WHERE period < ends GROUP BY 1, 2")
 def stretched_series(spark, d):
-    rows = V.table(spark, d, "lineitem").where(F.year("l_shipdate").between(1993, 1997)).groupBy(F.col("l_suppkey").alias("k"), P.period("l_shipdate", "32").alias("p")).agg(F.sum("l_quantity").alias("series"))
-    cells = series.to_series(rows, ["k"], "p", ["series"], 0.0, 276, 335)
-    return series.from_series(pixels.adjust_rain(cells, "32", "16"), ["k"])
+    """Monthly sums at 16 days, days keeping their dates."""
+    rows = V.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("k"), P.period("l_shipdate", "32").alias("p")).agg(F.sum("l_quantity").alias("series"))
+    cells = series.to_series(rows, ["k"], "p", ["series"], 0.0)
+    s = cells.select("k", A.stretch("start_idx", "series", "32", "16", aligned=True).alias("s"))
+    return series.from_series(s.select("k", F.col("s.start").alias("start_idx"), F.transform("s.series", A.round_half_up).alias("series")), ["k"])
 
 
 @query(f"WITH {V.OBS}, v AS (SELECT k, period, CAST(qty AS DOUBLE) AS x, 1 AS ped FROM obs WHERE period BETWEEN 600 AND 650 UNION ALL SELECT k, period, CAST(rain AS DOUBLE), 2 FROM obs WHERE period BETWEEN 640 AND 700), g AS (SELECT k, unnest(range(600, 701)) AS period FROM (SELECT DISTINCT k FROM v)), a AS (SELECT g.k, g.period, coalesce(max(CASE WHEN ped = 1 THEN x END), CASE WHEN g.period <= 650 THEN -9999.0 END) AS x1, coalesce(max(CASE WHEN ped = 2 THEN x END), CASE WHEN g.period >= 640 THEN -9999.0 END) AS x2 FROM g LEFT JOIN v ON v.k = g.k AND v.period = g.period GROUP BY g.k, g.period) SELECT k, CAST(period AS INTEGER) AS period, coalesce(x2, x1) AS value FROM a")
@@ -299,11 +309,11 @@ def region_summary(spark, d):
     return out.withColumn("hit_share", F.round("hit_share", 6))
 
 
-@query(f"WITH {V.OBS}, h AS (SELECT k, period % 16 AS h, period, prob FROM obs2 WHERE prob > 0.5), c AS (SELECT k, period, qty FROM obs WHERE qty % 3 = 0) SELECT count(*) AS hits, count(c.qty) AS matched, round(CAST(coalesce(sum(c.qty), 0) / count(*) AS DOUBLE), 6) AS avg_count FROM h LEFT JOIN c ON c.k = h.k AND c.period = h.period WHERE h.period // 23 = 26")
+@query(f"WITH {V.OBS}, h AS (SELECT k, period % 16 AS h, period, prob FROM obs2 WHERE prob > 0.5), c AS (SELECT k, period, qty FROM obs WHERE qty > 60) SELECT count(*) AS hits, count(c.qty) AS matched, round(CAST(coalesce(sum(c.qty), 0) / count(*) AS DOUBLE), 6) AS avg_count FROM h LEFT JOIN c ON c.k = h.k AND c.period = h.period WHERE h.period // 23 = 26")
 def counted_hits(spark, d):
     o = V.observations(spark, d)
     at = o.select((F.col("period") % 16).alias("h"), F.lit(8).alias("v"), F.col("k").alias("s"), F.col("period").alias("l"), F.floor(F.col("period") / 23).alias("year"), "prob", "qty")
-    hits = pixels.counted_hits(at.drop("qty"), at.where("qty % 3 = 0").select("h", "v", "s", "l", "year", F.col("qty").alias("count")), 26, 0.5)
+    hits = pixels.counted_hits(at.drop("qty"), at.where("qty > 60").select("h", "v", "s", "l", "year", F.col("qty").alias("count")), 26, 0.5)
     n = hits.agg(F.count(F.lit(1)).alias("hits"), F.count("count").alias("matched"))
     return n.crossJoin(pixels.average_count(hits)).withColumn("avg_count", F.round("avg_count", 6))
 
@@ -445,3 +455,66 @@ def estimated_probability(spark, d):
     betas = V.table(spark, d, "nation").select(F.col("n_nationkey").alias("ecoregion"), F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.when(i.isin(0, 4), b).otherwise(F.lit(0.0))).alias("beta"))
     out = classify.estimate(rows, betas, RunParams())
     return _k(out).select("k", F.round(F.col("prob")[0], 6).alias("prob"))
+
+
+_FIRES4 = f"{_FIRES}, fc AS (SELECT k, {V.p16('date')} AS p, count(*) AS n, count(*) FILTER (kelvin >= 330) AS hot FROM fires GROUP BY 1, 2)"
+
+
+@query(f"""WITH {V.DENSE}, {_FIRES4},
+d AS (SELECT k, 1242 + period - lo AS period, CAST(qty AS DOUBLE) AS s, CAST(rain AS DOUBLE) AS r FROM dense WHERE period - lo < 4),
+ff AS (SELECT k, period, coalesce(last_value(s IGNORE NULLS) OVER w, 1000000) AS s, r, coalesce(last_value(s IGNORE NULLS) OVER w, -1000000) AS b FROM d WINDOW w AS (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+v AS (SELECT k, period, min(s) OVER w AS short_drop, coalesce(r, -9999) AS long_drop, max(b) OVER w AS param_break FROM ff WINDOW w AS (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+j AS (SELECT v.*, CAST(sum(coalesce(fc.n, 0)) OVER w AS INTEGER) AS fires, CAST(sum(coalesce(fc.hot, 0)) OVER w AS INTEGER) AS hot FROM v LEFT JOIN fc ON fc.k = v.k AND fc.p = v.period WINDOW w AS (PARTITION BY v.k ORDER BY v.period))
+SELECT k, CAST(period AS INTEGER) AS period, short_drop, long_drop, param_break, fires, hot FROM j WHERE period BETWEEN 1243 AND 1244""")
+def pixel_values(spark, d):
+    """Trends left-joined with fires, one row a pixel and period."""
+    null = lambda c: F.transform(F.slice(c, 1, 4), lambda x: F.when(x != -9999.0, x))
+    dyn = V.ndvi(spark, d).select(*KEYS, F.lit(1242).alias("start_idx"), null("ndvi").alias("short"), null("precl").alias("long"), null("precl").alias("t_stat"), null("ndvi").alias("break"))
+    daily = series.fire_counts(V.fires(spark, d), ["k", "date"])
+    f = V.keyed(series.fire_series(daily, ["k"], "16", "2024-01-01", "2024-02-20"), "k").select(*KEYS, "start_idx", "fires")
+    v = F.col("val")
+    out = _k(series.pixel_values(dyn, f, 1243, 1244))
+    return out.select("k", "period", v["short_drop"].alias("short_drop"), v["long_drop"].alias("long_drop"), v["param_break"].alias("param_break"), v["fire"]["count"].alias("fires"), v["fire"]["temp330"].alias("hot"))
+
+
+@query(f"WITH {_FIRES}, p AS (SELECT (k % 18) * 10.0 - 89.99 AS lat, (k % 36) * 10.0 - 179.99 AS lon, * FROM fires) SELECT CAST(floor((90 - lat) / 10) AS INTEGER) AS v, count(*) AS n, count(*) FILTER (kelvin >= 330) AS hot FROM p GROUP BY 1")
+def located_fires(spark, d):
+    """Fires from text lines, parsed, checked and projected; counted by row of tiles."""
+    from ..sources import fires as source
+
+    k = F.col("k")
+    f = V.fires(spark, d).select("date", (k % 18 * 10.0 - 89.99).alias("lat"), (k % 36 * 10.0 - 179.99).alias("lon"), "kelvin", "conf")
+    text = lambda c: F.col(c).cast("decimal(20,6)").cast("string")
+    lines = f.select(F.concat_ws(",", text("lat"), text("lon"), text("kelvin"), F.lit("1"), F.lit("1"), F.col("date").cast("string"), F.lit("0"), F.lit("A"), text("conf"), F.lit("5"), F.lit("1"), F.lit("1")).alias("value"))
+    bad = spark.range(3).select(F.concat(F.lit("lat,lon,x,"), F.col("id").cast("string")).alias("value"))
+    out = source.located(source.parse_new(lines.unionByName(bad)), "1000")
+    return out.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("kelvin") >= 330).alias("hot"))
+
+
+@query("SELECT l_orderkey, count(*) AS n, round(sum(l_quantity * (round(l_discount * 100) + 1)) / sum(round(l_discount * 100) + 1), 6) AS mean_quantity, min(l_quantity) AS least, count(DISTINCT l_quantity) = 1 AS constant FROM lineitem GROUP BY 1")
+def weighted_means(spark, d):
+    """Array functions over the lines of an order."""
+    o = V.table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.round(F.col("l_discount") * 100) + 1).alias("w"), F.collect_list("l_quantity").alias("q"))
+    return o.select("l_orderkey", F.size("q").cast("long").alias("n"), F.round(A.weighted_mean("q", "w"), 6).alias("mean_quantity"), F.array_min("q").alias("least"), A.is_constant("q").alias("constant"))
+
+
+@query("SELECT h, v, printf('%03d%03d', h, v) AS name FROM (SELECT unnest(range(36)) AS h), (SELECT unnest(range(18)) AS v) WHERE h >= [14, 11, 9, 6, 4, 2, 1, 0, 0, 0, 0, 1, 2, 4, 6, 9, 11, 14][v + 1] AND h < 36 - [14, 11, 9, 6, 4, 2, 1, 0, 0, 0, 0, 1, 2, 4, 6, 9, 11, 14][v + 1]")
+def valid_tiles(spark, d):
+    """All tiles that hold data, there and back through their names."""
+    named = spark.range(36 * 18).select((F.col("id") % 36).alias("h"), F.floor(F.col("id") / 36).alias("v")).withColumn("name", G.tile_string("h", "v")).where("name is not null")
+    return named.select(G.parse_tile_string("name").alias("t"), "name").select(F.col("t.h").cast("long").alias("h"), F.col("t.v").cast("long").alias("v"), "name")
+
+
+@query(f"SELECT s_suppkey AS k, round({V.latlon('(s_suppkey % 10 // 2 * 2 + (s_suppkey // 10 // 2 * 2) * 10)')[0]} - 5.0 / 2400, 6) AS lat FROM supplier")
+def coarser_pixels(spark, d):
+    """Positions moved to the centre of their pixel at 1000 m."""
+    p = exports.latlon(_k(V.static(spark, d)), V.RES)
+    return p.select("k", F.round(G.snap_latlon("1000", "lat", "lon")["lat"], 6).alias("lat"))
+
+
+@query("SELECT s_suppkey AS k, CAST(s_suppkey // 10 * 2400 + s_suppkey % 10 AS BIGINT) AS window_idx FROM supplier WHERE s_suppkey // 10 < 50")
+def window_index(spark, d):
+    """A window of the world: the tile's first 50 rows."""
+    p = _k(V.static(spark, d)).withColumn("g", G.global_rowcol(V.RES, "h", "v", "sample", "line"))
+    at = G.window_index(8 * 2400, 28 * 2400, 50, 2400, "g.row", "g.col")
+    return p.select("k", at.alias("window_idx")).where("window_idx is not null")
