@@ -152,6 +152,7 @@ def shard_by_bytes(
     base = [starts[k - k % cuts] for k in range(len(starts))]
     first_slot = F.from_json(F.lit(str([s - b for s, b in zip(starts, base, strict=True)])), "array<bigint>")
     placed = keyed.withColumn(names["bucket__"], _at_most(found, F.col(names["h__"]), F.col(names["i__"])))
+    placed = placed.repartitionById(len(starts), F.col(names["bucket__"]))  # the exchange: a task for each bucket
     in_bucket = Window.partitionBy(names["bucket__"]).orderBy(names["h__"], names["i__"])
     return placed.withColumns({
         names["shard"]: F.floor(F.col(names["bucket__"]) / cuts).cast("int"),
