@@ -138,3 +138,20 @@ def test_breaks():
     assert S.downshift_magnitude(y, x, 0.05, 0.05) > 10
     flat = rng.normal(0, 1, 200)
     assert S.break_index(flat + 0.0, x, 0.5, 0.01) is None and math.isclose(S.mosum_statistic([-2.0, 1.0]), 2.0)
+
+
+def test_maps_and_fires(spark):
+    m = lambda k, v: F.create_map(F.lit(k), F.lit(v))
+    assert one(spark, A.merge_maps(m("a", 1), m("b", 2)), A.maps_overlap(m("a", 1), m("a", 2))) == [{"a": 1, "b": 2}, True]
+    with pytest.raises(Exception, match="share a key"):
+        one(spark, A.merge_maps(m("a", 1), m("a", 2)))
+    assert one(spark, A.trim_fires(F.lit(10), arr(1, 2, 3, 4), 11, 12)) == [2, 3]
+    with pytest.raises(Exception, match="begin after"):
+        one(spark, A.trim_fires(F.lit(12), arr(1, 2), 11, 12))
+
+
+def test_positions_of_flags():
+    assert S.bad_ends({2}, [2, 2, 0, 2, 0, 2]) == {0, 1, 5} and S.bad_ends({2}, [0]) == set()
+    assert S.neutralize_ends({2}, [0, 0], [1, 2]) == [1, 2]
+    assert S.interpolate(1, 3, 4) == [1.0, 1.5, 2.0, 2.5]
+    assert S.windowed_trend(3, [1.0, 2.0, 3.0, 5.0]) == pytest.approx([1.0, 1.5]) and len(S.windowed_trend(9, [1.0])) == 0

@@ -273,3 +273,22 @@ def stretch(start, series, from_res: str, to_res: str, aligned: bool = False) ->
     new = F.when(end > first, F.sequence(first, end - 1)).otherwise(F.array().cast("array<int>"))
     means = let(days, lambda held: F.transform(new, lambda p: mean(held, p)))
     return F.struct(first.alias("start"), F.filter(means, lambda x: x.isNotNull()).alias("series"))
+
+
+def maps_overlap(a, b) -> Column:
+    """Whether two maps share a key."""
+    return F.arrays_overlap(F.map_keys(_c(a)), F.map_keys(_c(b)))
+
+
+def merge_maps(a, b) -> Column:
+    """Both maps' entries; a shared key raises."""
+    shared = F.coalesce(maps_overlap(a, b), F.lit(False))
+    checked = F.when(shared, F.raise_error(F.lit("maps share a key")).cast("boolean")).otherwise(F.lit(True))
+    return F.when(checked, F.map_concat(_c(a), F.map_filter(_c(b), lambda k, v: ~F.array_contains(F.map_keys(_c(a)), k))))
+
+
+def trim_fires(start, fires, est_start: int, est_end: int) -> Column:
+    """Fire values of periods est_start .. est_end; a fire series that begins later raises."""
+    late = F.raise_error(F.lit("fires begin after the estimation")).cast("int")
+    at = F.when(_c(start) <= est_start, _c(start)).otherwise(late)
+    return trim(at, fires, F.lit(est_start), F.lit(est_end + 1))
