@@ -154,9 +154,9 @@ def test_grids_and_rasters(spark, tmp_path):
 def test_store_and_dims(spark, tmp_path):
     root = str(tmp_path / "s")
     df = spark.createDataFrame([(*PX, 1, [1.0])], f"{KEYED}, start_idx int, prob array<double>")
-    store.append(df, root, "forma", "500", "16", 1)
-    store.append(df, root, "forma", "500", "16", 2)
-    assert store.read(spark, root, "forma", "500", "16").count() == 2 and store.read(spark, root, "forma", "500", "32").count() == 0
+    store.append(df, root, "probs", "500", "16", 1)
+    store.append(df, root, "probs", "500", "16", 2)
+    assert store.read(spark, root, "probs", "500", "16").count() == 2 and store.read(spark, root, "probs", "500", "32").count() == 0
     store.consolidate(spark, root, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
     (tmp_path / "eco.txt").write_text('ecoid\tecoregion\tc1\tc2\tregionid\tregion\tpixels\thits\n10101\tx\ta\tb\t21\t"R"\t1000\t2\n')
@@ -240,5 +240,5 @@ def test_stream(spark, tmp_path):
     schema = f"{KEYED}, start_idx int, prob array<double>"
     spark.createDataFrame([(*PX, 1, [1.0])], schema).write.parquet(str(tmp_path / "in"))
     for _ in range(2):  # the second run finds nothing new
-        stream_versions(spark, str(tmp_path / "in"), schema, str(tmp_path / "root"), "forma", "500", "16", str(tmp_path / "cp"), 3).awaitTermination(60)
-    assert store.read(spark, str(tmp_path / "root"), "forma", "500", "16").count() == 1
+        stream_versions(spark, str(tmp_path / "in"), schema, str(tmp_path / "root"), "probs", "500", "16", str(tmp_path / "cp"), 3).awaitTermination(60)
+    assert store.read(spark, str(tmp_path / "root"), "probs", "500", "16").count() == 1

@@ -89,7 +89,7 @@ def spark_graph(hits: DataFrame) -> DataFrame:
     return hits.groupBy("iso", "period").agg(F.count(F.lit(1)).alias("count"))
 
 
-def blue_raster(df: DataFrame, static: DataFrame, gadm: DataFrame, s_res: str, discounts: dict[int, float] | None = None, keys: list[str] = KEYS, nodata: float = NODATA) -> DataFrame:
+def located_series(df: DataFrame, static: DataFrame, gadm: DataFrame, s_res: str, discounts: dict[int, float] | None = None, keys: list[str] = KEYS, nodata: float = NODATA) -> DataFrame:
     """Clean series with cover, admin unit, ecoregion, label and position."""
     rows = df.join(static.select(*keys, "vcf", "hansen"), keys)
     clean = rows.withColumn("clean", A.clean_probabilities(discounted("prob", "ecoid", discounts), nodata))
@@ -103,7 +103,7 @@ def download(df: DataFrame, gadm: DataFrame, s_res: str, threshold: int, t_res:
     return latlon(hits, s_res).select(text("lat").alias("lat"), text("lon").alias("lon"), "iso", "gadm2", P.period_start("period", t_res).cast("string").alias("date")).distinct()
 
 
-def david(df: DataFrame, static: DataFrame, s_res: str, keys: list[str] = KEYS, nodata: float = NODATA) -> DataFrame:
+def labelled_series(df: DataFrame, static: DataFrame, s_res: str, keys: list[str] = KEYS, nodata: float = NODATA) -> DataFrame:
     rows = df.join(static.select(*keys, "hansen"), keys)
     return latlon(rows, s_res).select("lat", "lon", A.clean_probabilities("prob", nodata).alias("clean"), "gadm2", "ecoid", "hansen")
 

@@ -155,12 +155,12 @@ def estimate(spark, betas, values, static, output, s_res="500", t_res="16", regi
 
 @job
 def probs_store(spark, probs, root, s_res="500", t_res="16", pedigree=None):
-    store.append(spark.read.parquet(probs), root, "forma", s_res, t_res, pedigree)
+    store.append(spark.read.parquet(probs), root, "probs", s_res, t_res, pedigree)
 
 
 @job
 def merge_probs(spark, root, output, s_res="500", t_res="16"):
-    _write(series.overlay_versions(store.read(spark, root, "forma", s_res, t_res), KEYS, ["prob"]), output)
+    _write(series.overlay_versions(store.read(spark, root, "probs", s_res, t_res), KEYS, ["prob"]), output)
 
 
 @job
@@ -178,8 +178,8 @@ def website(spark, probs, gadm, output, s_res="500", t_res="16", t_res_out="32",
 
 
 @job
-def blue_raster(spark, probs, static, gadm, output, s_res="500", t_res="16"):
-    store.write_text(exports.blue_raster(spark.read.parquet(probs), spark.read.parquet(static), dims.read_admin_units(spark, gadm), s_res, run_params(s_res, t_res).discounts), output)
+def located_series(spark, probs, static, gadm, output, s_res="500", t_res="16"):
+    store.write_text(exports.located_series(spark.read.parquet(probs), spark.read.parquet(static), dims.read_admin_units(spark, gadm), s_res, run_params(s_res, t_res).discounts), output)
 
 
 @job
@@ -188,8 +188,8 @@ def download(spark, probs, gadm, output, s_res="500", t_res="16", threshold="50"
 
 
 @job
-def david(spark, probs, static, output, s_res="500"):
-    store.write_text(exports.david(spark.read.parquet(probs), spark.read.parquet(static), s_res), output)
+def labelled_series(spark, probs, static, output, s_res="500"):
+    store.write_text(exports.labelled_series(spark.read.parquet(probs), spark.read.parquet(static), s_res), output)
 
 
 @job
@@ -254,8 +254,8 @@ def update(spark, work, ndvi, rain_series, static, gadm2, gadm, fires_path, beta
     w.step("admin", at("probs-admin"), ("merge-probs",), lambda: probs_admin(spark, at("merged-probs"), gadm2, static, at("probs-admin")))
     w.step("website", at("website"), ("admin",), lambda: website(spark, at("probs-admin"), gadm, at("website"), **r))
     w.step("download", at("download"), ("admin",), lambda: download(spark, at("probs-admin"), gadm, at("download"), **r))
-    w.step("blue-raster", at("blue-raster"), ("admin",), lambda: blue_raster(spark, at("probs-admin"), static, gadm, at("blue-raster"), **r))
-    w.step("david", at("david"), ("admin",), lambda: david(spark, at("probs-admin"), static, at("david"), s_res=s_res))
+    w.step("located-series", at("located-series"), ("admin",), lambda: located_series(spark, at("probs-admin"), static, gadm, at("located-series"), **r))
+    w.step("labelled-series", at("labelled_series"), ("admin",), lambda: labelled_series(spark, at("probs-admin"), static, at("labelled_series"), s_res=s_res))
     return w.run()
 
 

@@ -81,14 +81,14 @@ _CLEANS = f"{V.CLEAN}, cs AS (SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER
 
 
 @query(f"WITH {_CLEANS} SELECT c.k, round({V.latlon('c.k')[0]}, 6) AS lat, round({V.latlon('c.k')[1]}, 6) AS lon, n_name AS iso, CAST(s_suppkey * 37 % 100 AS INTEGER) AS vcf, CAST(s_acctbal > 5000 AS INTEGER) AS hansen, clean FROM cs c JOIN supplier ON s_suppkey = c.k JOIN nation ON n_nationkey = s_nationkey AND n_regionkey < 4")
-def blue_raster(spark, d):
-    out = exports.blue_raster(V.probabilities(spark, d), V.static(spark, d), V.admin(spark, d), V.RES)
+def located_series(spark, d):
+    out = exports.located_series(V.probabilities(spark, d), V.static(spark, d), V.admin(spark, d), V.RES)
     return _k(out).select("k", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "iso", "vcf", "hansen", _text("clean").alias("clean"))
 
 
 @query(f"WITH {_CLEANS} SELECT round({V.latlon('c.k')[0]}, 6) AS lat, round({V.latlon('c.k')[1]}, 6) AS lon, s_nationkey AS gadm2, s_nationkey AS ecoid, CAST(s_acctbal > 5000 AS INTEGER) AS hansen, clean FROM cs c JOIN supplier ON s_suppkey = c.k")
-def david(spark, d):
-    out = exports.david(V.probabilities(spark, d), V.static(spark, d), V.RES)
+def labelled_series(spark, d):
+    out = exports.labelled_series(V.probabilities(spark, d), V.static(spark, d), V.RES)
     return out.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "gadm2", "ecoid", "hansen", _text("clean").alias("clean"))
 
 
