@@ -129,7 +129,7 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     # a threshold on the hash leaves about 1.2 x per_language rows of a language; the driver keeps the smallest
     limit = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(min(1.0, 1.2 * per_language / n) * (1 << 30))))])
     some = base.where(F.col("h") < F.element_at(limit, F.col("lang"))).where(F.col("text").rlike(r"\p{L}"))
-    found = some.mapInPandas(_collect_sets, "lang string, h long, bits binary").collect()
+    found = some.mapInPandas(_collect_sets, "lang string, h long, bits binary").dropDuplicates(["lang", "h"]).collect()  # a repeated key once
     by: dict[str, list] = {}
     for r in sorted(found, key=lambda r: (r["lang"], r["h"], bytes(r["bits"]))):
         by.setdefault(r["lang"], []).append(bytes(r["bits"]))
