@@ -148,15 +148,16 @@ def train(rows: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Learns from at most about ``most`` labelled rows, chosen by a hash of their key.
 
     ``most`` bounds the sample, and ``most_bytes`` the texts in it: longer ones teach nothing (they are scored
-    like any other). Null labels and labels without a document teach nothing. The sample's labels are
+    like any other). Null labels and labels without a document teach nothing; of
+    repeated labels of a key the largest counts, of repeated documents one. The sample's labels are
     broadcast; its passages' features come to the driver.
     """
-    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("label_key"), F.col(label).cast("int").alias("label"))
+    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("label_key")).agg(F.max(F.col(label).cast("int")).alias("label"))
     n = known.count()
     limit = int(min(1.0, most / max(1, n)) * (1 << 30))
     known = known.withColumn("h", F.pmod(F.xxhash64("label_key", F.lit(seed)), F.lit(1 << 30))).where(F.col("h") < limit)
     texts = rows.select(F.col(key).cast("long").alias("label_key"), F.col(text).alias("text")).where(F.coalesce(F.octet_length("text"), F.lit(0)) <= most_bytes)
-    sample = texts.join(F.broadcast(known), "label_key").select("h", "label", "text")
+    sample = texts.join(F.broadcast(known), "label_key").dropDuplicates(["label_key"]).select("h", "label", "text")
     found = sorted(sample.mapInPandas(_collect_bags, "h long, label int, bag binary").collect(), key=lambda r: (r["h"], bytes(r["bag"])))
     bags = [np.frombuffer(r["bag"], dtype=np.float32).reshape(-1, N_FEATURES) for r in found]
     return fit(bags, np.array([float(r["label"] == 1) for r in found]), seed=seed)
