@@ -125,14 +125,15 @@ def shard_by_bytes(
     tolerance: float = 0.005,
     probes_each: int = 63,
     bucket_bytes: int = 8 << 20,
+    most_buckets: int = 16384,
 ) -> DataFrame:
     """All rows of ``df`` with ``shard`` (0 .. n_shards - 1), ``slot`` (gapless from 0 in a shard) and ``row_bytes``.
 
     Size of a row: UTF-8 bytes of its text plus ``row_overhead``. Shards are ranges of one order, cut so that
     their sizes miss the mean by at most ``tolerance`` where rows are small enough (else by half a row or so).
-    Each shard is cut again into buckets of about ``bucket_bytes``, so that the exchange has more tasks than
-    shards and slots are numbered without bringing a shard into one task: a bucket's first slot is the exact
-    count below its splitter. A text with a third of all rows is cut by ``order`` like any other range.
+    Each shard is cut again into buckets of about ``bucket_bytes`` (larger ones where that would make more than
+    ``most_buckets``), so that the exchange has more tasks than shards and slots are numbered without bringing a
+    shard into one task: a bucket's first slot is the exact count below its splitter. A text with a third of all rows is cut by ``order`` like any other range.
 
     A null text has only the overhead and counts as equal to other nulls; a null ``order`` sorts first; rows that
     are alike in both keys keep separate slots in any order; an empty table gives no rows. Columns of ``df`` stay;
@@ -146,8 +147,9 @@ def shard_by_bytes(
     })
     keys = materialize(keyed.select(F.col(names["h__"]).alias("h"), F.col(names["i__"]).alias("i"), F.col(names["row_bytes"]).alias("size")), "shard-keys")
     total = keys.agg(F.sum("size")).first()[0] or 0
-    cuts = max(1, -(-total // (n_shards * bucket_bytes)))
-    found, before, _ = splitters(keys, n_shards * cuts, tolerance, probes_each)
+    cuts = max(1, min(-(-total // (n_shards * bucket_bytes)), most_buckets // n_shards))
+    each = max(3, min(probes_each, (1 << 17) // (n_shards * cuts)))  # probes travel in the plan, their counts to the driver
+    found, before, _ = splitters(keys, n_shards * cuts, tolerance, each)
     starts = [0, *before]  # exact rows before each bucket
     base = [starts[k - k % cuts] for k in range(len(starts))]
     first_slot = F.from_json(F.lit(str([s - b for s, b in zip(starts, base, strict=True)])), "array<bigint>")
