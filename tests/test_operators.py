@@ -242,3 +242,20 @@ def test_stream(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         stream_versions(spark, str(tmp_path / "in"), schema, str(tmp_path / "root"), "probs", "500", "16", str(tmp_path / "cp"), 3).awaitTermination(60)
     assert store.read(spark, str(tmp_path / "root"), "probs", "500", "16").count() == 1
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_plans(spark, tmp_path):
+    """Tile filters and column choices reach the scan; a dense series takes one exchange; store filters prune folders."""
+    root = str(tmp_path / "px")
+    spark.range(50).select(F.lit("500").alias("s_res"), F.lit(28).alias("h"), F.lit(8).alias("v"), F.col("id").cast("int").alias("sample"), F.lit(0).alias("line"), F.lit(827).alias("p"), F.lit(1.5).alias("val"), F.lit("x").alias("unused")).write.parquet(root)
+    df = spark.read.parquet(root)
+    screened = plan(pixels.screen_tiles(df, {(28, 8)}).select("sample", "val"))
+    assert "In(h, [28])" in screened.replace("EqualTo(h,28)", "In(h, [28])") and "unused" not in screened.split("Physical Plan")[1]
+    dense = plan(series.to_series(df, KEYS, "p", ["val"], 0.0)).split("Physical Plan")[1]
+    assert dense.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+    store.append(df.select(*KEYS, "p", "val"), str(tmp_path / "st"), "probs", "500", "16", 1)
+    assert "PartitionFilters: [isnotnull(dataset" in plan(store.read(spark, str(tmp_path / "st"), "probs", "500", "16"))

@@ -28,7 +28,8 @@ def to_series(df: DataFrame, keys: list[str], period: str, values: list[str], fi
         rows = rows.where(F.col(period) >= start)
     if end is not None:
         rows = rows.where(F.col(period) <= end)
-    once = rows.groupBy(*keys, F.col(period).alias("p__")).agg(*[F.max(v).alias(v) for v in values])
+    rows = rows.select(*keys, F.col(period).alias("p__"), *values).repartition(*keys)  # serves both aggregations
+    once = rows.groupBy(*keys, "p__").agg(*[F.max(v).alias(v) for v in values])
     packed = once.groupBy(*keys).agg(F.min("p__").alias("lo__"), F.max("p__").alias("hi__"), F.map_from_entries(F.collect_list(F.struct("p__", F.struct(*values)))).alias("m__"))
     lo = F.lit(start) if start is not None else F.col("lo__")
     hi = F.lit(end) if end is not None else F.col("hi__")
@@ -45,7 +46,7 @@ def sparse_windows(df: DataFrame, keys: list[str], width: int, height: int, valu
     """Pixels as row-major windows: ``win_col, win_row, data``."""
     at = (F.col("line") % height) * width + F.col("sample") % width
     placed = df.select(*keys, F.floor(F.col("sample") / width).cast("int").alias("win_col"), F.floor(F.col("line") / height).cast("int").alias("win_row"), at.cast("int").alias("at"), value)
-    once = placed.groupBy(*keys, "win_col", "win_row", "at").agg(F.max(value).alias("val__"))
+    once = placed.repartition(*keys, "win_col", "win_row").groupBy(*keys, "win_col", "win_row", "at").agg(F.max(value).alias("val__"))
     packed = once.groupBy(*keys, "win_col", "win_row").agg(F.array_sort(F.collect_list(F.struct("at", "val__"))).alias("e__"))
     full = F.transform("e__", lambda e: e["val__"])  # a full window needs no look-up
     m = F.map_from_entries("e__")
@@ -122,7 +123,7 @@ def overlay_versions(df: DataFrame, keys: list[str], series: list[str], consecut
     """
     zipped = F.arrays_zip(*series)
     rows = df.select(*keys, "pedigree", "start_idx", F.posexplode(zipped).alias("at", "z")).withColumn("p", F.col("start_idx") + F.col("at"))
-    newest = rows.groupBy(*keys, "p").agg(F.max_by("z", F.struct("pedigree", "start_idx")).alias("z"))
+    newest = rows.repartition(*keys).groupBy(*keys, "p").agg(F.max_by("z", F.struct("pedigree", "start_idx")).alias("z"))
     whole = newest.groupBy(*keys).agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.map_from_entries(F.collect_list(F.struct("p", "z"))).alias("m"))
     if consecutive:
         gap = F.raise_error(F.lit("versions leave a gap")).cast("int")
