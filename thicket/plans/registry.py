@@ -477,6 +477,24 @@ def pixel_values(spark, d):
     return out.select("k", "period", v["short_drop"].alias("short_drop"), v["long_drop"].alias("long_drop"), v["param_break"].alias("param_break"), v["fire"]["count"].alias("fires"), v["fire"]["temp330"].alias("hot"))
 
 
+_WHOLE = ORACLES["pixel_values"].replace(" WHERE period - lo < 4", "").replace(" WHERE period BETWEEN 1243 AND 1244", "")
+
+
+@query(_WHOLE)
+def pixel_values_whole(spark, d):
+    """As ``pixel_values``, over every period of every series: each is shifted to begin where the fires do."""
+    null = lambda c: F.transform(c, lambda x: F.when(x != -9999.0, x))
+    start = P.period_of("2024-01-01", "16")
+    s = V.ndvi(spark, d)
+    end = start - 1 + s.agg(F.coalesce(F.max(F.size("ndvi")), F.lit(1))).first()[0]
+    dyn = s.select(*KEYS, F.lit(start).alias("start_idx"), null("ndvi").alias("short"), null("precl").alias("long"), null("precl").alias("t_stat"), null("ndvi").alias("break"))
+    daily = series.fire_counts(V.fires(spark, d), ["k", "date"])
+    f = V.keyed(series.fire_series(daily, ["k"], "16", "2024-01-01", str(P.start_of(end, "16"))), "k").select(*KEYS, "start_idx", "fires")
+    v = F.col("val")
+    out = _k(series.pixel_values(dyn, f, start, end))
+    return out.select("k", "period", v["short_drop"].alias("short_drop"), v["long_drop"].alias("long_drop"), v["param_break"].alias("param_break"), v["fire"]["count"].alias("fires"), v["fire"]["temp330"].alias("hot"))
+
+
 @query(f"WITH {_FIRES}, p AS (SELECT (k % 18) * 10.0 - 89.99 AS lat, (k % 36) * 10.0 - 179.99 AS lon, * FROM fires) SELECT CAST(floor((90 - lat) / 10) AS INTEGER) AS v, count(*) AS n, count(*) FILTER (kelvin >= 330) AS hot FROM p GROUP BY 1")
 def located_fires(spark, d):
     """Fires from text lines, parsed, checked and projected; counted by row of tiles."""
