@@ -2,46 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from thicket.session import share_package
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where that setting is absent (tests, one machine) a temporary folder takes its place.
-    """
-    share_package(spark)
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.conf.get("spark.thicket.shared.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="thicket-")
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-        spark.conf.set("spark.thicket.shared.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
+from thicket.session import fresh_path, materialize, shared_dir
 
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call gets."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` as Parquet in the shared folder and reads it back: lineage ends here and a lost
-    executor costs a re-read only."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["fresh_path", "free_name", "materialize", "shared_dir", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,4 +19,3 @@ def free_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
-
