@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from thicket.llm import chat, mixing, packing, sharding, warc
-from thicket.llm.common import fresh_path
+from thicket.llm.common import fresh_path, materialize
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -91,12 +91,45 @@ def test_warc_ties_and_empty(spark):
     assert warc.read_warc(spark, none).count() == 0
 
 
+def test_warc_whatever_the_split(spark, tmp_path):
+    """Copies find their response though the second scan is split otherwise than the first."""
+    rows = [(k, f"u{k}", f"{k % 20} " * 700) for k in range(200)] + [(900, "u", "r" * 1500)] * 7 + [(None, None, "n" * 1500)] * 2
+    pages(spark, rows).repartition(9).write.parquet(str(tmp_path / "pages"))
+    path, splits = fresh_path(spark, "t-warc"), []
+
+    def split_otherwise(df, name):
+        out = materialize(df, name)
+        splits.append(spark.read.parquet(str(tmp_path / "pages")).rdd.getNumPartitions())
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        splits.append(spark.read.parquet(str(tmp_path / "pages")).rdd.getNumPartitions())
+        return out
+
+    old, warc.materialize = warc.materialize, split_otherwise
+    try:
+        warc.write_warc(spark.read.parquet(str(tmp_path / "pages")), path)
+    finally:
+        warc.materialize = old
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert splits[0] != splits[1]
+    out = warc.resolve_revisits(warc.sound(warc.read_warc(spark, path))).collect()
+    assert len(out) == len({r.id for r in out}) == len(rows)
+    kinds = lambda some: [sum(r.type == t for r in some) for t in ("response", "revisit")]
+    plain = [r for r in out if r.page_id is not None and r.page_id < 200]
+    assert kinds(plain) == [20, 180] and all(r.refers_to == 180 + r.page_id % 20 for r in plain if r.type == "revisit")
+    assert kinds([r for r in out if r.page_id == 900]) == [1, 6] and kinds([r for r in out if r.page_id is None]) == [1, 1]
+    assert all(r.payload is not None for r in out if r.type == "response")
+
+
 def test_warc_problems(spark):
     path = fresh_path(spark, "t-warc")
     records = warc.warc_records(pages(spark, [(1, "u", "q" * 5000)]), segment_bytes=1000)
     lost = records.where(~F.col("record").contains("WARC-Segment-Number: 3\r"))
     lost.write.option("lineSep", "\r\n\r\n").text(path)
     assert warc.read_warc(spark, path).first().problem == "segments are missing"
+    with pytest.raises(Exception, match="segments are missing"):
+        warc.sound(warc.read_warc(spark, path)).collect()
     with pytest.raises(ValueError):
         warc.dechunk(b"5\r\nabc")
     assert warc.dechunk(b"3\r\nabc\r\n0\r\n\r\n") == b"abc"

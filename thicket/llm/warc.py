@@ -45,31 +45,43 @@ def chunked(data: Column, size: int) -> Column:
 def warc_records(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", segment_bytes: int = 16384, chunk_bytes: int = 4096) -> DataFrame:
     """One row a WARC record (``record`` string of bytes, without the closing line ends).
 
-    Of rows with equal payloads of at least 1000 bytes, the one with the largest key is a ``response``; the
-    others are ``revisit`` records that refer to it. Keys that tie: the row read last is the response. A null
-    key sorts first and has no Page-Id field; a null payload is empty; a null url leaves its field out.
+    Of rows with equal payloads of at least 1000 bytes, the one with the largest key (ties: the largest url) is a
+    ``response``; the others are ``revisit`` records that refer to it. Which row that is, and the identifier by which
+    the others name it, follow from contents alone, so it does not matter how the two scans are split. Rows that are
+    alike in key, url and payload are counted before they are dealt out: one response, and as many revisits as there
+    are further ones. A null key sorts first and has no Page-Id field; a null payload is empty; a null url leaves its
+    field out. An empty table gives no records; other columns are ignored.
     """
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
-    base = df.select(F.col(key).alias("key"), F.regexp_replace(url, r"[\x00-\x20]", "%20").alias("url"), payload.alias("payload"), F.monotonically_increasing_id().alias("row"))
+    base = df.select(F.col(key).alias("key"), F.regexp_replace(url, r"[\x00-\x20]", "%20").alias("url"), payload.alias("payload"))
     base = base.withColumns({"n": F.octet_length("payload"), "digest": F.sha1("payload")})
-    uuid = F.md5(F.concat_ws("|", F.coalesce(F.col("key").cast("string"), F.lit("-")), "digest", F.col("row").cast("string")))
-    dashed = F.regexp_replace(uuid, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "<urn:uuid:$1-$2-$3-$4-$5>")
-    base = base.withColumn("id", dashed)
-    heads = (
-        base.where(F.col("n") >= MIN_REVISIT)
-        .groupBy("digest")
-        .agg(F.max(F.struct("key", "row", "id", "url")).alias("head"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1")
-        .select("digest", "head")
-    )
-    heads = materialize(heads, "warc-heads")  # its size is known then: Spark broadcasts it, or sorts both sides
-    rows = base.join(heads, "digest", "left").withColumn("revisit", F.coalesce(F.col("head.row") != F.col("row"), F.lit(False)))
+
+    def urn(*parts: Column) -> Column:
+        plain = F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("-")) for p in parts]))
+        return F.regexp_replace(plain, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "<urn:uuid:$1-$2-$3-$4-$5>")
+
+    head_id = urn(F.col("head.key"), F.col("digest"), F.col("head.url"), F.lit("head"))
+    alike = base.where(F.col("n") >= MIN_REVISIT).groupBy("digest", "key", "url").agg(F.count(F.lit(1)).alias("alike"), F.max("n").alias("n"))
+    heads = alike.groupBy("digest").agg(F.max(F.struct("key", "url", "alike", "n")).alias("head"), F.sum("alike").alias("copies")).where("copies > 1")
+    heads = materialize(heads.select("digest", "head"), "warc-heads")  # its size is known then: Spark broadcasts it, or sorts both sides
+    met = base.join(heads, "digest", "left").withColumn("is_head", F.col("key").eqNullSafe(F.col("head.key")) & F.col("url").eqNullSafe(F.col("head.url")) & F.col("head").isNotNull())
+    repeated = F.col("is_head") & (F.col("head.alike") > 1)
+    columns = ["id", "key", "url", "payload", "n", "digest", "head", "head_id", "revisit"]
+    own_id = F.when(F.col("is_head"), head_id).otherwise(urn(F.col("key"), F.col("digest"), F.col("url"), F.monotonically_increasing_id()))
+    rows = met.where(~F.coalesce(repeated, F.lit(False))).select(own_id.alias("id"), "key", "url", "payload", "n", "digest", "head", head_id.alias("head_id"), (F.col("head").isNotNull() & ~F.col("is_head")).alias("revisit"))
+    many = heads.where("head.alike > 1").select("digest", "head", F.col("head.key").alias("key"), F.col("head.url").alias("url"), F.col("head.n").alias("n"), head_id.alias("head_id"))
+    if many.take(1):
+        payloads = met.where(repeated).groupBy("digest").agg(F.first("payload").alias("payload"))  # one a task before they meet
+        firsts = many.join(payloads, "digest").select("*", F.col("head_id").alias("id"), F.lit(False).alias("revisit"))
+        turns = many.withColumn("turn", F.explode(F.sequence(F.lit(2).cast("long"), F.col("head.alike"))))
+        others = turns.select("*", F.lit(None).cast("binary").alias("payload"), urn(F.col("head_id"), F.col("turn")).alias("id"), F.lit(True).alias("revisit"))
+        rows = rows.unionByName(firsts.select(*columns)).unionByName(others.select(*columns))
     http = F.concat(_bytes("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + CRLF))
     block = F.when(F.col("revisit"), F.concat(http, _bytes("Content-Length: "), F.col("n").cast("string").cast("binary"), _bytes(CRLF * 2))).otherwise(
         F.concat(http, _bytes("Transfer-Encoding: chunked" + CRLF * 2), chunked(F.col("payload"), chunk_bytes))
     )
-    cut = rows.select("id", "key", "url", "digest", "head", "revisit", block.alias("block"))
-    cut = cut.select("id", "key", "url", "digest", "head", "revisit", F.octet_length("block").alias("total"), F.posexplode(_pieces(F.col("block"), segment_bytes)).alias("seg", "part"))
+    cut = rows.select("id", "key", "url", "digest", "head", "head_id", "revisit", block.alias("block"))
+    cut = cut.select("id", "key", "url", "digest", "head", "head_id", "revisit", F.octet_length("block").alias("total"), F.posexplode(_pieces(F.col("block"), segment_bytes)).alias("seg", "part"))
     many, last = F.col("total") > segment_bytes, (F.col("seg") + 1) * segment_bytes >= F.col("total")
     first = F.col("seg") == 0
 
@@ -87,7 +99,7 @@ def warc_records(df: DataFrame, key: str = "page_id", url: str = "url", html: st
         field("Page-Id", F.col("key"), first),
         field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")), first),
         field("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), first & F.col("revisit")),
-        field("WARC-Refers-To", F.col("head.id"), first & F.col("revisit")),
+        field("WARC-Refers-To", F.col("head_id"), first & F.col("revisit")),
         field("WARC-Refers-To-Target-URI", F.col("head.url"), first & F.col("revisit")),
         field("WARC-Segment-Number", F.col("seg") + 1, many),
         field("WARC-Segment-Origin-ID", F.col("id"), ~first),
@@ -235,10 +247,17 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     return records.where("type <> 'revisit'").withColumn("refers_to", F.lit(None).cast("long")).unionByName(revisits.select(*records.columns, "refers_to"))
 
 
+def sound(records: DataFrame) -> DataFrame:
+    """``records`` without the column ``problem``; fails at the first record that has one, so that none goes missing unseen."""
+    told = F.raise_error(F.concat(F.lit("WARC record "), F.coalesce("id", F.lit("?")), F.lit(": "), F.col("problem"))).cast("string")
+    return records.withColumn("type", F.when(F.col("problem").isNotNull(), told).otherwise(F.col("type"))).drop("problem")
+
+
 def op5(spark, sf_dir: str) -> DataFrame:
+    """``pages`` written to archives and read back. Fails at a record that does not check."""
     path = fresh_path(spark, "warc")
     write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    records = read_warc(spark, path).where("problem is null")
+    records = sound(read_warc(spark, path))
     digests = records.select("id", "type", "page_id", "refers_id", "payload_bytes", F.when(F.col("type") == "revisit", F.col("digest")).otherwise(F.sha1("payload")).alias("payload_digest"))
     return resolve_revisits(materialize(digests, "warc-read")).select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
