@@ -14,6 +14,7 @@ from thicket.llm import fingerprint, langid, quality, simhash, vptree
 from thicket.llm.queries import ORACLES, QUERIES
 
 from .test_formats import documents, empty, odd
+from .test_shingles import brute_roots
 
 SF = "/root/testdata/sf0.01"
 TABLES = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
@@ -270,8 +271,10 @@ def test_pipeline(spark):
     dropped = {r.doc_id for r in lang.collect()} - {r.doc_id for r in good.collect()}
     known = [labels[i] for i in dropped if i in labels]
     assert known and np.mean(known) < 0.3
-    components = simhash.near_duplicates(good).collect()
-    assert sorted(r.doc_id for r in one.collect()) == sorted({r.component for r in components})
+    texts = {r.doc_id: r.text for r in good.collect()}
+    ids = sorted(texts)
+    roots = brute_roots([texts[i] for i in ids])
+    assert sorted(r.doc_id for r in one.collect()) == sorted({ids[k] for k in roots})
     words = lambda df: df.agg(F.sum(F.size(F.split(F.trim("text"), r"\s+")))).first()[0]
     assert abs(words(mixed) - words(one)) < 0.02 * words(one)
     assert {r.doc_id for r in mixed.collect()} <= {r.doc_id for r in one.collect()}

@@ -1,6 +1,8 @@
 """Near copies of the pipeline's stage against brute force."""
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from thicket.llm import shingles, simhash
@@ -67,8 +69,32 @@ def test_prefix_and_similarity():
     assert shingles.prefix(np.arange(10), np.array([0, 1])).tolist() == [2, 3, 4]
 
 
+@pytest.mark.parametrize("most", [7, 32768])
+def test_every_pair_without_centres(spark, monkeypatch, most):
+    """The second step alone, in blocks and whole, finds what brute force does."""
+    texts = corpus()
+    want = sorted(set(brute_roots(texts).tolist()))
+    df = documents(spark, [(k, t, "s") for k, t in enumerate(texts)])
+    monkeypatch.setattr(shingles, "_star_pairs", lambda nodes: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false"))
+    placed = shingles.near_copies(df, most=most).groupBy("root").agg(F.min("key").alias("k"))
+    assert sorted(r.k for r in placed.collect()) == want
+
+
+def test_radius_loses_no_link():
+    """Bits that differ between sets of similarity 4/5 and just above, small and large."""
+    rng, far = np.random.default_rng(5), []
+    for n in (4, 5, 9, 20, 50, 200, 1000):
+        for _ in range(400):
+            a = rng.integers(-(2**63), 2**63, n)
+            b = np.concatenate([a, rng.integers(-(2**63), 2**63, n // 4)]) if rng.random() < 0.5 else np.concatenate([a[: n - n // 9], rng.integers(-(2**63), 2**63, n // 9)])
+            far.append(int(np.bitwise_count(np.uint64((simhash.set_fingerprint(a) ^ simhash.set_fingerprint(b)) & (2**64 - 1)))))
+    assert max(far) <= shingles.RADIUS - 3
+
+
 def test_near_copies_odd_rows(spark):
     df, rows = odd(spark)
     kept = shingles.keep_one(df)
-    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {1, 2, 4, None}
+    assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "2", "4", "None"]
+    alone = shingles.keep_one(documents(spark, [(None, "a b", "s"), (None, "a b", "t"), (None, "a b", "t")])).collect()
+    assert len(alone) == 1
     assert shingles.keep_one(empty(spark)).count() == 0

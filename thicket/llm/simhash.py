@@ -35,10 +35,14 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
         hashes = [xxhash.xxh64_intdigest(b"%b %b %b" % t, SEED) for t in zip(words, words[1:], words[2:])]
     else:
         hashes = [xxhash.xxh64_intdigest(b" ".join(t), SEED) for t in zip(*(words[k:] for k in range(shingle)))]
+    return set_fingerprint(np.array(hashes, dtype="<u8"))
+
+
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """Signed 64-bit SimHash of 64-bit hashes: a bit set where over half of them have it set; 0 for none."""
     n, counts = len(hashes), np.zeros(64, dtype=np.int64)
     for lo in range(0, n, 16384):
-        some = np.array(hashes[lo : lo + 16384], dtype="<u8")
-        counts += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        counts += np.unpackbits(hashes[lo : lo + 16384].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
 
 
