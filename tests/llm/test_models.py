@@ -38,15 +38,77 @@ def test_language_odd_rows(spark):
     got = {(r.doc_id, r.text): r for r in out.collect()}
     assert got[2, None].lang_pred_ == "und" and got[3, ""].lang_pred_ == "und" and got[2, None].lang_score == 0
     none = langid.train(empty(spark))
-    assert none.score(["some text"]) == (["und"], [0.0]) and langid.identify(empty(spark), none).count() == 0
-
-
-def test_language_kernel_is_folded_exactly():
+    assert none.score(["some text"])[0] == ["und"] and none.score(["some text"])[1] == [0.0] and langid.identify(empty(spark), none).count() == 0
+
+
+def test_letters(spark):
+    """Only the Unicode categories L* are letters."""
+    for t in ("²", "½", "①", "Ⅷ", "12 3", "_", "\u0301", "", None):
+        assert not langid.has_letter(t)
+    for t in ("a", "é", "ª", "漢", "1а", "ʰ"):
+        assert langid.has_letter(t)
+    rows = [(1, "²", "s"), (2, "½ ①", "s"), (3, "Ⅷ", "s"), (4, "a", "s")]
+    model = langid.train(documents(spark, [(k, "the cat", "s") for k in range(4)]))
+    assert [r.lang_pred for r in langid.identify(documents(spark, rows), model).orderBy("doc_id").collect()] == ["und", "und", "und", "en"]
+
+
+def test_training_rows(spark):
+    """A repeated key teaches once, and the least of its sets; the most frequent languages are learned."""
+    rows = [(1, t, "s") for t in ("the cat", "a dog", "one horse")] * 3 + [(2, "le chat", "s"), (3, "la vache", "s")]
+    df = documents(spark, rows).withColumn("lang", F.when(F.col("doc_id") == 1, "en").otherwise("fr"))
+    sets = langid._collect_sets(iter([__import__("pandas").DataFrame({"lang": ["en"] * 3, "h": [1] * 3, "text": ["the cat", "a dog", "one horse"]})]))
+    least = min(bytes(b) for b in next(sets)["bits"])
+    models = [langid.train(df.repartition(k)) for k in (1, 5)]
+    assert (models[0].weights == models[1].weights).all() and models[0].languages == ("en", "fr")
+    seen = np.flatnonzero(np.unpackbits(np.frombuffer(least, dtype=np.uint8)))
+    assert (models[0].weights[seen] != 0).any(axis=1).all()
+    assert langid.train(df, most_languages=1).languages == ("en",)
+
+
+def brute_grams(text):
+    """Buckets of every n-gram, one by one."""
+    plain = bytes(b | 32 if chr(b).isascii() and chr(b).isalpha() else b if b >= 128 else 32 for b in text.encode())
+    out = set()
+    for n in range(1, 5):
+        for k in range(len(plain) - n + 1):
+            x = (int.from_bytes(plain[k : k + n], "big") + n * 0x3C6EF372) * 2654435761 % 2**32
+            out.add((x ^ x >> 15) * 2246822519 % 2**32 >> 17)
+    return out
+
+
+def test_language_scores_by_brute_force():
+    """The folded score is that of the kernel written out: landmarks, whitening, ridge regression and the regression's output."""
+    words = {"en": "the cat sat on a mat and the dog ate it", "fr": "le chat est sur la table et une vache", "de": "der hund und die katze sind im haus"}
+    rng = np.random.default_rng(3)
+    texts = [(" ".join(rng.choice(w.split(), 6)), k) for k, w in words.items() for _ in range(12)]
+    n_marks, ridge, seed = 9, 0.1, 4
+    model = langid.fit([langid.gram_buckets(t) for t, _ in texts], [y for _, y in texts], n_marks, ridge, seed)
+    kernel = lambda a, b: len(a & b) / np.sqrt(len(a) * len(b))
+    sets = [brute_grams(t) for t, _ in texts]
+    assert [sorted(s) for s in sets] == [langid.gram_buckets(t).tolist() for t, _ in texts]
+    names = sorted(words)
+    shuffled = np.random.default_rng(seed).permutation(len(texts)).tolist()
+    by = {k: [i for i in shuffled if texts[i][1] == k] for k in names}
+    marks = [i for t in range(12) for i in shuffled if by[texts[i][1]].index(i) == t][:n_marks]
+    inner = np.array([[kernel(sets[i], sets[j]) for j in marks] for i in marks])
+    values, vectors = np.linalg.eigh(inner)
+    root = vectors @ np.diag(values**-0.5)
+    x = np.array([[kernel(s, sets[j]) for j in marks] for s in sets]) @ root
+    y = np.array([[1.0 if t[1] == k else -1.0 for k in names] for t in texts])
+    beta = np.linalg.solve(x.T @ x + ridge * np.eye(x.shape[1]), x.T @ y)  # languages are equally frequent here
+    for text in ("the hund sat sur la table", "une katze", "it", *[t for t, _ in texts[:5]]):
+        f = np.array([kernel(brute_grams(text), sets[j]) for j in marks]) @ root @ beta
+        p = np.exp(4 * f) / np.exp(4 * f).sum()
+        got = model.score([text])
+        assert got[0] == [names[int(f.argmax())]] and got[1][0] == pytest.approx(p.max(), abs=1e-4) and got[2][0] == pytest.approx(f.max(), abs=1e-4)
+
+
+def test_language_model_fits():
     texts = [("the cat sat on the mat", "en"), ("le chat est sur la table", "fr"), ("der hund und die katze", "de"), ("a dog and a cat", "en"), ("une table et un chat", "fr"), ("das ist die katze", "de")]
     sets = [langid.gram_buckets(t) for t, _ in texts]
     model = langid.fit(sets, [y for _, y in texts], 6, 0.01, 1)
-    names, scores = model.score([t for t, _ in texts])
-    assert names == [y for _, y in texts] and (scores > 0.5).all()
+    names, scores, outputs = model.score([t for t, _ in texts])
+    assert names == [y for _, y in texts] and (scores > 0.5).all() and (outputs > 0).all()
     assert langid.gram_buckets("abc" * 1000, chunk=64).tolist() == langid.gram_buckets("abc" * 1000).tolist()
 
 
@@ -57,7 +119,64 @@ def test_quality_accuracy(spark):
     assert np.mean([r.quality == r.predicted for r in rows]) > 0.95
 
 
-def test_attention_gradient():
+def test_gradient_by_differences():
+    """Every weight's gradient against central differences of the mean log loss."""
+    rng = np.random.default_rng(1)
+    bags = [rng.normal(0, 1, (int(n), quality.N_FEATURES)) for n in rng.integers(1, 6, 5)]
+    x, starts, y = np.concatenate(bags), np.cumsum([0, *[len(b) for b in bags[:-1]]]), np.array([1.0, 0, 1, 0, 0])
+    w = {"encode": rng.normal(0, 0.1, (quality.N_FEATURES, 4)), "encode_bias": rng.normal(0, 1, 4), "tan": rng.normal(0, 1, (4, 3)), "gate": rng.normal(0, 1, (4, 3)), "attend": rng.normal(0, 1, 3), "out": rng.normal(0, 1, 4), "bias": rng.normal(0, 1, 1)}
+    model = quality.AttentionModel(rng.normal(0, 0.1, quality.N_FEATURES), rng.uniform(0.5, 1, quality.N_FEATURES), w)
+
+    def loss():
+        p = model.forward(x, starts)["score"]
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    grads = model.gradients(x, starts, y)
+    assert set(grads) == set(w)
+    for name, weights in w.items():
+        flat, slope = weights.reshape(-1), np.asarray(grads[name]).reshape(-1)
+        for k in range(0, len(flat), max(1, len(flat) // 40)):
+            kept = flat[k]
+            flat[k] = kept + 1e-5
+            up = loss()
+            flat[k] = kept - 1e-5
+            down = loss()
+            flat[k] = kept
+            assert slope[k] == pytest.approx((up - down) / 2e-5, abs=1e-7, rel=1e-4)
+
+
+def test_score_by_brute_force():
+    """Attention and score of one document, passage by passage."""
+    rng = np.random.default_rng(2)
+    model = quality.fit([rng.normal(0, 1, (3, quality.N_FEATURES)).astype(np.float32) for _ in range(8)], np.arange(8) % 2.0, epochs=2)
+    bag, w = rng.normal(0, 1, (5, quality.N_FEATURES)), model.weights
+    e, hs = [], []
+    for passage in bag:
+        h = np.tanh(((passage - model.mean) * model.scale) @ w["encode"] + w["encode_bias"])
+        e.append(float(sum(w["attend"][k] * np.tanh(h @ w["tan"][:, k]) / (1 + np.exp(-(h @ w["gate"][:, k]))) for k in range(len(w["attend"])))))
+        hs.append(h)
+    a = np.exp(e) / np.exp(e).sum()
+    z = sum(x * h for x, h in zip(a, hs, strict=True))
+    assert model.score([bag])[0] == pytest.approx(1 / (1 + np.exp(-(z @ w["out"] + w["bias"][0]))), abs=1e-5)
+
+
+def test_quality_sample(spark):
+    """The sample is bounded in passages; repeated keys and labels give the same model however rows are dealt."""
+    rows = [(k, f"word{k} " * 200, "s") for k in range(30)] + [(3, "other text", "s"), (3, "third", "s")]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)] + [(3, 0)], "doc_id long, quality int")
+    models = [quality.train(documents(spark, rows).repartition(n), labels) for n in (1, 4)]
+    assert all((models[0].weights[k] == models[1].weights[k]).all() for k in models[0].weights)
+    seen, fit = [], quality.fit
+    quality.fit = lambda bags, *a, **b: seen.append(sum(map(len, bags))) or fit(bags, *a, epochs=1, **b)
+    try:
+        quality.train(documents(spark, rows), labels, most_passages=20)
+    finally:
+        quality.fit = fit
+    assert 15 <= seen[0] <= 20
+    assert quality.rate(documents(spark, rows), quality.train(empty(spark), labels)).where("quality_score = 0.5").count() == len(rows)
+
+
+def test_attention_learns():
     rng = np.random.default_rng(0)
     good = [rng.normal(0, 1, (3, quality.N_FEATURES)).astype(np.float32) for _ in range(40)]
     bad = [np.concatenate([g[:2], g[2:] + 3]) for g in good]  # one passage of three tells
@@ -195,7 +314,8 @@ def test_simhash_odd_rows(spark):
     assert len(out) == len(rows)
     assert {r.component for r in out if r.fp == 0} == {2}
     kept = simhash.keep_one(df)
-    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 1, 1, 2, 4] or kept.count() >= 5
+    ids = [r.doc_id for r in kept.collect()]
+    assert kept.columns == df.columns and sorted(i for i in ids if i) == [1, 1, 1, 2, 4] and ids.count(None) == 2
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.keep_one(empty(spark)).count() == 0
     assert simhash.near_duplicates(documents(spark, [(None, "a", "s")])).first().component is None
 
@@ -279,3 +399,29 @@ def test_pipeline(spark):
     assert abs(words(mixed) - words(one)) < 0.02 * words(one)
     assert {r.doc_id for r in mixed.collect()} <= {r.doc_id for r in one.collect()}
     assert packed.agg(F.sum("length")).first()[0] == sum(len(b) // 4 + 1 for b in (__import__("thicket.llm.packing", fromlist=["x"]).tokenizer(None).encode(r.text) for r in mixed.collect()))
+
+
+def test_pipeline_language_stage(spark):
+    """Texts of no known language and wrongly declared ones go; others stay, whatever their label."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = {k: docs.where(F.col("lang") == k).orderBy("doc_id").first().text for k in ("en", "de")}
+    rows = [(-1, text["en"], "de"), (-2, text["en"], None), (-3, text["de"], "xx"), (-4, "½ 12", "en"), (-5, None, None), (-6, "これは日本語の文章です。" * 20, "en"), (-7, "xkcd qwrtz plmkn bvcxz jjjw vvvq kkkx " * 9, None), (-8, text["en"], "en")]
+    more = spark.createDataFrame([(i, t, y, "s", 0) for i, t, y in rows], "doc_id long, text string, lang string, source string, n_chars long").withColumn("language", F.lit(1))
+    given = docs.withColumn("language", F.lit(1)).unionByName(more, allowMissingColumns=True).select(*more.columns)
+    kept = corpus_pipeline.language_id(spark, given, SF)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert kept.columns == given.columns and {i for i in ids if i < 0} == {-2, -3, -8}
+    assert len([i for i in ids if i >= 0]) >= 0.985 * docs.count()
+
+
+def test_pipeline_odd_rows(spark, tmp_path):
+    """Each stage on nulls, empty and long texts, repeated rows, clashing names and no rows."""
+    df, rows = odd(spark)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (4, None), (None, 1)], "doc_id long, quality int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, df, str(tmp_path))
+        assert name == "packing" or out.columns == df.columns
+        assert out.count() > 0
+        assert stage(spark, df.where("false"), str(tmp_path)).count() == 0
+    assert corpus_pipeline.quality_filter(spark, df, str(tmp_path)).columns == df.columns
