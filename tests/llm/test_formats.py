@@ -1,6 +1,7 @@
 """Chats, archives, sharding, mixing and packing: round trips, brute force, and odd rows."""
 
 import hashlib
+import time
 import zlib
 from collections import defaultdict
 
@@ -236,7 +237,6 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    model.encode_special_tokens = True
     rng = np.random.default_rng(8)
     vocab = ["alpha", "Beta,", "gamma.", "don't", "x1y", "É", "İx", "Σας", "a..b", "\x1c", "<|endoftext|>", "ﬁ", "é"]
     rows = [(k, " ".join(rng.choice(vocab, int(n))), "s") for k, n in enumerate([0, 1, 3, 20000, *rng.integers(1, 900, 60)])]
@@ -261,6 +261,28 @@ def test_packing(spark):
     assert sum(t < 4096 - 16 for t in totals) <= 1
 
 
+def test_special_strings():
+    """As an untouched tokenizer reads them; as text where asked for."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, text = Tokenizer.from_file(path), "hello <|endoftext|> world, <|startoftext|>x<|endoftext|>! <|ENDOFTEXT|>"
+    ids = np.frombuffer(packing.tokenizer(None).encode(text), "<u4").tolist()
+    assert ids == plain.encode(text, add_special_tokens=False).ids and 49407 in ids
+    plain.encode_special_tokens = True
+    assert np.frombuffer(packing.tokenizer(None, True).encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_long_document_is_linear():
+    ids, packer = np.arange(16_000_001, dtype="<u4").tobytes(), packing.Packer(4096, 3, 16)
+    began = time.time()
+    packer.add(1, 0, ids, len(ids) // 4)
+    full, last = packing.pour([*packer.taken(), *packer.left()], 4096)
+    assert time.time() - began < 5 and len(full) == 16_000_001 // 4096 and len(last[0][2]) == 4 * (16_000_001 % 4096)
+    assert b"".join(p[2] for w in full + [last] for p in w) == ids
+
+
 def test_packing_odd_rows(spark):
     df, rows = odd(spark)
     out = packing.pack(df).collect()

@@ -42,17 +42,22 @@ class WordTokenizer(dict):
 
     Such a tokenizer never joins what white space separates, so each word is encoded once and kept here, at most
     ``most`` words and as many stems (a word in lower case without the marks at its end), none over 64 characters.
-    A stem of Latin letters goes to the vocabulary's merges at once; other words take the tokenizer's whole way.
+    A stem of Latin letters goes to the vocabulary's merges at once; other words take the tokenizer's whole way, and so do
+    whole texts where a tokenizer is of another kind. ``plain_specials``: strings such as an end mark are ordinary text;
+    else they have their own ids, as the tokenizer reads them by itself.
     """
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, plain_specials: bool = False, most: int = 200_000):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # such strings in a text are ordinary text
+        self.model.encode_special_tokens = plain_specials
         self.merges, self.letters, self.most = self.model.model, _byte_letters(), most
         self.stems: dict[str, bytes] = {}
         self.ends: dict[str, bytes] = {}
+        spaced = any(re.search(r"\s", t.content) for t in self.model.get_added_tokens_decoder().values())
+        probe = " Once, (upon) a\ntime  Étés don't x1 "
+        self.by_word = not spaced and self.direct(probe) == b"".join(map(self.__getitem__, probe.split()))
 
     def direct(self, text: str) -> bytes:
         return pack_ids(*self.model.encode(text, add_special_tokens=False).ids)
@@ -88,21 +93,21 @@ class WordTokenizer(dict):
         return out
 
     def encode(self, text: str) -> bytes:
-        return self.direct(text) if _ODD.search(text) else b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, text.split())) if self.by_word and not _ODD.search(text) else self.direct(text)
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
+_tokenizers: dict[tuple[str, bool], WordTokenizer] = {}
 
 
-def tokenizer(path: str | None) -> WordTokenizer:
-    """One for each worker process and path; without a path, the public 49k word BPE."""
+def tokenizer(path: str | None, plain_specials: bool = False) -> WordTokenizer:
+    """One for each worker process, path and setting; without a path, the public 49k word BPE."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+    if (path, plain_specials) not in _tokenizers:
+        _tokenizers[path, plain_specials] = WordTokenizer(path, plain_specials)
+    return _tokenizers[path, plain_specials]
 
 
 class Packer:
@@ -121,9 +126,10 @@ class Packer:
 
     def add(self, doc, start: int, ids: bytes, total: int) -> None:
         n = len(ids) // 4
-        while n > self.size:
-            self.full.append([(doc, start, ids[: 4 * self.size], total)])
-            ids, start, n = ids[4 * self.size :], start + self.size, n - self.size
+        if n > self.size:  # windows of its own, and a rest; each id is copied once
+            whole = (n - 1) // self.size * self.size
+            self.full += [[(doc, start + k, ids[4 * k : 4 * (k + self.size)], total)] for k in range(0, whole, self.size)]
+            ids, start, n = ids[4 * whole :], start + whole, n - whole
         while True:
             at = bisect_left(self.free, (n, -1))
             if at < len(self.free):
@@ -158,10 +164,11 @@ def pour(windows: list[list], size: int) -> tuple[list[list], list]:
     """Pieces of all windows poured one after another into full windows; the last, not full, comes second."""
     full, now, room = [], [], size
     for doc, start, ids, total in (p for w in windows for p in w):
-        while ids:
-            put = ids[: 4 * room]
-            now.append((doc, start, put, total))
-            start, ids, room = start + len(put) // 4, ids[len(put) :], room - len(put) // 4
+        at = 0
+        while at < len(ids):
+            put = ids[at : at + 4 * room]
+            now.append((doc, start + at // 4, put, total))
+            at, room = at + len(put), room - len(put) // 4
             if not room:
                 full.append(now)
                 now, room = [], size
@@ -190,19 +197,19 @@ class _Rows:
             yield out.astype({"doc_id": "Int64"})
 
 
-def _tokenize_and_pack(path: str | None, end_id: int, size: int, windows: int, gap: int):
+def _tokenize_and_pack(path: str | None, plain_specials: bool, end_id: int, size: int, windows: int, gap: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, packer = tokenizer(path), Packer(size, windows, gap)
+        model, packer = tokenizer(path, plain_specials), Packer(size, windows, gap)
         rows = _Rows(0, TaskContext.get().partitionId())
         for batch in batches:
             docs = [None if pd.isna(x) else int(x) for x in batch["doc_id"]]
             texts = ["" if x is None else x for x in batch["text"]]
             at = 0
-            while at < len(texts):  # some texts at a time, about 4 MB
+            while at < len(texts):  # some texts at a time, about 1 MB
                 to, chars = at, 0
-                while to < len(texts) and (to == at or chars < 4_000_000):
+                while to < len(texts) and (to == at or chars < 1_000_000):
                     chars += len(texts[to])
                     to += 1
                 for doc, text in zip(docs[at:to], texts[at:to], strict=True):
@@ -210,7 +217,7 @@ def _tokenize_and_pack(path: str | None, end_id: int, size: int, windows: int, g
                     packer.add(doc, 0, ids, len(ids) // 4)
                 for window in packer.taken():
                     rows.put(window, False)
-                yield from rows.frames(8 << 20)
+                    yield from rows.frames(4 << 20)
                 at = to
         for window in packer.left():
             rows.put(window, True)
@@ -235,7 +242,7 @@ def _merge(size: int, windows: int, gap: int, level: int):
     return run
 
 
-def pack(df: DataFrame, doc: str = "doc_id", text: str = "text", path: str | None = None, end_id: int = 2, size: int = 4096, windows: int = 64, gap: int = 16, fan_in: int = 16) -> DataFrame:
+def pack(df: DataFrame, doc: str = "doc_id", text: str = "text", path: str | None = None, plain_specials: bool = False, end_id: int = 2, size: int = 4096, windows: int = 64, gap: int = 16, fan_in: int = 16) -> DataFrame:
     """Packs all texts of ``df`` into sequences of at most ``size`` tokens.
 
     Returns a row a piece: ``doc_id, start`` (its document's tokens before it), ``length, ids`` (little-endian
@@ -243,10 +250,10 @@ def pack(df: DataFrame, doc: str = "doc_id", text: str = "text", path: str | Non
     text is empty. Documents longer than ``size`` fill sequences of their own, and their rest is placed like a
     short document. Sequences are emitted with at most ``gap`` tokens unused; only the very last may have more.
     A null id stays null; repeated rows are documents of their own; other columns are ignored; an empty table
-    gives no rows. A partition holds ``windows`` windows at a time; a merge task, those of ``fan_in`` partitions.
+    gives no rows. Strings of special tokens have their own ids unless ``plain_specials``. A partition holds ``windows`` windows at a time; a merge task, those of ``fan_in`` partitions.
     """
     rows = df.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    out = materialize(rows.mapInPandas(_tokenize_and_pack(path, end_id, size, windows, gap), PIECE), "packed")
+    out = materialize(rows.mapInPandas(_tokenize_and_pack(path, plain_specials, end_id, size, windows, gap), PIECE), "packed")
     done, left, level = out.where("not open"), out.where("open"), 0
     parts = (out.where("open").agg(F.max("part")).first()[0] or 0) + 1
     while True:
@@ -259,6 +266,7 @@ def pack(df: DataFrame, doc: str = "doc_id", text: str = "text", path: str | Non
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed by the production settings; a row a piece, with a checksum of its ids."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = pack(docs)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
