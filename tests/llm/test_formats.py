@@ -170,6 +170,34 @@ def test_sharding_odd_rows(spark):
     assert sharding.shard_by_bytes(documents(spark, [(1, "a", "s")])).first().slot == 0
 
 
+def test_sharding_equal_rows(spark):
+    """400 rows alike in text and id among 500: shards are as even as rows allow."""
+    rows = [(7, "the same text", "s")] * 400 + [(100 + k, f"text number {k}", "s") for k in range(100)]
+    out = sharding.shard_by_bytes(documents(spark, rows).repartition(4), n_shards=10).select(F.col("shard").alias("s"), F.col("slot").alias("l"), "row_bytes").collect()
+    assert len(out) == 500
+    check_shards(out, 10)
+    sums = [sum(r.row_bytes for r in out if r.s == k) for k in range(10)]
+    assert max(sums) - min(sums) <= 3 * max(r.row_bytes for r in out)
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 40])
+def test_splitters_against_a_sorted_list(spark, parts):
+    rng = np.random.default_rng(parts)
+    rows = [(int(h), int(i), 0, int(s)) for h, i, s in zip(rng.integers(-5, 5, 900) * 2**60, rng.integers(-3, 60, 900), rng.integers(1, 200, 900), strict=True)]
+    found, before, alike = sharding.splitters(spark.createDataFrame(rows, "h long, i long, r long, size long"), parts, 0.0, 5)
+    line = sorted(r[:3] for r in rows)
+    assert len(found) == parts - 1 and before == [sum(x < cut for x in line) for cut in found]
+    total, below = sum(r[3] for r in rows), 0
+    edges = [0]
+    for key in sorted(set(line)):
+        below += sum(r[3] for r in rows if r[:3] == key)
+        edges.append(below)
+    for k, cut in enumerate(found, 1):
+        target, got = total * k / parts, sum(r[3] for r in rows if r[:3] < cut)
+        assert abs(got - target) == pytest.approx(min(abs(e - target) for e in edges))
+    assert not alike or len(set(line)) < len(line)
+
+
 # --- mixing ---
 
 
