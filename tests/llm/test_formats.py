@@ -212,9 +212,19 @@ def test_permutation_and_counts():
     for n in (1, 2, 3, 17, 1000):
         p = mixing.permute(np.arange(n), np.full(n, n), np.full(n, 9))
         assert sorted(p) == list(range(n))
-    drawn = mixing.draw_counts([5, 0, 900], 64, 1)
-    assert drawn.sum(axis=0).tolist() == [5, 0, 900] and set(drawn.sum(axis=1)[:-1]) == {64}
-    assert mixing.draw_counts([], 64, 1).shape == (0, 0)
+    owed = np.array([5, 0, 900, 70_000])
+    counts = mixing.ShardCounts(owed, 64, 1)
+    found = [counts.of(k) for k in range(counts.shards)]
+    drawn = np.array([inside for _, inside in found])
+    assert drawn.sum(axis=0).tolist() == owed.tolist() and set(drawn.sum(axis=1)[:-1]) == {64}
+    assert np.array_equal(np.array([before for before, _ in found]), np.cumsum(drawn, axis=0) - drawn)
+    for k in (700, 3, counts.shards - 1):  # any shard by itself
+        assert all(np.array_equal(a, b) for a, b in zip(mixing.ShardCounts(owed, 64, 1).of(k), found[k], strict=True))
+    assert abs(drawn[:, 2].mean() - 64 * 900 / owed.sum()) < 0.1 and drawn[:, 2].std() < 2
+    assert mixing.ShardCounts(np.zeros(0), 64, 1).shards == 0
+    huge = mixing.ShardCounts(np.array([10**12, 3 * 10**12]), 4096, 1)  # as many blocks as 100 TB have, and more
+    before, inside = huge.of(huge.shards // 3)
+    assert inside.sum() == 4096 and abs(before[0] / before.sum() - 0.25) < 0.001
 
 
 def test_mixing_against_brute_force(spark):
@@ -253,6 +263,10 @@ def test_mixing_odd_rows(spark):
     assert len(out) == len(rows) and all(r.taken <= 3 * r.size for r in out)
     docs = mixing.mix_documents(df)
     assert docs.columns == df.columns and docs.count() > 0
+    many = [(1, "a b c", "s")] * 300 + [(1, "a b c", "t")] * 3 + [(None, "d e", None)] * 200
+    mixed = mixing.taken_words(mixing.mix(documents(spark, many), rows_each=10)).collect()
+    assert len(mixed) == 503 and sum(r.taken for r in mixed) > 0 and len({r.doc_row for r in mixed}) == 503
+    assert {r.source for r in mixing.mix_documents(documents(spark, many)).collect()} == {"s", "t", None}
     assert all(r.text for r in docs.select("text").collect())
     assert mixing.taken_words(mixing.mix(empty(spark))).count() == 0 and mixing.mix_documents(empty(spark)).count() == 0
 
