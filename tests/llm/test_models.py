@@ -341,8 +341,36 @@ def test_nearest_exact(spark):
         best = sorted((k for k in range(900) if k != q), key=lambda k: (-score[k], k))[:5]
         assert [out[q, r + 1][0] for r in range(5)] == best
         assert [out[q, r + 1][1] for r in range(5)] == [score[k] for k in best]
-    loose = vptree.nearest(df, asked, shard_rows=200, leaf=16, factor=1.3).collect()
-    assert len(loose) == len(out)
+    again = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in vptree.nearest(df, asked, shard_rows=90, leaf=16, sample=320, region_rows=50).collect()}
+    assert again == out
+
+
+def test_nearest_prunes_clusters(spark):
+    """On clustered vectors queries go to few regions and meet few rows of them; factor 1 stays exact, more is measured."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(64, 16))
+    x = centres[rng.integers(0, 64, 6000)] + 0.05 * rng.normal(size=(6000, 16))
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    asked = np.arange(0, 6000, 50)
+    cosine = unit[asked] @ unit.T
+    cosine[np.arange(len(asked)), asked] = -2
+    want = {int(q): set(np.argsort(-c)[:5].tolist()) for q, c in zip(asked, cosine, strict=True)}
+    df = vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)]).withColumn("embedding", F.col("embedding").cast("array<double>"))
+    sent, recall = {}, {}
+    for factor in (1.0, 3.0):
+        seen, old = {}, vptree.materialize
+        vptree.materialize = lambda df, name, seen=seen, old=old: seen.setdefault(name, old(df, name))
+        try:
+            got = vptree.nearest(df, df.where("vec_id % 50 = 0"), sample=1024, region_rows=200, factor=factor).collect()
+        finally:
+            vptree.materialize = old
+        sent[factor] = seen["nearest-sent"].count()
+        recall[factor] = np.mean([r.vec_id in want[r.query_id] for r in got])
+        assert len(got) == 5 * len(asked)
+    assert recall[1.0] == 1 and sent[1.0] < 0.5 * len(asked) * 15 and sent[3.0] <= sent[1.0] and recall[3.0] >= 0.9
+    tree = vptree.VPTree(np.arange(6000), x, leaf=64)
+    shares = [tree.search(asked, x[asked], 5, f).compared / (6000 * len(asked)) for f in (1.0, 2.0, 4.0)]
+    assert shares[0] < 0.5 and shares == sorted(shares, reverse=True)
 
 
 def test_nearest_odd_rows(spark):
