@@ -69,14 +69,15 @@ def test_prefix_and_similarity():
     assert shingles.prefix(np.arange(10), np.array([0, 1])).tolist() == [2, 3, 4]
 
 
-@pytest.mark.parametrize("most", [7, 32768])
-def test_every_pair_without_centres(spark, monkeypatch, most):
-    """The second step alone, in blocks and whole, finds what brute force does."""
+@pytest.mark.parametrize(("most", "block", "families"), [(7, 1 << 19, False), (32768, 300, True), (32768, 1 << 19, True)])
+def test_either_step(spark, monkeypatch, most, block, families):
+    """Pairs of candidates without families, and families, in blocks and whole, find what brute force does."""
     texts = corpus()
     want = sorted(set(brute_roots(texts).tolist()))
     df = documents(spark, [(k, t, "s") for k, t in enumerate(texts)])
-    monkeypatch.setattr(shingles, "_star_pairs", lambda nodes: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false"))
-    placed = shingles.near_copies(df, most=most).groupBy("root").agg(F.min("key").alias("k"))
+    if not families:
+        monkeypatch.setattr(shingles, "_star_pairs", lambda nodes: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false"))
+    placed = shingles.near_copies(df, most=most, block=block).groupBy("root").agg(F.min("key").alias("k"))
     assert sorted(r.k for r in placed.collect()) == want
 
 
