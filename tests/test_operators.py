@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from thicket.functions import geo as G
+from thicket.functions import periods as P
 from thicket.operators import classify, exports, neighbors, pixels, series
 from thicket.plans.jobs import JOBS, Workflow, main
 from thicket.schema import KEYS, RunParams, pixel_value
@@ -234,6 +236,124 @@ def test_update_chain(spark, tmp_path):
     assert again == []
 
 
+def test_update_from_raw_files(spark, tmp_path):
+    """Rasters, rain grids and fire text through the whole chain, with coefficients learned in it."""
+    at = lambda n: str(tmp_path / n)
+    rng, width = np.random.default_rng(3), 1200
+    dates = [str(P.start_of(P.period_of("2004-01-01", "32") + k, "32")) for k in range(30)]
+    (tmp_path / "hdf").mkdir()
+    for d in dates:
+        (tmp_path / "hdf" / f"{d}.hdf").write_bytes(d.encode())
+
+    def opener(content, bands):
+        values = np.random.default_rng(int(content[-5:-3]) + int(content[:4])).integers(4000, 6000, (2, width))
+        yield "ndvi", {"TileID": "51028008", "SHORTNAME": "MOD13A3", "RANGEBEGINNINGDATE": content.decode()}, values
+
+    (tmp_path / "rain").mkdir()
+    for year in (2004, 2005, 2006):
+        grid = np.full((24, 360, 720), -999, dtype="<f4")
+        grid[::2, 180:200] = rng.uniform(1, 9, (12, 20, 720))
+        (tmp_path / "rain" / f"precl_{year}").write_bytes(gzip.compress(grid.tobytes(), 1))
+    keep = [("1000", 28, 8, s, l) for s in range(6) for l in range(2)]
+    lat, lon = spark.createDataFrame([keep[0]], KEYED).select(*[G.pixel_to_latlon("1000", "h", "v", "sample", "line")[x] for x in ("lat", "lon")]).first()
+    lines = ["latitude,longitude,x", f"{lat:.5f},{lon:.5f},340,1,1,2005-12-20,0,A,80,5,1,1", "1.2.3,4,5"]
+    (tmp_path / "fires.txt").write_text("\n".join(lines))
+    spark.createDataFrame([(*p, 30, 7, 10101, int(p[3] % 2), 5) for p in keep], f"{KEYED}, vcf int, gadm int, ecoid int, hansen int, coast_dist int").write.parquet(at("static"))
+    spark.createDataFrame([(*p, 88500) for p in keep], f"{KEYED}, gadm2 int").write.parquet(at("gadm2"))
+    (tmp_path / "gadm.csv").write_text("iso,objectid\nIDN,88500\n")
+    ran = JOBS["update"](
+        spark, at("work"), None, None, at("static"), at("gadm2"), at("gadm.csv"), None, None, "2006-05-01", est_start="2005-12-01", s_res="1000", t_res="32",
+        raster_source=at("hdf"), rain_source=at("rain"), fires_source=at("fires.txt"), chunk_size=str(width), opener=opener,
+    )
+    assert {"rasters", "ndvi", "rain", "fires", "training", "betas", "estimate", "website"} <= set(ran) and len(ran) == 21
+    read = spark.read.parquet
+    assert read(at("work/ndvi")).count() == 2 * width and read(at("work/ndvi")).first().ndvi[0] >= 4000
+    assert read(at("work/fires")).count() == 1 and {r.value for r in spark.read.text(at("work/fires-rejected")).collect()} == {lines[0], lines[2]}
+    assert read(at("work/betas")).count() == 1 and all(0 <= p <= 1 for r in read(at("work/estimated")).collect() for p in r.prob)
+    assert read(at("work/estimated")).count() == len(keep)
+
+
+def test_layers_in_the_store(spark, tmp_path):
+    """Static layers and rain as stored chunks, and back to pixels."""
+    root, px = str(tmp_path / "store"), str(tmp_path / "px")
+    pix = spark.createDataFrame([("1000", 28, 8, s, l) for s in range(1200) for l in range(2)], KEYED)
+    pix.write.parquet(px)
+    (tmp_path / "g.txt").write_text("\n".join(" ".join(str(c + 10 * r) for c in range(5)) for r in range(2)))
+    tile = spark.createDataFrame([("1000", 0, 5, s, l) for s in range(5) for l in range(2)], KEYED)
+    tile.write.parquet(str(tmp_path / "t"))
+    JOBS["preprocess_ascii"](spark, "gadm", str(tmp_path / "g.txt"), str(tmp_path / "t"), root, s_res="1000", chunk_size="1200")
+    JOBS["explode_static"](spark, root, "gadm", str(tmp_path / "out"), s_res="1000", chunk_size="1200")
+    assert {(r["sample"], r.line, r.val) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {(c, r, c + 10 * r) for c in range(5) for r in range(2)}
+    cells = pix.withColumn("c", G.pixel_to_cell("1000", grids.GRIDS["vcf"], "h", "v", "sample", "line")).select("c.row", "c.col").distinct().withColumn("val", (F.col("row") + F.col("col")) % 50)
+    fine = grids.static_layer(cells, pix, "1000", "vcf")
+    down = grids.downsample(cells, pix, "1000", grids.GRIDS["vcf"], "sum")
+    assert fine.count() == down.count() > 0 and fine.agg(F.max("val")).first()[0] < 50 <= down.agg(F.max("val")).first()[0] + 50
+    coarse = pix.withColumn("c", G.pixel_to_cell("1000", grids.GRIDS["precl"], "h", "v", "sample", "line")).select("c.row", "c.col").distinct()
+    up = grids.static_layer(coarse.withColumn("val", F.col("col").cast("int")), pix, "1000", "precl")
+    assert up.count() == pix.count()
+    month = coarse.select(F.lit("2001-02-01").alias("date"), "row", "col", (F.col("col") * 1.5).alias("val"))
+    chunks = rain.rain_chunks(month, pix, "1000", 1200).collect()
+    assert [len(r.data) for r in chunks] == [1200, 1200] and {r.date for r in chunks} == {"2001-02-01"}
+    assert sum(chunks[0].data) + sum(chunks[1].data) == pytest.approx(rain.resample(month, pix, "1000", grids.GRIDS["precl"]).agg(F.sum("val")).first()[0])
+
+
+def test_consolidate_spreads(spark, tmp_path):
+    df = spark.range(400).select(F.col("id").alias("x")).repartition(8)
+    store.append(df, str(tmp_path / "s"), "probs", "500", "16", 1)
+    for files in (1, 4):
+        store.consolidate(spark, str(tmp_path / "s"), str(tmp_path / f"t{files}"), files)
+        out = spark.read.parquet(str(tmp_path / f"t{files}"))
+        assert out.count() == 400 and 1 <= len(out.inputFiles()) <= files
+    assert len(out.inputFiles()) > 1
+    store.absorb(spark, str(tmp_path / "s"), str(tmp_path / "t1"))
+    assert store.read(spark, str(tmp_path / "t1"), "probs", "500", "16").count() == 800
+
+
+def test_lines_are_numbered_whatever_the_split(spark, tmp_path):
+    (tmp_path / "g.txt").write_text("".join(f"{k}\n" for k in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        lines = grids.index_lines(spark, str(tmp_path / "g.txt"), 1)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r.row == int(r.value) - 1 for r in lines.collect()} == {True} and lines.count() == 2999
+
+
+def test_fire_windows_by_period(spark, tmp_path):
+    from thicket.streaming.updates import fire_windows
+
+    rows = [(1, "2024-01-02 10:00:00", 340.0, 60.0), (1, "2024-01-09 10:00:00", 320.0, 40.0), (1, "2024-01-20 00:00:00", 350.0, 10.0), (2, "2024-01-02 00:00:00", 1.0, None)]
+    spark.createDataFrame(rows, "k int, ts string, kelvin double, conf double").withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k int, ts timestamp, kelvin double, conf double").parquet(str(tmp_path / "in"))
+    q = fire_windows(stream, ["k"]).writeStream.format("memory").queryName("fire_windows").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination(90)
+    start = P.period_of("2024-01-01", "16")
+    assert {tuple(r) for r in spark.table("fire_windows").collect()} == {(1, start, 1, 1, 1, 2), (1, start + 1, 1, 0, 0, 1), (2, start, 0, 0, 0, 0)}
+
+
+def test_neighbors_travel_once(spark, tmp_path):
+    """One exchange of one row a pixel; windows and blocks against a look at every pair."""
+    rng = np.random.default_rng(5)
+    some = sorted({(int(a), int(b)) for a, b in rng.integers(0, 14, (90, 2))})
+    values(spark, [(s, l, float(7 * s + l), 1) for s, l in some]).write.parquet(str(tmp_path / "v"))
+    df = spark.read.parquet(str(tmp_path / "v"))
+    for window, halo in ((5, False), (5, True), (600, False)):
+        out = neighbors.neighbor_values(df, window, halo)
+        text = plan(out).split("Physical Plan")[1].split("== Initial Plan ==")[-1]
+        assert text.count("Exchange hashpartitioning") == 1
+        for r in out.collect():
+            near = [(s, l) for s, l in some if (s, l) != (r["sample"], r.line) and abs(s - r["sample"]) <= 1 and abs(l - r.line) <= 1 and (halo or (s // window, l // window) == (r["sample"] // window, r.line // window))]
+            assert r.neighbor.neighbor_count == len(near)
+            if near:
+                assert r.neighbor.min_short_drop == min(7 * s + l for s, l in near)
+    for side in (4, 64):
+        out = neighbors.window_stat(df.withColumn("x", F.col("val.short_drop")), ["h", "v"], "x", 2, side)
+        for r in out.collect():
+            near = [7 * s + l for s, l in some if abs(s - r["sample"]) <= 2 and abs(l - r.line) <= 2]
+            assert (r.n, r.min_value, r.max_value) == (len(near), min(near), max(near))
+        assert out.count() == len(some)
+
+
 def test_stream(spark, tmp_path):
     from thicket.streaming.updates import stream_versions
 

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..schema import KEYS, NEIGHBOR_STATS, NODATA, PIXEL_STATS, add_fires, fire, has_nodata
 
-OFFSETS = [(dl, ds) for dl in (-1, 0, 1) for ds in (-1, 0, 1)]  # by rows; the fourth is the pixel itself
-
 
 def neighbor_of(value: Column) -> Column:
     """A single pixel's features as an aggregate of one."""
@@ -45,36 +43,51 @@ def combine_neighbors(values: Column, nodata: float = NODATA) -> Column:
     return F.when(F.size(values) > 0, folded).otherwise(empty_neighbor())
 
 
+def _sent(df: DataFrame, keys: list[str], columns: list[str], radius: int, side: int, across: bool) -> DataFrame:
+    """Each pixel at all places within ``radius``, in blocks of ``side`` x ``side`` places: ``block_s, block_l``, the place's
+    ``sample, line``, and the offset ``ds, dl`` from place to pixel.
+
+    Pixels travel by block, one row each, and a second one for each further block that their places reach (``across``; else
+    no place beyond the own block is seen). Only then, in the block's task, are they copied to their places.
+    """
+    block = lambda c: F.floor(c / side)
+    placed = df.select(*keys, F.col("sample").alias("from_s"), F.col("line").alias("from_l"), *columns)
+    if across:
+        reach = lambda c: F.sequence(block(F.col(c) - radius), block(F.col(c) + radius))
+        placed = placed.withColumn("block_s", F.explode(reach("from_s"))).withColumn("block_l", F.explode(reach("from_l")))
+    else:
+        placed = placed.withColumns({"block_s": block(F.col("from_s")), "block_l": block(F.col("from_l"))})
+    span = range(-radius, radius + 1)
+    at = F.explode(F.array(*[F.struct(F.lit(dl).alias("dl"), F.lit(ds).alias("ds")) for dl in span for ds in span]))
+    copied = placed.repartition(*keys, "block_s", "block_l").select("*", at.alias("o"))
+    copied = copied.select(*keys, "block_s", "block_l", (F.col("from_s") - F.col("o.ds")).alias("sample"), (F.col("from_l") - F.col("o.dl")).alias("line"), "o.ds", "o.dl", *columns)
+    return copied.where((block(F.col("sample")) == F.col("block_s")) & (block(F.col("line")) == F.col("block_l")))
+
+
 def neighbor_values(df: DataFrame, window: int = 600, halo: bool = False, keys: list[str] = KEYS, nodata: float = NODATA) -> DataFrame:
     """Each pixel's features (keys, period, val) with ``neighbor``, those of up to 8 pixels around it in its period.
 
-    Every pixel is sent to its neighbours' places, itself included, and met there by one exchange; a place holds at most
-    nine. Pixels of another window of ``window`` x ``window`` are not seen, nor of another tile; ``halo`` sees across
-    windows of a tile.
+    Pixels of another window of ``window`` x ``window`` are not seen, nor of another tile, so a window is what one exchange
+    brings together, a row a pixel; ``halo`` sees across windows of a tile, whose edges then travel twice. A place is met
+    by at most nine pixels, inside the task.
     """
     place = [k for k in keys if k not in ("sample", "line")]
-    at = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(dl).alias("dl"), F.lit(ds).alias("ds")) for k, (dl, ds) in enumerate(OFFSETS)]))
-    sent = df.select(*place, "period", "sample", "line", "val", at.alias("o"))
-    to_s, to_l = F.col("sample") - F.col("o.ds"), F.col("line") - F.col("o.dl")
-    if not halo:
-        same = (F.floor(to_s / window) == F.floor(F.col("sample") / window)) & (F.floor(to_l / window) == F.floor(F.col("line") / window))
-        sent = sent.where(same)
-    met = sent.select(*place, "period", to_s.alias("sample"), to_l.alias("line"), "o.k", "val")
-    own = F.col("k") == OFFSETS.index((0, 0))
-    groups = met.groupBy(*place, "period", "sample", "line").agg(
+    met = _sent(df, [*place, "period"], ["val"], 1, window, halo)
+    own = (F.col("ds") == 0) & (F.col("dl") == 0)
+    order = (F.col("dl") + 1) * 3 + F.col("ds") + 1  # by rows
+    groups = met.groupBy(*place, "period", "block_s", "block_l", "sample", "line").agg(
         F.max(F.when(own, F.col("val"))).alias("val"),
-        F.array_sort(F.collect_list(F.when(~own, F.struct("k", "val")))).alias("around"),
+        F.array_sort(F.collect_list(F.when(~own, F.struct(order.alias("k"), "val")))).alias("around"),
     )
     combined = combine_neighbors(F.transform("around", lambda x: x["val"]), nodata)
     return groups.where(F.col("val").isNotNull()).select(*keys, "period", "val", combined.alias("neighbor"))
 
 
-def window_stat(df: DataFrame, keys: list[str], value: str, radius: int = 1) -> DataFrame:
-    """Count, mean, least and greatest value of the (2 radius + 1)**2 block around each pixel, itself included."""
-    span = range(-radius, radius + 1)
-    at = F.explode(F.array(*[F.struct(F.lit(dl).alias("dl"), F.lit(ds).alias("ds")) for dl in span for ds in span]))
-    sent = df.select(*keys, "sample", "line", F.col(value).alias("value__"), at.alias("o"))
-    met = sent.select(*keys, (F.col("sample") - F.col("o.ds")).alias("sample"), (F.col("line") - F.col("o.dl")).alias("line"), "value__", ((F.col("o.ds") == 0) & (F.col("o.dl") == 0)).alias("own"))
-    return met.groupBy(*keys, "sample", "line").agg(
-        F.count("value__").alias("n"), F.avg("value__").alias("avg_value"), F.min("value__").alias("min_value"), F.max("value__").alias("max_value"), F.max("own").alias("own")
-    ).where("own").drop("own")
+def window_stat(df: DataFrame, keys: list[str], value: str, radius: int = 1, side: int = 64) -> DataFrame:
+    """Count, mean, least and greatest value of the (2 radius + 1)**2 block around each pixel, itself included. One
+    exchange, by squares of ``side`` pixels and their rims."""
+    met = _sent(df, keys, [value], radius, max(side, 2 * radius), True).withColumnRenamed(value, "value__")
+    return met.groupBy(*keys, "block_s", "block_l", "sample", "line").agg(
+        F.count("value__").alias("n"), F.avg("value__").alias("avg_value"), F.min("value__").alias("min_value"), F.max("value__").alias("max_value"),
+        F.max((F.col("ds") == 0) & (F.col("dl") == 0)).alias("own"),
+    ).where("own").drop("own", "block_s", "block_l")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import periods as P
 from ..operators import classify, exports, neighbors, pixels, series, trends
-from ..schema import KEYS, run_params
+from ..schema import KEYS, NODATA, run_params
 from ..session import share_package
 from ..sources import dims, fires, grids, rain, rasters, store, tiles
 
@@ -35,13 +35,10 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 @job
-def preprocess_modis(spark, source, root, locations="all", chunk_size="24000"):
-    """Rasters to chunks in the store."""
+def preprocess_modis(spark, source, root, locations="all", chunk_size="24000", opener=rasters.open_hdf):
+    """Rasters to chunks in the store, in one partitioned write."""
     files = rasters.whole_files(spark, source, tiles.tile_glob(tiles.parse_locations(locations)) if locations != "all" else None)
-    chunks = rasters.raster_chunks(files, int(chunk_size)).cache()
-    for row in chunks.select("dataset", "s_res", "t_res").distinct().collect():
-        part = chunks.where((F.col("dataset") == row[0]) & (F.col("s_res") == row[1]) & (F.col("t_res") == row[2]))
-        store.append(part, root, *row)
+    store.append_all(rasters.raster_chunks(files, int(chunk_size), opener=opener), root)
 
 
 @job
@@ -58,30 +55,50 @@ def explode_rain(spark, cells, output, s_res="500", locations="all"):
 
 
 @job
-def preprocess_static(spark, dataset, source, pixels_path, output, s_res="500", drop="0"):
-    """An ASCII layer at the pixels of ``pixels_path``: cover and coast by maximum, loss by sum."""
+def rain_pixels(spark, source, pixels_path, output, s_res="500", t_res="16"):
+    """Binary rain grids to series at the pixels of ``pixels_path``. Cells without a pixel are left out first."""
+    found = rain.series_at(rain.read_rain(spark, source), spark.read.parquet(pixels_path), s_res, t_res)
+    _write(found.select(*KEYS, "start_idx", F.col("series").alias("precl")), output)
+
+
+@job
+def rain_chunks(spark, source, pixels_path, root, s_res="500", chunk_size="24000", pedigree=None):
+    """Binary rain grids to monthly chunks in the store."""
+    chunks = rain.rain_chunks(rain.read_rain(spark, source), spark.read.parquet(pixels_path), s_res, int(chunk_size))
+    store.append_all(chunks, root, pedigree)
+
+
+@job
+def preprocess_static(spark, dataset, source, pixels_path, root, s_res="500", drop="0", chunk_size="24000"):
+    """An ASCII layer at the pixels of ``pixels_path``, as chunks in the store: cover and coast by maximum, loss by sum."""
     lines = grids.index_lines(spark, source, int(drop)).select(F.concat_ws(" ", "row", "value").alias("value"))
     layer = grids.static_layer(grids.grid_cells(lines), spark.read.parquet(pixels_path), s_res, dataset, "sum" if dataset == "hansen" else "max")
-    _write(layer.withColumn("s_res", F.lit(s_res)), output)
+    store.append_all(grids.layer_chunks(layer, dataset, s_res, int(chunk_size)), root)
 
 
 @job
-def preprocess_ascii(spark, dataset, source, pixels_path, output, s_res="500", drop="0"):
-    """An ASCII layer that is already in sinusoidal pixels."""
+def preprocess_ascii(spark, dataset, source, pixels_path, root, s_res="500", drop="0", chunk_size="24000", first_row="5"):
+    """An ASCII layer that is already in sinusoidal pixels, as chunks in the store."""
     lines = grids.index_lines(spark, source, int(drop)).select(F.concat_ws(" ", "row", "value").alias("value"))
-    _write(grids.absorb(grids.grid_cells(lines), spark.read.parquet(pixels_path), s_res).withColumn("s_res", F.lit(s_res)), output)
+    layer = grids.absorb(grids.grid_cells(lines), spark.read.parquet(pixels_path), s_res, int(first_row))
+    store.append_all(grids.layer_chunks(layer, dataset, s_res, int(chunk_size)), root)
 
 
 @job
-def explode_static(spark, chunks, output, s_res="500", chunk_size="24000"):
-    """Layer chunks to pixel rows."""
-    _write(series.blossom_chunks(spark.read.parquet(chunks), ["s_res", "h", "v"], s_res, int(chunk_size)), output)
+def explode_static(spark, root, dataset, output, s_res="500", chunk_size="24000"):
+    """A layer's stored chunks to pixel rows; what the layer does not know is left out."""
+    chunks = store.read(spark, root, dataset, s_res, "00").withColumn("s_res", F.lit(s_res))
+    rows = series.blossom_chunks(chunks, ["s_res", "h", "v"], s_res, int(chunk_size))
+    _write(rows.where(F.col("val") != int(NODATA)), output)
 
 
 @job
-def preprocess_fires(spark, source, output, end_date, s_res="500", t_res="16", first_date="2000-11-01", locations="all"):
-    """Fire text to running sums by pixel up to ``end_date``."""
-    found = fires.located(fires.parse_new(spark.read.text(source)), s_res, tiles.parse_locations(locations))
+def preprocess_fires(spark, source, output, end_date, s_res="500", t_res="16", first_date="2000-11-01", locations="all", rejects=None):
+    """Fire text to running sums by pixel up to ``end_date``; lines that are no detection go to ``rejects``, if given."""
+    lines = spark.read.text(source)
+    if rejects:
+        fires.rejected(lines).write.mode("overwrite").text(rejects)
+    found = fires.located(fires.parse_new(lines), s_res, tiles.parse_locations(locations))
     _write(series.fire_series(series.fire_counts(found, [*KEYS, "date"]), KEYS, t_res, first_date, end_date), output)
 
 
@@ -236,19 +253,52 @@ class Workflow:
 
 
 @job
-def update(spark, work, ndvi, rain_series, static, gadm2, gadm, fires_path, betas, est_end, est_start=None, s_res="500", t_res="16"):
-    """From pixel series to every export, each step a table under ``work``."""
+def ndvi_series(spark, root, output, s_res="500", t_res="16", chunk_size="24000", dataset="ndvi"):
+    """Stored raster chunks to the pixel series that the model reads."""
+    chunks = store.read(spark, root, dataset, s_res, t_res).withColumns({"dataset": F.lit(dataset), "s_res": F.lit(s_res)})
+    rows = series.chunks_to_series(chunks, t_res, int(chunk_size))
+    _write(rows.select(*KEYS, "start_idx", F.col("series").cast("array<double>").alias("ndvi")), output)
+
+
+@job
+def update(
+    spark, work, ndvi, rain_series, static, gadm2, gadm, fires_path, betas, est_end, est_start=None, s_res="500", t_res="16",
+    raster_source=None, rain_source=None, fires_source=None, regions=None, chunk_size="24000", locations="all", opener=rasters.open_hdf,
+):
+    """From rasters, rain grids and fire text to every export, each step a table under ``work``.
+
+    ``ndvi``, ``rain_series``, ``fires_path`` and ``betas`` name finished tables; where one is empty it is made here, from
+    ``raster_source``, ``rain_source``, ``fires_source`` and the training rows.
+    """
     at = lambda name: f"{work}/{name}"
     r = {"s_res": s_res, "t_res": t_res}
     w = Workflow(spark)
-    w.step("filter", at("filtered"), (), lambda: timeseries_filter(spark, ndvi, static, at("filtered"), **r))
-    w.step("adjust", at("adjusted"), ("filter",), lambda: adjust_series(spark, at("filtered"), rain_series, at("adjusted"), est_start=est_start, **r))
+    first: tuple[str, ...] = ()
+    if not ndvi:
+        ndvi, first = at("ndvi"), ("ndvi",)
+        w.step("rasters", at("chunks"), (), lambda: preprocess_modis(spark, raster_source, at("chunks"), locations, chunk_size, opener))
+        w.step("ndvi", ndvi, ("rasters",), lambda: ndvi_series(spark, at("chunks"), ndvi, chunk_size=chunk_size, **r))
+    dry = ()
+    if not rain_series:
+        rain_series, dry = at("rain"), ("rain",)
+        w.step("rain", rain_series, first, lambda: rain_pixels(spark, rain_source, ndvi, rain_series, **r))
+    hot: tuple[str, ...] = ()
+    if not fires_path:
+        fires_path, hot = at("fires"), ("fires",)
+        w.step("fires", fires_path, (), lambda: preprocess_fires(spark, fires_source, fires_path, est_end, s_res, t_res, locations=locations, rejects=at("fires-rejected")))
+    w.step("filter", at("filtered"), first, lambda: timeseries_filter(spark, ndvi, static, at("filtered"), **r))
+    w.step("adjust", at("adjusted"), ("filter", *dry), lambda: adjust_series(spark, at("filtered"), rain_series, at("adjusted"), est_start=est_start, **r))
     w.step("trends", at("trends"), ("adjust",), lambda: trends_series(spark, at("adjusted"), at("trends"), est_end, est_start=est_start, **r))
     w.step("trends-store", at("store-trends"), ("trends",), lambda: trends_store(spark, at("trends"), at("store-trends"), **r))
     w.step("merge-trends", at("merged-trends"), ("trends-store",), lambda: merge_trends(spark, at("store-trends"), at("merged-trends"), **r))
-    w.step("values", at("values"), ("merge-trends",), lambda: pixel_values(spark, at("merged-trends"), fires_path, at("values"), est_end, est_start=est_start, **r))
+    w.step("values", at("values"), ("merge-trends", *hot), lambda: pixel_values(spark, at("merged-trends"), fires_path, at("values"), est_end, est_start=est_start, **r))
     w.step("neighbors", at("neighbors"), ("values",), lambda: neighbor_values(spark, at("values"), at("neighbors"), **r))
-    w.step("estimate", at("estimated"), ("neighbors",), lambda: estimate(spark, betas, at("neighbors"), static, at("estimated"), **r))
+    learned: tuple[str, ...] = ()
+    if not betas:
+        betas, learned = at("betas"), ("betas",)
+        w.step("training", at("training"), ("neighbors",), lambda: beta_data(spark, at("neighbors"), static, at("training"), est_start=est_start, regions=regions, **r))
+        w.step("betas", betas, ("training",), lambda: gen_betas(spark, at("training"), betas, **r))
+    w.step("estimate", at("estimated"), ("neighbors", *learned), lambda: estimate(spark, betas, at("neighbors"), static, at("estimated"), regions=regions, **r))
     w.step("probs-store", at("store-probs"), ("estimate",), lambda: probs_store(spark, at("estimated"), at("store-probs"), **r))
     w.step("merge-probs", at("merged-probs"), ("probs-store",), lambda: merge_probs(spark, at("store-probs"), at("merged-probs"), **r))
     w.step("admin", at("probs-admin"), ("merge-probs",), lambda: probs_admin(spark, at("merged-probs"), gadm2, static, at("probs-admin")))
@@ -266,6 +316,8 @@ def main(args: list[str] | None = None) -> None:
         command = commands.add_parser(name.replace("_", "-"), help=(f.__doc__ or "").split("\n")[0])
         for p in list(inspect.signature(f).parameters.values())[1:]:
             required = p.default is inspect.Parameter.empty
+            if p.name == "opener":  # a function, for callers in Python
+                continue
             command.add_argument("--" + p.name.replace("_", "-"), dest=p.name, required=required, default=None if required else p.default)
     given = vars(parser.parse_args(args))
     f = JOBS[given.pop("job").replace("-", "_")]

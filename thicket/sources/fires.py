@@ -20,7 +20,7 @@ def _parsed(df: DataFrame, lat: Column, lon: Column, kelvin: Column, conf: Colum
 def daily_date(text: Column) -> Column:
     """MM/DD/YYYY as YYYY-MM-DD, without a look at the calendar."""
     p = F.split(text, "/")
-    return F.when(F.size(p) == 3, F.concat_ws("-", p[2], p[0], p[1]))
+    return F.when(F.size(p) == 3, F.concat_ws("-", F.get(p, F.lit(2)), F.get(p, F.lit(0)), F.get(p, F.lit(1))))
 
 
 def monthly_date(text: Column) -> Column:
@@ -30,26 +30,26 @@ def monthly_date(text: Column) -> Column:
 def parse_monthly(lines: DataFrame) -> DataFrame:
     """Blank-separated monthly files; the header goes."""
     f = F.split(F.trim("value"), r"\s+")
-    rows = lines.where((F.size(f) >= 10) & (f[0] != "YYYYMMDD"))
-    return _parsed(rows, f[3], f[4], f[5], f[9], monthly_date(f[0]))
+    rows = lines.where((F.size(f) >= 10) & (F.get(f, F.lit(0)) != "YYYYMMDD"))
+    return _parsed(rows, F.get(f, F.lit(3)), F.get(f, F.lit(4)), F.get(f, F.lit(5)), F.get(f, F.lit(9)), monthly_date(F.get(f, F.lit(0))))
 
 
 def parse_daily(lines: DataFrame) -> DataFrame:
     """Twelve comma fields, dates MM/DD/YYYY."""
     f = F.split("value", ",")
-    return _parsed(lines.where(F.size(f) == 12), f[0], f[1], f[2], f[8], daily_date(f[5]))
+    return _parsed(lines.where(F.size(f) == 12), F.get(f, F.lit(0)), F.get(f, F.lit(1)), F.get(f, F.lit(2)), F.get(f, F.lit(8)), daily_date(F.get(f, F.lit(5))))
 
 
 def is_valid_line(line: Column, fields: int = 12) -> Column:
     """As many fields, the first a number, none with more than one point: headers and broken lines fail."""
     f = F.split(line, ",")
-    return (F.size(f) == fields) & F.forall(f, lambda x: F.size(F.split(x, r"\.")) <= 2) & f[0].try_cast("double").isNotNull()
+    return (F.size(f) == fields) & F.forall(f, lambda x: F.size(F.split(x, r"\.")) <= 2) & F.get(f, F.lit(0)).try_cast("double").isNotNull()
 
 
 def parse_new(lines: DataFrame) -> DataFrame:
     """The newer daily format: dates YYYY-MM-DD, invalid lines left out."""
     f = F.split("value", ",")
-    return _parsed(lines.where(is_valid_line(F.col("value"))), f[0], f[1], f[2], f[8], f[5])
+    return _parsed(lines.where(is_valid_line(F.col("value"))), F.get(f, F.lit(0)), F.get(f, F.lit(1)), F.get(f, F.lit(2)), F.get(f, F.lit(8)), F.get(f, F.lit(5)))
 
 
 def rejected(lines: DataFrame) -> DataFrame:

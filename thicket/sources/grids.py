@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo as G
 from ..operators.series import to_chunks
 from ..schema import NODATA
+from ..session import materialize
 
 # Corner (lon, lat), directions, step and nodata of each layer: fixed values.
 GRIDS = {
@@ -24,8 +25,11 @@ PIXEL = ["h", "v", "sample", "line"]
 
 
 def index_lines(spark: SparkSession, path: str, drop: int = 0) -> DataFrame:
-    """``row, value``: lines of a text raster numbered from 0 after ``drop`` header lines. One file, in its order."""
-    lines = spark.read.text(path).withColumn("i", F.monotonically_increasing_id())
+    """``row, value``: lines of a text raster numbered from 0 after ``drop`` header lines. One file, in its order.
+
+    Lines are written with their place first, as a second scan could be split otherwise; a row a part comes to the driver.
+    """
+    lines = materialize(spark.read.text(path).withColumn("i", F.monotonically_increasing_id()), "raster-lines")
     parts = lines.groupBy(F.shiftright("i", 33).alias("p")).agg(F.count(F.lit(1)).alias("n"))
     first = {r["p"]: r["n"] for r in parts.collect()}
     starts, at = [], 0

@@ -100,3 +100,28 @@ def resample(rain: DataFrame, pixels: DataFrame, s_res: str, grid: dict) -> Data
     at = pixels.withColumn("cell", G.pixel_to_cell(s_res, grid, "h", "v", "sample", "line")).select("h", "v", "sample", "line", "cell.row", "cell.col")
     out = rain.join(at, ["row", "col"])
     return out.select(F.lit("precl").alias("dataset"), F.lit(s_res).alias("s_res"), F.lit("32").alias("t_res"), "date", "h", "v", "sample", "line", F.col("val").cast("double").alias("val"))
+
+
+def _cells_of(pixels: DataFrame, s_res: str) -> DataFrame:
+    from .grids import GRIDS
+
+    at = pixels.withColumn("cell", G.pixel_to_cell(s_res, GRIDS["precl"], "h", "v", "sample", "line"))
+    return at.select("h", "v", "sample", "line", "cell.row", "cell.col")
+
+
+def series_at(rain: DataFrame, pixels: DataFrame, s_res: str, t_res: str) -> DataFrame:
+    """Series of the cells (date, row, col, val) at the pixels (h, v, sample, line) in them: ``s_res, h, v, sample, line,
+    start_idx, series``. Cells without a pixel go first, so that a map of a few tiles costs a few tiles."""
+    at = _cells_of(pixels, s_res)
+    cells = stretched_cells(rain.join(at.select("row", "col").distinct(), ["row", "col"], "left_semi"), t_res)
+    return at.join(cells, ["row", "col"]).select(F.lit(s_res).alias("s_res"), "h", "v", "sample", "line", "start_idx", "series")
+
+
+def rain_chunks(rain: DataFrame, pixels: DataFrame, s_res: str, chunk_size: int, fill: float = NODATA) -> DataFrame:
+    """Monthly rain at the pixels, as stored chunks of each tile and month."""
+    from ..operators.series import to_chunks
+    from .grids import GRIDS
+
+    rows = resample(rain, pixels, s_res, GRIDS["precl"])
+    chunks = to_chunks(rows, ["dataset", "s_res", "t_res", "date", "h", "v"], s_res, chunk_size, "val", fill)
+    return chunks.withColumn("chunk_size", F.lit(chunk_size))

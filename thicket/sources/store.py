@@ -19,6 +19,14 @@ def append(df: DataFrame, root: str, dataset: str, s_res: str, t_res: str, pedig
     out.withColumns({"dataset": F.lit(dataset), "res": F.lit(f"{s_res}-{t_res}")}).write.mode("append").partitionBy("dataset", "res").parquet(root)
 
 
+def append_all(df: DataFrame, root: str, pedigree=None) -> None:
+    """As ``append``, for rows that name their ``dataset``, ``s_res`` and ``t_res``: all datasets in one write."""
+    out = df if "pedigree" in df.columns else df.withColumn("pedigree", F.lit(parse_pedigree(pedigree)).cast("long"))
+    out = out.withColumn("res", F.concat_ws("-", "s_res", "t_res"))
+    names = [c for c in out.columns if c not in ("dataset", "res")]
+    out.select(*names, "dataset", "res").write.mode("append").partitionBy("dataset", "res").parquet(root)
+
+
 def read(spark: SparkSession, root: str, dataset: str, s_res: str, t_res: str) -> DataFrame:
     """A dataset's versions. Partition filters keep other folders from being listed or read."""
     return spark.read.parquet(root).where((F.col("dataset") == dataset) & (F.col("res") == f"{s_res}-{t_res}")).drop("dataset", "res")
@@ -30,9 +38,13 @@ def absorb(spark: SparkSession, source: str, target: str) -> None:
 
 
 def consolidate(spark: SparkSession, root: str, target: str, files: int = 1) -> None:
-    """A copy of a store with few files in each partition."""
+    """A copy of a store with at most ``files`` files in each partition, each written by a task of its own."""
     rows = spark.read.parquet(root)
-    rows.repartition(files, "dataset", "res").write.mode("overwrite").partitionBy("dataset", "res").parquet(target)
+    salt = (F.monotonically_increasing_id() % files).cast("int")
+    names = [c for c in rows.columns if c not in ("dataset", "res")]
+    tasks = max(4 * files, int(spark.conf.get("spark.sql.shuffle.partitions")))  # said outright, so that small ones are not joined again
+    spread = rows.withColumn("salt__", salt).repartition(tasks, "dataset", "res", "salt__").sortWithinPartitions("dataset", "res")
+    spread.select(*names, "dataset", "res").write.mode("overwrite").partitionBy("dataset", "res").parquet(target)
 
 
 def write_text(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

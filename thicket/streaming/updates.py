@@ -25,9 +25,13 @@ def stream_versions(spark: SparkSession, incoming: str, schema: str, root: str,
 
 
 def fire_windows(fires: DataFrame, keys: list[str], t_res: str = "16", late: str = "30 days", time: str = "ts") -> DataFrame:
-    """Fire counts by period over a stream with event time; what comes later than ``late`` is left out."""
+    """Fire counts by period over a stream with event time; what comes later than ``late`` is left out.
+
+    State is by key and period. A period's row is final once the watermark has passed its last day, which an append
+    sink waits for.
+    """
     hot, sure = F.col("kelvin") >= 330, F.col("conf") >= 50
     counts = dict(zip(FIRE_FIELDS, (F.count_if(hot), F.count_if(sure), F.count_if(hot & sure), F.count("conf")), strict=True))
-    return fires.withWatermark(time, late).groupBy(*keys, F.window(time, "1 day").alias("day")).agg(*[c.alias(n) for n, c in counts.items()]).select(
-        *keys, P.period(F.col("day.start"), t_res).alias("period"), *FIRE_FIELDS
-    )
+    period = P.period(time, t_res)
+    last = (P.period_start(period + 1, t_res).cast("timestamp") - F.expr("interval 1 second")).alias("ends")
+    return fires.withColumns({"period": period, "ends": last}).withWatermark("ends", late).groupBy(*keys, "period", "ends").agg(*[c.alias(n) for n, c in counts.items()]).select(*keys, "period", *FIRE_FIELDS)
