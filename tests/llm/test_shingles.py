@@ -64,8 +64,6 @@ def test_prefix_and_similarity():
     for n in range(1, 40):
         s = np.arange(n)
         assert len(shingles.prefix(s, np.array([0, 1]))) == n - -(-4 * n // 5) + 1
-        for m in range(n + 1):
-            assert shingles.similar(s, s[:m]) == (5 * m >= 4 * n)
     assert shingles.prefix(np.arange(10), np.array([0, 1])).tolist() == [2, 3, 4]
 
 
