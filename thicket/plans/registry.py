@@ -10,7 +10,8 @@ from ..functions import geo as G
 from ..functions import periods as P
 from ..operators import classify, exports, neighbors, pixels, series, trends
 from ..schema import KEYS, RunParams, pixel_value
-from ..sources import grids, rain, tiles
+from ..session import fresh_path, materialize
+from ..sources import grids, rain, store, tiles
 from . import virtual as V
 
 QUERIES: dict = {}
@@ -95,11 +96,10 @@ def labelled_series(spark, d):
 _API = f"{V.CLEAN}, adm AS (SELECT n_nationkey AS objectid, n_name AS iso FROM nation WHERE n_regionkey < 4), j AS (SELECT c.k, c.lo, c.period, c.c, max(c.c) OVER (PARTITION BY c.k) AS last_c, max(c.period) OVER (PARTITION BY c.k) AS hi, s_nationkey AS gadm2, iso FROM clean c JOIN supplier ON s_suppkey = c.k JOIN adm ON objectid = s_nationkey)"
 
 
-@query(f"WITH {_API} SELECT k, iso, gadm2, CAST({V.start16('period')} AS VARCHAR) AS date, CAST(year({V.start16('period')}) AS VARCHAR) AS year, c AS prob FROM j WHERE last_c >= 90")
+@query(f"WITH {_API} SELECT round({V.latlon('k')[0]}, 6) AS lat, round({V.latlon('k')[1]}, 6) AS lon, iso, gadm2, CAST({V.start16('period')} AS VARCHAR) AS date, CAST(year({V.start16('period')}) AS VARCHAR) AS year, c AS prob FROM j WHERE last_c >= 90")
 def api_long(spark, d):
-    at = exports.latlon(V.probabilities(spark, d), V.RES)
     out = exports.api_long(V.probabilities(spark, d), V.admin(spark, d), V.RES, "16", 90)
-    return out.join(_k(at).select("k", "lat", "lon"), ["lat", "lon"]).select("k", "iso", "gadm2", "date", "year", "prob")
+    return out.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "iso", "gadm2", "date", "year", "prob")
 
 
 @query(f"WITH {_API}, f AS (SELECT k, min(period) AS period FROM j WHERE c >= 70 GROUP BY k) SELECT round({V.latlon('j.k')[0]}, 6) AS lat, round({V.latlon('j.k')[1]}, 6) AS lon, iso, gadm2, CAST({V.start16('j.period')} AS VARCHAR) AS date, c AS prob FROM j JOIN f ON f.k = j.k AND f.period = j.period")
@@ -179,19 +179,24 @@ def stretched_series(spark, d):
     return series.from_series(s.select("k", F.col("s.start").alias("start_idx"), F.transform("s.series", A.round_half_up).alias("series")), ["k"])
 
 
-@query(f"WITH {V.OBS}, v AS (SELECT k, period, CAST(qty AS DOUBLE) AS x, 1 AS ped FROM obs WHERE period BETWEEN 600 AND 650 UNION ALL SELECT k, period, CAST(rain AS DOUBLE), 2 FROM obs WHERE period BETWEEN 640 AND 700), g AS (SELECT k, unnest(range(600, 701)) AS period FROM (SELECT DISTINCT k FROM v)), a AS (SELECT g.k, g.period, coalesce(max(CASE WHEN ped = 1 THEN x END), CASE WHEN g.period <= 650 THEN -9999.0 END) AS x1, coalesce(max(CASE WHEN ped = 2 THEN x END), CASE WHEN g.period >= 640 THEN -9999.0 END) AS x2 FROM g LEFT JOIN v ON v.k = g.k AND v.period = g.period GROUP BY g.k, g.period) SELECT k, CAST(period AS INTEGER) AS period, coalesce(x2, x1) AS value FROM a")
+@query(f"""WITH {V.OBS}, b AS (SELECT min(period) AS lo, max(period) AS hi, (min(period) + max(period)) // 2 AS mid FROM obs),
+g AS (SELECT k, unnest(range(lo, hi + 1)) AS period, mid FROM (SELECT DISTINCT k FROM obs), b),
+a AS (SELECT g.k, g.period, CASE WHEN g.period <= mid + 20 THEN coalesce(qty, -9999) END AS x1, CASE WHEN g.period >= mid THEN coalesce(rain, -9999) END AS x2 FROM g LEFT JOIN obs o ON o.k = g.k AND o.period = g.period)
+SELECT k, CAST(period AS INTEGER) AS period, CAST(coalesce(x2, x1) AS DOUBLE) AS value FROM a""")
 def version_overlay(spark, d):
+    """An older version of the first half of all periods, and a newer one of the second, laid over each other."""
     obs = V.observations(spark, d)
-    keys = obs.where(F.col("period").between(600, 700)).select("k").distinct()
+    lo, hi = obs.agg(F.coalesce(F.min("period"), F.lit(0)), F.coalesce(F.max("period"), F.lit(0))).first()
+    keys, mid = obs.select("k").distinct(), (lo + hi) // 2
 
-    def version(column, lo, hi, pedigree):
-        rows = obs.select("k", "period", F.col(column).cast("double").alias("series")).where(F.col("period").between(lo, hi))
-        dense = keys.join(series.to_series(rows, ["k"], "period", ["series"], -9999.0, lo, hi), "k", "left")
-        empty = F.array_repeat(F.lit(-9999.0), hi - lo + 1)
-        return dense.select("k", F.lit(lo).alias("start_idx"), F.coalesce("series", empty).alias("series"), F.lit(pedigree).alias("pedigree"))
+    def version(column, first, last, pedigree):
+        rows = obs.select("k", "period", F.col(column).cast("double").alias("series")).where(F.col("period").between(first, last))
+        dense = keys.join(series.to_series(rows, ["k"], "period", ["series"], -9999.0, first, last), "k", "left")
+        empty = F.array_repeat(F.lit(-9999.0), last - first + 1)
+        return dense.select("k", F.lit(first).alias("start_idx"), F.coalesce("series", empty).alias("series"), F.lit(pedigree).alias("pedigree"))
 
-    both = version("qty", 600, 650, 1).unionByName(version("rain", 640, 700, 2))
-    return series.from_series(series.overlay_versions(both, ["k"], ["series"]), ["k"])
+    versions = version("qty", lo, min(mid + 20, hi), 1).unionByName(version("rain", mid, hi, 2))
+    return series.from_series(series.overlay_versions(versions, ["k"], ["series"]), ["k"])
 
 
 @query("SELECT CAST(s_suppkey % 10 // 5 AS INTEGER) AS win_col, CAST(s_suppkey // 10 // 5 AS INTEGER) AS win_row, count(*) AS n, CAST(sum(s_nationkey) AS BIGINT) AS total FROM supplier GROUP BY 1, 2")
@@ -341,10 +346,16 @@ def fire_counts(spark, d):
     return series.fire_counts(V.fires(spark, d), ["k", "date"])
 
 
-@query(f"WITH {_FIRES}, c AS (SELECT k, {V.p16('date')} AS p, {_FIRE_COUNTS} FROM fires GROUP BY 1, 2), g AS (SELECT k, unnest(range(1242, 1246)) AS p FROM (SELECT DISTINCT k FROM c WHERE p BETWEEN 1242 AND 1245)) SELECT g.k, CAST(g.p AS INTEGER) AS period, CAST(sum(coalesce(temp330, 0)) OVER w AS INTEGER) AS temp330, CAST(sum(coalesce(conf50, 0)) OVER w AS INTEGER) AS conf50, CAST(sum(coalesce(both_preds, 0)) OVER w AS INTEGER) AS both_preds, CAST(sum(coalesce(count, 0)) OVER w AS INTEGER) AS count FROM g LEFT JOIN c ON c.k = g.k AND c.p = g.p WINDOW w AS (PARTITION BY g.k ORDER BY g.p)")
+def _fire_span(spark, d) -> tuple[str, str]:
+    """First and last date of the fires."""
+    lo, hi = V.fires(spark, d).agg(F.min("date"), F.max("date")).first()
+    return str(lo or "2000-01-01"), str(hi or "2000-01-01")
+
+
+@query(f"WITH {_FIRES}, c AS (SELECT k, {V.p16('date')} AS p, {_FIRE_COUNTS} FROM fires GROUP BY 1, 2), g AS (SELECT k, unnest(range(lo, hi + 1)) AS p FROM (SELECT DISTINCT k FROM c), (SELECT min(p) AS lo, max(p) AS hi FROM c)) SELECT g.k, CAST(g.p AS INTEGER) AS period, CAST(sum(coalesce(temp330, 0)) OVER w AS INTEGER) AS temp330, CAST(sum(coalesce(conf50, 0)) OVER w AS INTEGER) AS conf50, CAST(sum(coalesce(both_preds, 0)) OVER w AS INTEGER) AS both_preds, CAST(sum(coalesce(count, 0)) OVER w AS INTEGER) AS count FROM g LEFT JOIN c ON c.k = g.k AND c.p = g.p WINDOW w AS (PARTITION BY g.k ORDER BY g.p)")
 def fire_running_sums(spark, d):
     daily = series.fire_counts(V.fires(spark, d), ["k", "date"])
-    out = series.fire_series(daily, ["k"], "16", "2024-01-01", "2024-02-20")
+    out = series.fire_series(daily, ["k"], "16", *_fire_span(spark, d))
     return series.from_series(out, ["k"], "fires").select("k", "period", "value.*")
 
 
@@ -438,10 +449,11 @@ def harmonic_trend(spark, d):
 
 @query()
 def logistic_betas(spark, d):
-    """Coefficients by region, features scaled to unit range."""
+    """Coefficients by region, features scaled to unit range; each Newton step is a sum by task and region."""
     s = V.static(spark, d).join(V.regions(spark, d), "ecoid")
     x = F.array(F.lit(1.0), F.col("vcf") / 100.0, F.col("coast_dist") / 20.0)
-    return classify.fit(s.select(F.col("regionid").alias("ecoregion"), "hansen", x.alias("x")), ["ecoregion"], RunParams(ridge=1e-4))
+    rows = materialize(s.select(F.col("regionid").alias("ecoregion"), "hansen", x.alias("x")), "training-rows")
+    return classify.fit_distributed(rows, ["ecoregion"], RunParams(ridge=1e-4))
 
 
 _BETA = "0.01 * (s_nationkey + 1)"
@@ -461,35 +473,21 @@ _FIRES4 = f"{_FIRES}, fc AS (SELECT k, {V.p16('date')} AS p, count(*) AS n, coun
 
 
 @query(f"""WITH {V.DENSE}, {_FIRES4},
-d AS (SELECT k, 1242 + period - lo AS period, CAST(qty AS DOUBLE) AS s, CAST(rain AS DOUBLE) AS r FROM dense WHERE period - lo < 4),
+d AS (SELECT k, (SELECT min(p) FROM fc) + period - lo AS period, CAST(qty AS DOUBLE) AS s, CAST(rain AS DOUBLE) AS r FROM dense),
 ff AS (SELECT k, period, coalesce(last_value(s IGNORE NULLS) OVER w, 1000000) AS s, r, coalesce(last_value(s IGNORE NULLS) OVER w, -1000000) AS b FROM d WINDOW w AS (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 v AS (SELECT k, period, min(s) OVER w AS short_drop, coalesce(r, -9999) AS long_drop, max(b) OVER w AS param_break FROM ff WINDOW w AS (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 j AS (SELECT v.*, CAST(sum(coalesce(fc.n, 0)) OVER w AS INTEGER) AS fires, CAST(sum(coalesce(fc.hot, 0)) OVER w AS INTEGER) AS hot FROM v LEFT JOIN fc ON fc.k = v.k AND fc.p = v.period WINDOW w AS (PARTITION BY v.k ORDER BY v.period))
-SELECT k, CAST(period AS INTEGER) AS period, short_drop, long_drop, param_break, fires, hot FROM j WHERE period BETWEEN 1243 AND 1244""")
+SELECT k, CAST(period AS INTEGER) AS period, short_drop, long_drop, param_break, fires, hot FROM j""")
 def pixel_values(spark, d):
-    """Trends left-joined with fires, one row a pixel and period."""
-    null = lambda c: F.transform(F.slice(c, 1, 4), lambda x: F.when(x != -9999.0, x))
-    dyn = V.ndvi(spark, d).select(*KEYS, F.lit(1242).alias("start_idx"), null("ndvi").alias("short"), null("precl").alias("long"), null("precl").alias("t_stat"), null("ndvi").alias("break"))
-    daily = series.fire_counts(V.fires(spark, d), ["k", "date"])
-    f = V.keyed(series.fire_series(daily, ["k"], "16", "2024-01-01", "2024-02-20"), "k").select(*KEYS, "start_idx", "fires")
-    v = F.col("val")
-    out = _k(series.pixel_values(dyn, f, 1243, 1244))
-    return out.select("k", "period", v["short_drop"].alias("short_drop"), v["long_drop"].alias("long_drop"), v["param_break"].alias("param_break"), v["fire"]["count"].alias("fires"), v["fire"]["temp330"].alias("hot"))
-
-
-_WHOLE = ORACLES["pixel_values"].replace(" WHERE period - lo < 4", "").replace(" WHERE period BETWEEN 1243 AND 1244", "")
-
-
-@query(_WHOLE)
-def pixel_values_whole(spark, d):
-    """As ``pixel_values``, over every period of every series: each is shifted to begin where the fires do."""
+    """Trends left-joined with fires, one row a pixel and period, over whole series: each is shifted to begin where the
+    fires do."""
     null = lambda c: F.transform(c, lambda x: F.when(x != -9999.0, x))
-    start = P.period_of("2024-01-01", "16")
-    s = V.ndvi(spark, d)
+    first, _ = _fire_span(spark, d)
+    start, s = P.period_of(first, "16"), V.ndvi(spark, d)
     end = start - 1 + s.agg(F.coalesce(F.max(F.size("ndvi")), F.lit(1))).first()[0]
     dyn = s.select(*KEYS, F.lit(start).alias("start_idx"), null("ndvi").alias("short"), null("precl").alias("long"), null("precl").alias("t_stat"), null("ndvi").alias("break"))
     daily = series.fire_counts(V.fires(spark, d), ["k", "date"])
-    f = V.keyed(series.fire_series(daily, ["k"], "16", "2024-01-01", str(P.start_of(end, "16"))), "k").select(*KEYS, "start_idx", "fires")
+    f = V.keyed(series.fire_series(daily, ["k"], "16", first, str(P.start_of(end, "16"))), "k").select(*KEYS, "start_idx", "fires")
     v = F.col("val")
     out = _k(series.pixel_values(dyn, f, start, end))
     return out.select("k", "period", v["short_drop"].alias("short_drop"), v["long_drop"].alias("long_drop"), v["param_break"].alias("param_break"), v["fire"]["count"].alias("fires"), v["fire"]["temp330"].alias("hot"))
@@ -530,9 +528,82 @@ def coarser_pixels(spark, d):
     return p.select("k", F.round(G.snap_latlon("1000", "lat", "lon")["lat"], 6).alias("lat"))
 
 
-@query("SELECT s_suppkey AS k, CAST(s_suppkey // 10 * 2400 + s_suppkey % 10 AS BIGINT) AS window_idx FROM supplier WHERE s_suppkey // 10 < 50")
+@query("SELECT s_suppkey AS k, CASE WHEN s_suppkey // 10 < 50 THEN CAST(s_suppkey // 10 * 2400 + s_suppkey % 10 AS BIGINT) END AS window_idx FROM supplier")
 def window_index(spark, d):
-    """A window of the world: the tile's first 50 rows."""
+    """Places in a window of the world, the tile's first 50 rows; null outside it."""
     p = _k(V.static(spark, d)).withColumn("g", G.global_rowcol(V.RES, "h", "v", "sample", "line"))
     at = G.window_index(8 * 2400, 28 * 2400, 50, 2400, "g.row", "g.col")
-    return p.select("k", at.alias("window_idx")).where("window_idx is not null")
+    return p.select("k", at.alias("window_idx"))
+
+
+# --- sources ---
+
+
+def _cells(spark, d) -> DataFrame:
+    """Monthly rain of half-degree cells: sales by month, a supplier a cell; whole numbers, so any order of summing agrees."""
+    rows = V.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("k"), F.date_trunc("month", "l_shipdate").cast("date").cast("string").alias("date"))
+    return rows.agg(F.sum("l_quantity").alias("val")).select("date", (F.col("k") % 360).cast("int").alias("row"), F.floor(F.col("k") / 360).cast("int").alias("col"), "val")
+
+
+_CELLS = f"cells AS (SELECT CAST(l_suppkey % 360 AS INTEGER) AS r, CAST(l_suppkey // 360 AS INTEGER) AS c, {V.p32('l_shipdate')} AS p, CAST(sum(l_quantity) AS DOUBLE) AS v FROM lineitem GROUP BY 1, 2, 3)"
+_CELL_SPAN = "span AS (SELECT r, c, min(p) AS lo, max(p) AS hi FROM cells GROUP BY r, c), grid AS (SELECT r, c, unnest(range(lo, hi + 1)) AS p FROM span)"
+
+
+@query(f"WITH {_CELLS}, {_CELL_SPAN} SELECT g.r AS \"row\", g.c AS col, CAST(g.p AS INTEGER) AS period, coalesce(v, -9999.0) AS value FROM grid g LEFT JOIN cells x ON x.r = g.r AND x.c = g.c AND x.p = g.p")
+def rain_series(spark, d):
+    """Monthly series of rain cells, missing months nodata."""
+    return series.from_series(rain.cell_series(_cells(spark, d)), ["row", "col"])
+
+
+@query(f"WITH {_CELLS}, {_CELL_SPAN}, f AS (SELECT g.r, g.c, g.p, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY g.r, g.c ORDER BY g.p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) AS v FROM grid g LEFT JOIN cells x ON x.r = g.r AND x.c = g.c AND x.p = g.p) SELECT r AS \"row\", c AS col, CAST(p AS INTEGER) AS period, CAST(v AS DOUBLE) AS value FROM f")
+def filled_rain(spark, d):
+    """Monthly rain filled forward, at its own resolution."""
+    return series.from_series(rain.stretched_cells(_cells(spark, d), "32"), ["row", "col"])
+
+
+@query(f"WITH p AS (SELECT s_suppkey AS k, CAST(floor(({V.latlon('s_suppkey')[0]} + 90) * 2) AS INTEGER) AS r, CAST(floor({V.latlon('s_suppkey')[1]} * 2) AS INTEGER) AS c FROM supplier), m AS (SELECT DISTINCT n_nationkey AS n, r, c, n_nationkey + r + c AS val FROM nation, p) SELECT p.k, CAST(n AS INTEGER) AS n, CAST(val AS DOUBLE) AS val FROM p JOIN m ON m.r = p.r AND m.c = p.c")
+def rain_at_pixels(spark, d):
+    """Rain cells of 25 dates at the pixels whose centre lies in them."""
+    pix = V.static(spark, d).select("h", "v", "sample", "line")
+    cells = pix.withColumn("c", G.pixel_to_cell(V.RES, grids.GRIDS["precl"], "h", "v", "sample", "line")).select("c.row", "c.col").distinct()
+    dates = V.table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("date"))
+    rows = cells.withColumn("date", F.explode(F.array(*[F.lit(str(r[0])) for r in dates.collect()])))
+    out = rain.resample(rows.withColumn("val", F.col("date").cast("int") + F.col("row") + F.col("col")), pix, V.RES, grids.GRIDS["precl"])
+    return _k(out).select("k", F.col("date").cast("int").alias("n"), "val")
+
+
+@query("SELECT CAST(s_suppkey % 10 AS INTEGER) AS sample, CAST(s_suppkey // 10 AS INTEGER) AS line, CAST(period AS INTEGER) AS period, value FROM (SELECT s_suppkey, unnest([700, 701, 702]) AS period, unnest([s_nationkey, -9999, s_nationkey * 2]) AS value FROM supplier)")
+def chunk_series(spark, d):
+    """Two dates of stored chunks to pixel series; the date between them is missing for all."""
+    layer, dates = V.layer(spark, d, "ecoid"), [str(P.start_of(p, "16")) for p in (700, 702)]
+    one = series.to_chunks(layer, ["s_res", "h", "v"], V.RES, 24000)
+    two = series.to_chunks(layer.withColumn("val", F.col("val") * 2), ["s_res", "h", "v"], V.RES, 24000)
+    chunks = one.withColumn("date", F.lit(dates[0])).unionByName(two.withColumn("date", F.lit(dates[1]))).withColumn("dataset", F.lit("ndvi"))
+    out = series.chunks_to_series(chunks, "16", 24000).where(F.exists("series", lambda x: x != -9999))
+    return series.from_series(out, ["sample", "line"])
+
+
+@query("SELECT k, s AS start_idx, version FROM (SELECT s_suppkey AS k, unnest([1, 2]) AS version, unnest([700, 701]) AS s FROM supplier)")
+def store_versions(spark, d):
+    """Two versions appended to a store of two datasets, and one dataset read back."""
+    root, rows = fresh_path(spark, "store"), _k(V.static(spark, d)).select("k")
+    for version, start in ((1, 700), (2, 701)):
+        store.append(rows.withColumn("start_idx", F.lit(start)), root, "probs", V.RES, "16", version)
+    store.append(rows.withColumn("start_idx", F.lit(0)), root, "trends", V.RES, "16", 9)
+    return store.read(spark, root, "probs", V.RES, "16").select("k", "start_idx", F.col("pedigree").cast("int").alias("version"))
+
+
+@query(f"WITH {_FIRES} SELECT CAST(date AS VARCHAR) AS date, k % 18 AS band, count(*) AS n, CAST(sum(conf >= 50) AS BIGINT) AS sure FROM fires GROUP BY 1, 2")
+def old_fire_files(spark, d):
+    """Fires from monthly and daily text, a half each, parsed and counted."""
+    from ..sources import fires as source
+
+    text = lambda c: F.col(c).cast("decimal(20,6)").cast("string")
+    f = V.fires(spark, d).withColumn("band", F.col("k") % 18)
+    lat, lon = F.format_string("%.1f", F.col("band") * 10.0 - 89.9), F.lit("10.5")
+    monthly = f.where("k % 2 = 0").select(F.concat_ws("  ", F.date_format("date", "yyyyMMdd"), F.lit("1230"), F.lit("T"), lat, lon, text("kelvin"), F.lit("1"), F.lit("1"), F.lit("9.9"), text("conf")).alias("value"))
+    daily = f.where("k % 2 = 1").select(F.concat_ws(",", lat, lon, text("kelvin"), F.lit("1"), F.lit("1"), F.date_format("date", "MM/dd/yyyy"), F.lit("0"), F.lit("A"), text("conf"), F.lit("5"), F.lit("1"), F.lit("1")).alias("value"))
+    header = spark.createDataFrame([("YYYYMMDD HHMM sat lat lon T21 T31 sample FRP conf",)], "value string")
+    rows = source.parse_monthly(header.unionByName(monthly)).unionByName(source.parse_daily(daily))
+    counts = series.fire_counts(rows, ["date", "lat"]).withColumn("band", F.round((F.col("lat") + 89.9) / 10).cast("long"))
+    return counts.select("date", "band", F.col("count").alias("n"), F.col("conf50").alias("sure"))
