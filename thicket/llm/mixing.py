@@ -134,7 +134,8 @@ class Mix:
 
     def spans(self) -> DataFrame:
         """The mix itself: for each use of a block, the spans of documents in it (doc_row, start, words, shard, epoch)."""
-        return self.slots.join(self.pieces, ["source_no", "block"])
+        slots = self.slots.hint("merge")  # the plan knows how many shards there are, not how many slots: never broadcast
+        return slots.join(self.pieces, ["source_no", "block"])
 
 
 def mix(
