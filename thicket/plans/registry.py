@@ -607,3 +607,84 @@ def old_fire_files(spark, d):
     rows = source.parse_monthly(header.unionByName(monthly)).unionByName(source.parse_daily(daily))
     counts = series.fire_counts(rows, ["date", "lat"]).withColumn("band", F.round((F.col("lat") + 89.9) / 10).cast("long"))
     return counts.select("date", "band", F.col("count").alias("n"), F.col("conf50").alias("sure"))
+
+
+# --- functions over arrays, dates and places ---
+
+
+def _listed(x: str) -> str:
+    return f"array_to_string({x}, ',')"
+
+
+@query(f"""WITH o AS (SELECT l_orderkey, list_sort(list(CAST(l_quantity AS INTEGER))) AS q, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT l_orderkey, {_listed('list_filter(range(0, n), lambda i: q[i + 1] >= 25)')} AS hits, len(list_distinct(q)) = n AS all_different, len(list_filter(q, lambda x: x <> 25)) = 0 AS all_25, {_listed('q[2:]')} AS tail,
+  len(list_filter(q, lambda x: x % 2 = 0)) > 0 AS some_masked, len(list_filter(q, lambda x: x % 2 = 1)) = 0 AS all_masked, round(CAST(len(list_filter(q, lambda x: x <= 5)) / n AS DOUBLE), 5) AS share,
+  {_listed('list_concat(q[n:n], q[1:n - 1])')} AS last_turn, CAST(list_sum(q) * list_sum(q) AS BIGINT) AS product, {_listed('list_concat(q[1:1], [0], q[2:])')} AS longer,
+  {_listed('list_concat([0, 0], q, list_transform(range(n, 58), lambda i: 0))')} AS framed, CAST(list_sum(q) AS BIGINT) AS back, CAST(n // 4 AS INTEGER) AS at_row, CAST(n % 4 AS INTEGER) AS at_col, CAST(n AS INTEGER) AS at,
+  {_listed('list_filter(q, lambda x, i: i % 2 = 1)')} AS evens, {_listed('[-1, coalesce(q[2], -1), -1, coalesce(q[3], -1), -1]')} AS sparse, {_listed('list_concat(q[1:1], q[1:1], [coalesce(q[2], q[1])])')} AS growing, {_listed('list_reverse(q)')} AS by_number,
+  CAST(coalesce(list_position(list_transform(q, lambda x: x >= 25), true) - 1, -1) AS INTEGER) AS first_hit, CAST(q[1] * 2 AS DOUBLE) AS doubled FROM o""")
+def order_arrays(spark, d):
+    """Array functions over the quantities of an order."""
+    o = V.table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.col("l_quantity").cast("int"))).alias("q")).withColumn("n", F.size("q"))
+    masked, q, n = A.mask("q", "q", lambda x: x % 2 == 0), F.col("q"), F.col("n")
+    entries = F.transform(q, lambda x, i: F.struct((i * 2).alias("idx"), x.alias("value")))
+    sparse = A.expand_sparse(F.filter(F.transform(entries, lambda e: e), lambda e: e["idx"] > 0), 1, 5, -1)
+    numbered = F.map_from_arrays(F.transform(q, lambda x, i: n - i), q)
+    cell = A.row_col("n", 25, 4)
+    return o.select(
+        "l_orderkey", _text(A.positions("q", lambda x: x >= 25)).alias("hits"), A.all_unique("q").alias("all_different"), A.all_equal("q", 25).alias("all_25"), _text(A.rest("q")).alias("tail"),
+        A.has_nulls(masked).alias("some_masked"), A.all_nulls(masked).alias("all_masked"), F.round(A.reliable_share("q", [1, 2, 3, 4, 5]).cast("double"), 5).alias("share"),
+        _text(F.element_at(A.revolve("q"), -1)).alias("last_turn"), A.total(A.outer_product("q", "q")).cast("long").alias("product"), _text(A.insert_at("q", 1, F.array(F.lit(0)))).alias("longer"),
+        _text(A.insert_into(0, 2, 60, q)).alias("framed"), A.total(A.from_pg_array(A.pg_array("q"))).cast("long").alias("back"), cell["row"].alias("at_row"), cell["col"].alias("at_col"), A.row_col_index(25, 4, cell["row"], cell["col"]).alias("at"),
+        _text(A.unweave("q")["even"]).alias("evens"), _text(sparse).alias("sparse"), _text(F.flatten(A.prefixes("q", 1, 2))).alias("growing"), _text(A.by_key(numbered)).alias("by_number"),
+        F.coalesce(A.first_hit("q", 25), F.lit(-1)).alias("first_hit"), F.element_at(A.scale(F.transform(q, lambda x: x.cast("double")), 2.0), 1).alias("doubled"),
+    )
+
+
+_O32 = V.p32("o_orderdate")
+
+
+@query(f"""SELECT o_orderkey, CAST({V.start16(_P)} AS VARCHAR) AS begins, CAST(dayofyear(o_orderdate) - 1 AS INTEGER) AS day_of_year, CAST(CAST(o_orderdate AS DATE) - DATE '1990-01-01' AS INTEGER) AS days,
+  CAST(CAST(CAST(o_orderdate AS DATE) + 30 AS DATE) AS VARCHAR) AS later, CAST((CAST(o_orderdate AS DATE) - DATE '1970-01-01') * 86400000::BIGINT AS BIGINT) AS millis,
+  CAST({V.p32('(CAST(o_orderdate AS DATE) + 90)')} - {_O32} + 1 AS INTEGER) AS months, CAST(CASE WHEN {_O32} BETWEEN 270 AND 329 THEN {_O32} - 270 END AS INTEGER) AS place, CAST(greatest(0, least({_O32} - 270, 59)) AS INTEGER) AS nearest,
+  CAST(CASE WHEN {_O32} BETWEEN 270 AND 329 THEN {_O32} - 270 ELSE -1 END AS INTEGER) AS exact, strftime(o_orderdate, '%Y%m%d') AS packed, CAST(o_orderdate AS DATE) <= DATE '1996-06-30' AND CAST(o_orderdate AS DATE) + 90 >= DATE '1996-01-01' AS meets FROM orders""")
+def order_dates(spark, d):
+    """Date and period functions of an order's date."""
+    o = V.table(spark, d, "orders").withColumn("date", F.col("o_orderdate").cast("date")).withColumn("end", F.date_add("date", 90))
+    numbers = o.withColumns({"values": F.sequence(F.lit(0), F.lit(59)), "first": F.lit(270)})
+    day = lambda x: F.lit(x).cast("date")
+    return numbers.select(
+        "o_orderkey", P.beginning("date", "16").cast("string").alias("begins"), P.ordinal("date").alias("day_of_year"), P.diff_in_days(day("1990-01-01"), F.col("date")).alias("days"),
+        P.inc_date("date", F.lit(30)).cast("string").alias("later"), P.date_millis("date").alias("millis"), F.size(P.monthly_millis("date", "end")).alias("months"), P.date_index("32", "first", F.size("values"), "date").alias("place"),
+        P.value_at("32", "first", "values", "date", clamp=True).alias("nearest"), P.value_at("32", "first", "values", "date", -1).alias("exact"), P.convert(F.col("date").cast("string"), "yyyy-MM-dd", "yyyyMMdd").alias("packed"),
+        P.intervals_overlap("date", "end", day("1996-01-01"), day("1996-06-30")).alias("meets"),
+    )
+
+
+@query(f"""WITH p AS (SELECT o_custkey AS k, {_O32} AS p, count(*) AS n FROM orders GROUP BY 1, 2), s AS (SELECT k, min(p) AS lo, max(p) AS hi, count(*) AS m, sum(n) AS total, sum(CASE WHEN p BETWEEN 300 AND 323 THEN n ELSE 0 END) AS part FROM p GROUP BY k)
+SELECT k, CAST(lo AS INTEGER) AS lo, hi - lo + 1 = m AS gapless, CAST(hi - lo + 1 AS INTEGER) AS size, CAST(total AS DOUBLE) AS total, CAST(part AS DOUBLE) AS part, CAST(hi - lo + 1 AS INTEGER) AS spans, CAST(hi - lo + 1 AS INTEGER) AS again FROM s""")
+def order_series(spark, d):
+    """Maps of a customer's orders by month, as series and back."""
+    o = V.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("k"), P.period("o_orderdate", "32").alias("p")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    m = o.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("p", "n"))).alias("m")).withColumns({"lo": P.map_start("m"), "s": P.map_to_series("m", 0.0)})
+    ends = lambda c: P.period_start(c, "32")
+    return m.select(
+        "k", F.col("lo").cast("int").alias("lo"), P.consecutive(F.map_keys("m")).alias("gapless"), F.size("s").alias("size"), A.total("s").alias("total"), A.total(P.temporal_subvec("lo", "s", F.lit(300), F.lit(324))).alias("part"),
+        F.size(P.key_span("32", ends("lo"), ends(F.col("lo") + F.size("s") - 1))).alias("spans"), F.size(P.series_to_map(F.col("lo").cast("int"), "s")).alias("again"),
+    )
+
+
+@query(f"""SELECT s_suppkey AS k, s_suppkey % 40 < 36 - [14, 11, 9, 6, 4, 2, 1, 0, 0, 0, 0, 1, 2, 4, 6, 9, 11, 14][s_suppkey % 18 + 1] AND s_suppkey % 40 >= [14, 11, 9, 6, 4, 2, 1, 0, 0, 0, 0, 1, 2, 4, 6, 9, 11, 14][s_suppkey % 18 + 1] AND s_suppkey * 7 % 3000 < 2400 AS valid,
+  CAST(s_suppkey // 2 AS BIGINT) AS half, CAST(8 * 2400 + s_suppkey // 10 AS BIGINT) AS g_row, CAST(28 * 2400 + s_suppkey % 10 AS BIGINT) AS g_col, CAST(s_suppkey % 10 AS INTEGER) AS sample, CAST(s_suppkey // 10 AS INTEGER) AS line,
+  CAST((s_suppkey // 2400 + 19200) * 86400 + s_suppkey % 2400 + 67200 AS BIGINT) AS from_window, abs(s_suppkey % 200 - 100.0) < 90 AS mappable, s_suppkey % 400 <= 360 AS in_grid,
+  round(-90 + ((s_suppkey % 360 + 0.5) * 0.5), 6) AS cell_lat, round(((s_suppkey % 720 + 0.5) * 0.5 + 180) - 360 * floor(((s_suppkey % 720 + 0.5) * 0.5 + 180) / 360) - 180, 6) AS cell_lon FROM supplier""")
+def places(spark, d):
+    """Checks and conversions of pixels, cells and windows."""
+    s = _k(V.static(spark, d)).withColumns({"g": G.global_rowcol(V.RES, "h", "v", "sample", "line")})
+    s = s.withColumn("r", G.index_rowcol(V.RES, G.global_index(V.RES, F.col("g.row"), F.col("g.col")))).withColumn("p", G.pixel_of_rowcol(V.RES, F.col("r.row"), F.col("r.col")))
+    k, cell = F.col("k"), G.cell_to_latlon(grids.GRIDS["precl"], F.col("k") % 360, F.col("k") % 720)
+    return s.select(
+        "k", G.is_valid_pixel(V.RES, k % 40, k % 18, k * 7 % 3000, F.lit(0)).alias("valid"), G.zoom_out("k").alias("half"), F.col("r.row").alias("g_row"), F.col("r.col").alias("g_col"), "p.sample", "p.line",
+        G.window_index_to_global(V.RES, 19200, 67200, 2400, "k").alias("from_window"), G.is_mappable(k % 200 - 100.0, F.lit(0.0)).alias("mappable"), G.is_valid_cell(0.5, k % 400, F.lit(3)).alias("in_grid"),
+        F.round(cell["lat"], 6).alias("cell_lat"), F.round(cell["lon"], 6).alias("cell_lon"),
+    )
