@@ -236,6 +236,42 @@ def test_fingerprints_odd_rows(spark):
     assert alone.near_next == 1.0
 
 
+def plain_signature(text, samples):
+    """Consistent weighted sampling written out: for each sample, the word and grid point of the least value."""
+    r_table, c_table = fingerprint._tables()
+    n = fingerprint.CELLS
+    counts = Counter(text.lower().split()) or Counter([""])
+    xx = lambda data, seed=42: xxhash.xxh64_intdigest(data, seed)
+    out = []
+    for k in range(samples):
+        best = None
+        for word, w in counts.items():
+            h = xx((k % 2).to_bytes(4, "little"), xx((k // 2).to_bytes(4, "little"), xx(xx(word.encode()).to_bytes(8, "little"))))
+            again = xx(h.to_bytes(8, "little"))
+
+            def draw(table, bits, fine):
+                top = bits >> 22
+                at = n + 1 + (bits >> 16 & n - 1) if fine(top) else top
+                part = (bits & 65535) / 65536 if fine(top) else (bits & 4194303) / 4194304
+                return table[at] + (table[at + 1] - table[at]) * part
+
+            r = draw(r_table, h & 0xFFFFFFFF, lambda top: top >= n - n // 64)
+            c = draw(c_table, h >> 32, lambda top: top < n // 64)  # its logarithm
+            b = (again >> 32) / 2**32
+            t = int(np.floor(np.log(w) / r + b))
+            value = int((c - r * (t - b) - r + 128) * 8388608), ((again & 0xFFFFFFFF) + t * 2654435761) & 0xFFFFFFFF
+            best = value if best is None or value < best else best
+        out.append(best[1])
+    return out
+
+
+def test_signature_written_out(spark):
+    texts = ["the cat sat on the mat the end", "one", "", "a a a a b b c", "The CAT sat"]
+    out = {r.doc_id: r for r in fingerprint.fingerprints_with_next(documents(spark, [(k, t, "s") for k, t in enumerate(texts)]), samples=32).collect()}
+    for k, t in enumerate(texts):
+        assert out[k].signature == plain_signature(t, 32)
+
+
 def test_gamma_quantiles():
     p = np.array([0.01, 0.5, 0.99])
     x = fingerprint.gamma_quantiles(p)
