@@ -5,8 +5,8 @@ ends have reached); each token of A stabs it by bisection and gets the tokens of
 tokens of A that no token of B spans is a boundary of groups.
 
 Few tokens of either vocabulary go on from a mark to white space (those that do end with a carriage return), so a text is
-cut before all its other white space, and both token lists end at each cut. Such chunks come again and again: they are encoded and aligned once a worker, those that are new in
-a batch all at once. The numbers of chunks add up to those of their text.
+cut before all its other white space, and both token lists end at each cut. The different chunks of a batch of texts are
+encoded once each and aligned all at once; the numbers of chunks add up to those of their text.
 
 Corpus counts need one exchange. A task deals its documents to blocks of bounded size and passes on, for each block, its
 distinct pairs with the number of documents that hold them; what a block needs to know comes back to it as one row a
@@ -16,9 +16,11 @@ pair. So a pair that all documents hold travels once a block, not once a documen
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -32,9 +34,9 @@ from .common import materialize
 from .packing import _byte_letters
 
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # Unicode's White_Space: fixed values
-MOST_CHUNKS = 300_000  # that a worker process holds
-LONG = 256  # characters of a chunk that is not held
-BLOCK = 4 << 20  # characters of a block, unless a document has more
+LONG = 256  # characters of a chunk from which on the tokenizer itself encodes it, in a time about linear
+AT_ONCE = 8192  # chunks encoded at a time
+BLOCK = 4 << 20  # characters from which on a block is closed
 PACK = 1 << 20  # ids of B are below
 
 
@@ -89,44 +91,61 @@ def align_tokens(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.
     return Aligned(a, b, last + 1, np.searchsorted(ends_b, ends_a[last]) + 1, left, right)
 
 
-class Chunk(NamedTuple):
-    n_a: int
-    n_b: int
-    n_groups: int
-    text: str  # its groups
-    pairs: tuple[int, ...]  # id of A * PACK + id of B, a link each
+class Batch(NamedTuple):
+    """Of a batch of texts: numbers of tokens of A and B, groups and links of each (zeros where it has no tokens), the digest
+    of its groups, and its distinct id pairs (id of A * PACK + id of B), by text, with how often each is linked."""
 
+    numbers: np.ndarray
+    digests: list[str]
+    text_of: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
 
-def _chunks(found: Aligned, tokens: np.ndarray, numbers: np.ndarray) -> list[Chunk]:
-    """The chunks of an alignment of their concatenation, from how many tokens of A and of B each has. ``numbers``: ids
+
+def _written(found: Aligned, tokens: np.ndarray, numbers: np.ndarray) -> list[str]:
+    """The groups of each of several texts aligned together; ``tokens``: how many of A and of B each has; ``numbers``: ids
     written out, with each of the marks behind them."""
-    n_a, n_b, group = len(found.a), len(found.b), np.arange(len(found.cuts_a))
+    n_a, n_b = len(found.a), len(found.b)
     last_a, last_b = np.zeros(n_a, dtype=np.int8), np.zeros(n_b, dtype=np.int8)
     last_a[found.cuts_a - 1], last_b[found.cuts_b - 1] = 1, 2
     sizes_a, sizes_b = np.diff(found.cuts_a, prepend=0), np.diff(found.cuts_b, prepend=0)
-    written = np.empty(n_a + n_b, dtype=object)
-    written[np.arange(n_a) + np.repeat(found.cuts_b - sizes_b, sizes_a)] = numbers[last_a, found.a]
-    written[np.arange(n_b) + np.repeat(found.cuts_a, sizes_b)] = numbers[last_b, found.b]
-    upto = np.cumsum(tokens, axis=0)
-    upto_groups = np.searchsorted(found.cuts_a, upto[:, 0], "right")
-    upto_links = np.searchsorted(found.left, upto[:, 0], "left")  # links lie in the order of A
-    pairs, out, written = (found.a[found.left] * PACK + found.b[found.right]).tolist(), [], written.tolist()
-    i = g = k = 0
-    for (a, b), size, j, h, m in zip(tokens.tolist(), tokens.sum(axis=1).tolist(), upto.sum(axis=1).tolist(), upto_groups.tolist(), upto_links.tolist(), strict=True):
-        out.append(Chunk(a, b, h - g, "".join(written[i : i + size])[:-1], tuple(pairs[k:m])))
-        i, g, k = j, h, m
-    return out
+    out = np.empty(n_a + n_b, dtype=object)
+    out[np.arange(n_a) + np.repeat(found.cuts_b - sizes_b, sizes_a)] = numbers[last_a, found.a]
+    out[np.arange(n_b) + np.repeat(found.cuts_a, sizes_b)] = numbers[last_b, found.b]
+    ends, out = np.cumsum(tokens.sum(axis=1)).tolist(), out.tolist()
+    return ["".join(out[lo:hi]) for lo, hi in zip([0, *ends], ends, strict=False)]
+
+
+def _fast(path: str):
+    """The vocabulary of a byte-level BPE file as ranks, where its merges stand in the order of ids; else None."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(path) as f:
+        whole = json.load(f)
+    vocabulary, merges, split = whole["model"].get("vocab"), whole["model"].get("merges") or [], whole.get("pre_tokenizer") or {}
+    byte = {c: bytes([k]) for k, c in enumerate(_byte_letters())}
+    ids = [vocabulary.get("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in merges]
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not ids or None in ids or ids != sorted(set(ids)) or not set(byte) <= set(vocabulary):
+        return None
+    merged = set(ids)
+    ranks = {b"".join([byte[c] for c in t]): k for t, k in vocabulary.items() if t in byte or k in merged}
+    if max(ranks[x] for x in ranks if len(x) == 1) > ids[0]:
+        return None
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 class Aligner:
     """Aligns a byte-level BPE (A) of a space and a text with a piece model (B) of the text."""
 
     def __init__(self, path_a: str, path_b: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
         import sentencepiece
         from tokenizers import Tokenizer
 
         self.a, self.b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.a.encode_special_tokens = True  # their strings are text
+        self.fast = _fast(path_a)
         byte = {c: bytes([k]) for k, c in enumerate(_byte_letters())}
         self.bytes_a = [b"".join([byte.get(c, c.encode()) for c in self.a.id_to_token(k) or ""]) for k in range(self.a.get_vocab_size())]
         self.bytes_b = [self._piece(k) for k in range(self.b.get_piece_size())]
@@ -138,30 +157,46 @@ class Aligner:
         joined = {c for x in plain for pair in joins.findall(x) for c in pair if c}
         self.cut = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])" + "".join(f"(?!{re.escape(c)})" for c in sorted(joined)))
         self.written = np.array([[f"{k}{end}" for k in range(max(len(self.bytes_a), len(self.bytes_b)))] for end in ",|;"], dtype=object)
-        self.held: dict[str, Chunk | None] = {}
 
     def _piece(self, k: int) -> bytes:
         piece = self.b.id_to_piece(k)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(k) else piece.replace("▁", " ").encode()
 
+    def _slow(self, part: str) -> list[int]:
+        return self.a.encode(part, add_special_tokens=False).ids
+
     def encode(self, parts: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """Both token lists of each part; None where either does not give its bytes back.
 
         The piece model puts a space before a text: a part's first space is left to it, and taken off where there is none.
         """
-        spaced = [p[0] == " " for p in parts]
-        ids_a = [e.ids for e in self.a.encode_batch(parts, add_special_tokens=False)]
-        ids_b = self.b.encode([p[1:] if s else p for p, s in zip(parts, spaced, strict=True)])
-        out: list[tuple[list[int], list[int]] | None] = []
-        for part, space, a, b in zip(parts, spaced, ids_a, ids_b, strict=True):
-            b = [self.space] if part == " " else b if space else b[1:] if b[:1] == [self.space] else []
-            whole = part.encode()
-            same = b"".join([self.bytes_a[k] for k in a]) == whole == b"".join([self.bytes_b[k] for k in b])
-            out.append((a, b) if same else None)
-        return out
+        fast = self.fast.encode_ordinary if self.fast else self._slow
+        ids_a = [fast(p) if len(p) <= LONG else self._slow(p) for p in parts]
+        ids_b = self.b.encode([p[1:] if p[0] == " " else p for p in parts])
+        for k, p in enumerate(parts):
+            if p == " ":
+                ids_b[k] = [self.space]
+            elif p[0] != " ":
+                ids_b[k] = ids_b[k][1:] if ids_b[k][:1] == [self.space] else []
+        both = list(zip(ids_a, ids_b, strict=True))
+        if self._bytes(ids_a, self.bytes_a) == "".join(parts).encode() == self._bytes(ids_b, self.bytes_b) and all(ids_b):
+            lengths = [len(p.encode()) for p in parts]
+            if all(np.array_equal(self._sizes(x, size), lengths) for x, size in ((ids_a, self.size_a), (ids_b, self.size_b))):
+                return both
+        return [x if self._bytes(x[:1], self.bytes_a) == p.encode() == self._bytes(x[1:], self.bytes_b) else None for p, x in zip(parts, both, strict=True)]
+
+    @staticmethod
+    def _bytes(ids: list[list[int]] | tuple[list[int], ...], table: list[bytes]) -> bytes:
+        return b"".join([table[k] for x in ids for k in x])
+
+    @staticmethod
+    def _sizes(ids: list[list[int]], sizes: np.ndarray) -> np.ndarray:
+        """Bytes of each list of ids; none is empty."""
+        flat = sizes[np.fromiter(chain.from_iterable(ids), dtype=np.int64)]
+        return np.add.reduceat(flat, np.cumsum([0, *map(len, ids[:-1])]))
 
     def together(self, encoded: list[tuple[list[int], list[int]]]) -> Aligned:
-        a, b = (np.array([k for x in encoded for k in x[side]], dtype=np.int64) for side in (0, 1))
+        a, b = (np.fromiter(chain.from_iterable([x[side] for x in encoded]), dtype=np.int64) for side in (0, 1))
         return align_tokens(a, b, self.size_a[a], self.size_b[b])
 
     def align(self, text: str) -> Aligned | None:
@@ -169,28 +204,43 @@ class Aligner:
         found = self.encode([" " + text])
         return None if found[0] is None else self.together(found)
 
-    def chunks(self, parts: list[str]) -> list[Chunk | None]:
-        found = self.encode(parts)
-        fine = [x for x in found if x is not None]
-        if not fine:
-            return [None] * len(found)
-        out = iter(_chunks(self.together(fine), np.array([[len(a), len(b)] for a, b in fine]), self.written))
-        return [None if x is None else next(out) for x in found]
-
-    def documents(self, texts: list[str | None]) -> list[list[Chunk] | None]:
-        """Each text's chunks in order; None for texts without tokens."""
-        split = [self.cut.split(" " + t) if t else [] for t in texts]
-        if len(self.held) > MOST_CHUNKS:
-            self.held.clear()
-        new = list({p: None for parts in split for p in parts if p not in self.held})
-        known = self.held
-        if new:
-            known = dict(zip(new, self.chunks(new), strict=True))
-            short = {p: c for p, c in known.items() if len(p) <= LONG}
-            self.held |= short
-            known = self.held if len(short) == len(known) else self.held | known
-        out = [[known[p] for p in parts] for parts in split]
-        return [x if x and None not in x else None for x in out]
+    def batch(self, texts: list[str | None]) -> Batch:
+        place: dict[str, int] = {}  # of each different chunk
+        held = [[place.setdefault(p, len(place)) for p in self.cut.split(" " + t)] if t else [] for t in texts]
+        parts = list(place)
+        # Chunks: their numbers, the text of their groups, their links.
+        numbers, written, links, fine = np.zeros((len(parts), 4), dtype=np.int64), [""] * len(parts), [np.zeros(0, dtype=np.int64)], np.zeros(len(parts), dtype=bool)
+        for lo in range(0, len(parts), AT_ONCE):
+            encoded = self.encode(parts[lo : lo + AT_ONCE])
+            at = [lo + k for k, x in enumerate(encoded) if x is not None]
+            if not at:
+                continue
+            known = [x for x in encoded if x is not None]
+            tokens, found = np.array([[len(a), len(b)] for a, b in known]), self.together(known)
+            upto = np.cumsum(tokens[:, 0])
+            groups, last = np.searchsorted(found.cuts_a, upto, "right"), np.searchsorted(found.left, upto, "left")  # links lie in the order of A
+            numbers[at] = np.column_stack([tokens, np.diff(groups, prepend=0), np.diff(last, prepend=0)])
+            fine[at] = True
+            for k, x in zip(at, _written(found, tokens, self.written), strict=True):
+                written[k] = x
+            links.append(found.a[found.left] * PACK + found.b[found.right])
+        links, first = np.concatenate(links), np.cumsum(numbers[:, 3]) - numbers[:, 3]
+        # Texts: sums over their chunks, and their links by id pair.
+        whole = [bool(x) and bool(fine[x].all()) for x in held]
+        digests = [hashlib.sha256("".join([written[k] for k in x])[:-1].encode()).hexdigest() if ok else "" for x, ok in zip(held, whole, strict=True)]
+        lengths = np.array([len(x) if ok else 0 for x, ok in zip(held, whole, strict=True)], dtype=np.int64)
+        part = np.fromiter(chain.from_iterable([x for x, ok in zip(held, whole, strict=True) if ok]), dtype=np.int64, count=int(lengths.sum()))
+        text = np.repeat(np.arange(len(texts)), lengths)
+        sums = np.stack([np.bincount(text, numbers[part, k], minlength=len(texts)) for k in range(4)], axis=1).astype(np.int64)
+        once, times = np.unique(text * max(1, len(parts)) + part, return_counts=True)
+        text, part = np.divmod(once, max(1, len(parts)))
+        n = numbers[part, 3]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[part], n)
+        key, times = (np.repeat(text, n) << 40) + links[at], np.repeat(times, n)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        begin = np.flatnonzero(np.diff(key, prepend=-1))
+        return Batch(sums, digests, key[begin] >> 40, key[begin] & ((1 << 40) - 1), np.add.reduceat(times[order], begin) if len(begin) else times)
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -226,60 +276,39 @@ HELD = f"block long, {DIGEST}, pairs binary, times binary, docs binary"
 
 def _blocks(path_a: str | None, path_b: str | None, block: int):
     """For mapInPandas: a row a document, with its pairs as places in its block's list and how often it links each; and a
-    row a block (without counts) with that list and the documents that hold each."""
+    row a block (without counts) with that list and the documents that hold each. A block is of whole batches."""
     names = [x.split()[0] for x in HELD.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with_, task, number, size = aligner(path_a, path_b), TaskContext.get().partitionId() << 32, 0, 0
-        places: dict[int, int] = {}  # of pairs in the block's list
-        docs: list[int] = []
-        rows: list[tuple] = []
-
-        def closed() -> pd.DataFrame:
-            nonlocal places, docs, rows, size, number
-            list_ = np.fromiter(places, dtype=np.int64, count=len(places))
-            rows.append((task + number, *[None] * 6, list_.tobytes(), None, np.array(docs, dtype=np.int64).tobytes()))
-            out = pd.DataFrame(rows, columns=names, dtype=object)
-            places, docs, rows, size, number = {}, [], [], 0, number + 1
-            return out
+    def closed(number: int, docs: list, batches: list[Batch]) -> pd.DataFrame:
+        list_, at = np.unique(np.concatenate([x.pairs for x in batches]), return_inverse=True)
+        held, rows, lo = np.bincount(at, minlength=len(list_)), [], 0
+        for keys, x in zip(docs, batches, strict=True):
+            ends = lo + np.searchsorted(x.text_of, np.arange(len(keys)), "right")
+            begins, times = np.concatenate([[lo], ends[:-1]]), x.times.astype("<i4")
+            for key, counts, sha, i, j in zip(keys, x.numbers.tolist(), x.digests, begins.tolist(), ends.tolist(), strict=True):
+                rows.append((number, key, *counts, sha, at[i:j].astype("<i4").tobytes(), times[i - lo : j - lo].tobytes(), None))
+            lo += len(x.pairs)
+        rows.append((number, *[None] * 6, list_.tobytes(), None, held.astype(np.int64).tobytes()))
+        return pd.DataFrame(rows, columns=names, dtype=object)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with_, number, size = aligner(path_a, path_b), TaskContext.get().partitionId() << 32, 0
+        docs: list[list] = []
+        held: list[Batch] = []
         for batch in batches:
             texts = [None if pd.isna(t) else t for t in batch["text"]]
-            for doc, text, found in zip(batch["doc_id"], texts, with_.documents(texts), strict=True):
-                doc = None if pd.isna(doc) else int(doc)
-                if found is None:
-                    rows.append((task + number, doc, 0, 0, 0, 0, "", b"", b"", None))
-                    continue
-                links: Counter = Counter()
-                for chunk, n in _distinct(found):
-                    for pair in chunk.pairs:
-                        links[pair] += n
-                at = []
-                for pair in links:
-                    k = places.setdefault(pair, len(docs))
-                    if k == len(docs):
-                        docs.append(0)
-                    docs[k] += 1
-                    at.append(k)
-                sha = hashlib.sha256(";".join([c.text for c in found]).encode()).hexdigest()
-                counts = (sum(c.n_a for c in found), sum(c.n_b for c in found), sum(c.n_groups for c in found), links.total())
-                rows.append((task + number, doc, *counts, sha, np.array(at, dtype="<i4").tobytes(), np.fromiter(links.values(), dtype="<i4", count=len(links)).tobytes(), None))
-                size += len(text)
-                if size >= block:
-                    yield closed()
-        if rows:
-            yield closed()
+            docs.append([None if pd.isna(k) else int(k) for k in batch["doc_id"]])
+            held.append(with_.batch(texts))
+            size += sum(len(t) for t in texts if t)
+            if size >= block:
+                yield closed(number, docs, held)
+                docs, held, size, number = [], [], 0, number + 1
+        if held:
+            yield closed(number, docs, held)
 
     return run
 
 
-def _distinct(found: list[Chunk]) -> Iterator[tuple[Chunk, int]]:
-    """Chunks and how often each comes."""
-    first = {id(c): c for c in found}
-    for k, n in Counter(map(id, found)).items():
-        yield first[k], n
-
-
 def _open(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For mapInPandas: a row for each pair of a block."""
     for batch in batches:
