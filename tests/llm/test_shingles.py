@@ -97,3 +97,54 @@ def test_near_copies_odd_rows(spark):
     alone = shingles.keep_one(documents(spark, [(None, "a b", "s"), (None, "a b", "t"), (None, "a b", "t")])).collect()
     assert len(alone) == 1
     assert shingles.keep_one(empty(spark)).count() == 0
+
+
+def test_sketches():
+    """Sketches agree as sets are alike; none of similarity 4/5 is ruled out, nearly all of 1/5 are."""
+    rng = np.random.default_rng(8)
+    new = lambda n: rng.integers(-(2**63), 2**63, n)
+    for n in (1, 4, 9, 30, 200, 1000):
+        pairs = []
+        for _ in range(300):
+            a = new(n)
+            pairs.append((np.unique(a), np.unique(np.concatenate([a, new(n // 4)]))))
+        for bins in (shingles.BINS, shingles.FINE):
+            both = np.array([[shingles.sketch(x, bins) for x in p] for p in pairs]).reshape(-1, bins)
+            at = np.arange(0, len(both), 2)
+            assert shingles.likely(both, at, at + 1).all()
+    other = [np.unique(np.concatenate([shared, new(200)])) for shared in [new(100)] for _ in range(400)]
+    both = np.stack([shingles.sketch(x) for x in other])
+    i, j = np.triu_indices(400, 1)
+    assert shingles.likely(both, i, j).mean() < 0.01
+    same, n = shingles.agreement(np.stack([shingles.sketch(np.zeros(0, dtype=np.int64))]), both[:1])
+    assert same[0] == 0 and n[0] == shingles.BINS
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_a_shared_passage_makes_no_family(spark, monkeypatch, known):
+    """Texts that share a third of their words and nothing else, whether or not the sample knows the passage as common; a few
+    of them have near copies."""
+    rng = np.random.default_rng(9)
+    count = 4000 if known else 600
+    words = lambda n: [f"w{k}" for k in rng.integers(0, 10**6, n)]
+    passage, texts = words(100), []
+    for k in range(count):
+        base = words(100) + passage + words(100)
+        texts.append(" ".join(base))
+        if k % 100 == 0:
+            base[3] = "edit"
+            texts.append(" ".join(base))
+    if not known:
+        monkeypatch.setattr(shingles, "COMMON", 10**9)
+    sizes, pairs = [], []
+    stars, others = shingles._star_pairs, shingles._other_pairs
+    monkeypatch.setattr(shingles, "_star_pairs", lambda nodes: (lambda found: sizes.append(found) or found)(stars(nodes)))
+    monkeypatch.setattr(shingles, "_other_pairs", lambda *a: (lambda found: pairs.append(found) or found)(others(*a)))
+    df = documents(spark, [(k, t, "s") for k, t in enumerate(texts)]).repartition(4)
+    placed = shingles.near_copies(df).collect()
+    alike_ = {}
+    for r in placed:
+        alike_.setdefault(r.root, []).append(r.key)
+    assert sorted(map(sorted, (x for x in alike_.values() if len(x) > 1))) == [[k, k + 1] for k in range(0, len(texts), 101)]
+    families = simhash.components(sizes[0]).groupBy("root").count().agg(F.max("count")).first()[0]
+    assert families <= 4 and pairs[0].count() <= count // 10

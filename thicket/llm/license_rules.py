@@ -229,7 +229,7 @@ N gfdl documentation gnu free documentation license (version|v)? (1 1|1 2|1 3)?
 N gpl-classpath-exception classpath (gpl|license|gplv2) ~{0,4} classpath exception
 N gpl-linking-exception linking (gpl|license) ~{0,4} linking exception
 N apache-2.0 apache apache (software)? license (version|v)? (2|v2) (0)?
-N apache-2.0 apache/apache2+license/licence/licensed (apache 2 0|apache2|apache asl 2 0) (license|licence|licensed)
+N apache-2.0 apache/apache2+license/licence/licensed (apache 2 0|apache asl 2 0|apache2) (license|licence|licensed)
 N apache-1.1 apache apache (software)? license (version|v)? 1 1
 N apache-1.0 apache apache (software)? license (version|v)? 1 0
 N apache-2.0-llvm-exception llvm apache license v2 0 with llvm exceptions
@@ -273,7 +273,7 @@ N postgresql postgresql postgresql license
 N ncsa ncsa (university of illinois)? ncsa (open source)? license
 N ofl-1.1 font sil open font license ((version|v)? 1 1)?
 N ofl-1.1 ofl (sil)? ofl (version|v)? 1 1
-N cc0-1.0 cc0 (cc0|cc0 1 0) (universal)? (license|public domain dedication)?
+N cc0-1.0 cc0 (cc0 1 0|cc0) (universal)? (license|public domain dedication)?
 N cc-by-sa cc cc by sa ((4|3) 0)?
 N cc-by-nc cc cc by nc ((4|3) 0)?
 N cc-by-nd cc cc by nd ((4|3) 0)?
