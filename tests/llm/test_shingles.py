@@ -117,7 +117,7 @@ def test_sketches():
     i, j = np.triu_indices(400, 1)
     assert shingles.likely(both, i, j).mean() < 0.01
     same, n = shingles.agreement(np.stack([shingles.sketch(np.zeros(0, dtype=np.int64))]), both[:1])
-    assert same[0] == 0 and n[0] == shingles.BINS
+    assert same[0] == 0 and n[0] >= shingles.BINS - 6
 
 
 @pytest.mark.parametrize("known", [True, False])
