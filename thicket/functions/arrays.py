@@ -21,25 +21,40 @@ def _indices(size: Column) -> Column:
     return F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
 
 
-def fill_forward(series, bad: Callable[[Column], Column] | float | None, default: float | None = None, kind: str = "double") -> Column:
-    """Bad values take the last good value before them, or ``default``. ``bad``: a test, a value, or None for nulls."""
-    test = bad if callable(bad) else (lambda x: x.isNull()) if bad is None else (lambda x: x == F.lit(bad))
-    start = F.struct(F.array().cast(f"array<{kind}>").alias("out"), F.lit(default).cast(kind).alias("last"))
+STRETCH = 64  # values that a fold gathers before it puts them aside
+
+
+def scan(series, join: Callable[[Column, Column], Column], start=None, kind: str = "double") -> Column:
+    """What ``join`` makes of the value before (at first ``start``) and each value, in turn: prefix sums, minima, last good
+    values.
+
+    One fold that carries the last value. An array that grew by one at each step would be copied as often; so values
+    gather in short stretches, and only these are put aside, which keeps the cost linear in the series.
+    """
+    zero = F.struct(F.array().cast(f"array<array<{kind}>>").alias("out"), F.array().cast(f"array<{kind}>").alias("now"), _lit(start).cast(kind).alias("last"))
 
     def step(acc: Column, x: Column) -> Column:
-        now = F.when(F.coalesce(test(x), F.lit(False)), acc["last"]).otherwise(x.cast(kind))
-        return F.struct(F.concat(acc["out"], F.array(now)).alias("out"), now.alias("last"))
+        value, full = join(acc["last"], x).cast(kind), F.size(acc["now"]) >= STRETCH
+        out = F.when(full, F.concat(acc["out"], F.array(acc["now"]))).otherwise(acc["out"])
+        now = F.when(full, F.array(value)).otherwise(F.concat(acc["now"], F.array(value)))
+        return F.struct(out.alias("out"), now.alias("now"), value.alias("last"))
+
+    return F.aggregate(_c(series), zero, step, lambda acc: F.flatten(F.concat(acc["out"], F.array(acc["now"]))))
 
-    return F.aggregate(_c(series), start, step, lambda acc: acc["out"])
+
+def fill_forward(series, bad: Callable[[Column], Column] | float | None, default: float | None = None, kind: str = "double") -> Column:
+    """Bad values take the last good value before them, or ``default``. ``bad``: a test, a value, or None for nulls."""
+    test = bad if callable(bad) else (lambda x: x.isNull()) if bad is None else (lambda x: x == F.lit(bad))
+    return scan(series, lambda last, x: F.when(F.coalesce(test(x), F.lit(False)), last).otherwise(x.cast(kind)), default, kind)
 
 
-def running(series, pick: Callable[..., Column]) -> Column:
-    """Prefix maxima (``F.array_max``), minima (``F.array_min``) or any reduction of prefixes."""
-    return let(_c(series), lambda s: F.transform(s, lambda x, i: pick(F.slice(s, 1, i + 1))))
+def running(series, pick: Callable[..., Column], kind: str = "double") -> Column:
+    """Prefix maxima (``F.array_max``) or minima (``F.array_min``); nulls are passed over."""
+    return scan(series, {"array_max": F.greatest, "array_min": F.least}[pick.__name__], None, kind)
 
 
 def running_sum(series) -> Column:
-    return let(_c(series), lambda s: F.transform(s, lambda x, i: total(F.slice(s, 1, i + 1))))
+    return scan(series, lambda last, x: last + x, 0.0)
 
 
 def total(series) -> Column:
@@ -50,9 +65,27 @@ def average(series) -> Column:
     return let(_c(series), lambda s: total(s) / F.size(s))
 
 
+def moving_sum(series, window: int) -> Column:
+    """Sums of all whole windows, from sums of 1, 2, 4 ... values: the window's length counts by its digits only.
+
+    Store it before a Python function takes it: Spark finds no such function whose argument has a lambda inside another.
+    """
+
+    def step(state: Column, digit: Column) -> Column:
+        """``sums`` of 2**k values from each place on, and ``out`` of the window's lower digits, taken on by one digit."""
+        sums, out = state["sums"], state["out"]
+        more = lambda values, by: F.transform(values, lambda x, i: x + F.coalesce(F.get(sums, i + by), F.lit(0.0)))
+        return F.struct(F.when(digit["last"], sums).otherwise(more(sums, digit["back"])).alias("sums"), F.when(digit["set"], more(out, digit["done"])).otherwise(out).alias("out"))
+
+    s, n = F.transform(_c(series), lambda x: x.cast("double")), window.bit_length()
+    digits = [F.struct(F.lit(1 << k).alias("back"), F.lit(window & ((1 << k) - 1)).alias("done"), F.lit(bool(window >> k & 1)).alias("set"), F.lit(k == n - 1).alias("last")) for k in range(n)]
+    start = F.struct(s.alias("sums"), F.transform(s, lambda x: F.lit(0.0)).alias("out"))
+    return F.aggregate(F.array(*digits), start, step, lambda state: F.slice(state["out"], 1, F.greatest(F.size(state["out"]) - (window - 1), F.lit(0))))
+
+
 def moving_average(series, window: int) -> Column:
     """Means of all whole windows: size - window + 1 values."""
-    return let(_c(series), lambda s: F.transform(_indices(F.size(s) - (window - 1)), lambda i: average(F.slice(s, i, window))))
+    return F.transform(moving_sum(series, window), lambda x: x / window)
 
 
 def trailing_average(series, window: int) -> Column:
@@ -191,10 +224,6 @@ def all_equal(series, value) -> Column:
     return F.forall(_c(series), lambda x: x == F.lit(value))
 
 
-def same_length(a, b) -> Column:
-    return F.size(_c(a)) == F.size(_c(b))
-
-
 def rest(series) -> Column:
     s = _c(series)
     return F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0)))

@@ -1,7 +1,12 @@
-"""Numeric kernels on numpy arrays: regression, stability and break statistics, filters, logistic regression."""
+"""Numeric kernels on numpy arrays: regression, stability and break statistics, filters, logistic regression.
+
+Kernels named ``..._rows`` take series of equal length as the rows of a matrix and work on all of them at once.
+"""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 # Critical values of the recursive MOSUM test (Chu et al. 1995), by window share, then significance level: fixed values.
@@ -197,11 +202,6 @@ def make_reliable(good: set, bad: set, values, flags) -> list[float] | None:
     return [*out, fixed[fine[-1]]]
 
 
-def make_clean(freq: int, good: set, bad: set, values, flags) -> list[int] | None:
-    fine = make_reliable(good, bad, values, flags)
-    return None if fine is None else [int(np.floor(x + 0.5)) for x in deseasonalize(freq, fine)]
-
-
 # --- structural breaks (recursive MOSUM) ---
 
 
@@ -270,6 +270,142 @@ def downshift_magnitude(y, x, window: float, level: float) -> float | None:
     return None if at is None else float(fitted[at - 1] - fitted[at])
 
 
+# --- series of equal length at once ---
+
+
+def trend_rows(y: np.ndarray) -> np.ndarray:
+    """Slopes of whole series."""
+    t = np.arange(y.shape[1]) - (y.shape[1] - 1) / 2
+    if y.shape[1] < 2:
+        raise ValueError("two periods at least")
+    return y @ (t / (t @ t))
+
+
+def hansen_rows(y: np.ndarray) -> np.ndarray:
+    """``hansen_stat`` of each row; NaN where its matrix is singular.
+
+    Time is centred, which changes neither the statistic nor the sign of the determinant.
+    """
+    n = y.shape[1]
+    t = np.arange(n) - (n - 1) / 2
+    if n < 2:
+        return np.full(len(y), np.nan)
+    e = y - y.mean(axis=1, keepdims=True)
+    e -= (e @ (t / (t @ t)))[:, None] * t
+    square = e * e
+    f = np.stack([e * t, e, square - square.mean(axis=1, keepdims=True)], axis=1)
+    s = np.cumsum(f, axis=2)
+    scaled, sums = n * (f @ f.transpose(0, 2, 1)), s @ s.transpose(0, 2, 1)
+    with np.errstate(all="ignore"):
+        fine = np.linalg.det(scaled) > 0
+    found = np.trace(np.linalg.solve(np.where(fine[:, None, None], scaled, np.eye(3)), sums), axis1=1, axis2=2)
+    return np.where(fine, found, np.nan)
+
+
+def short_stat_rows(long_block: int, short_block: int, y: np.ndarray) -> np.ndarray:
+    """Running minima of smoothed window slopes, of each row; slopes and means from running sums."""
+    n = y.shape[1]
+    if n < long_block + short_block - 1:
+        raise ValueError("too short")
+    y = y - y.mean(axis=1, keepdims=True)
+    none = np.zeros((len(y), 1))
+    plain = np.cumsum(np.hstack([none, y]), axis=1)
+    by_time = np.cumsum(np.hstack([none, y * np.arange(n)]), axis=1)
+    t = np.arange(long_block) - (long_block - 1) / 2
+    centre = np.arange(n - long_block + 1) + (long_block - 1) / 2
+    slopes = (by_time[:, long_block:] - by_time[:, :-long_block] - centre * (plain[:, long_block:] - plain[:, :-long_block])) / (t @ t)
+    upto = np.cumsum(np.hstack([none, slopes]), axis=1)
+    return np.minimum.accumulate((upto[:, short_block:] - upto[:, :-short_block]) / short_block, axis=1)
+
+
+def deseasonalize_rows(freq: int, y: np.ndarray) -> np.ndarray:
+    n = y.shape[1]
+    if freq <= 1 or n < freq:
+        raise ValueError("a season needs two periods or more, and the series one season")
+    at = np.arange(n) % freq
+    means = np.stack([y[:, k::freq].mean(axis=1) for k in range(freq)], axis=1)
+    return y - means[:, at] + y.mean(axis=1, keepdims=True)
+
+
+def harmonic_rows(freq: int, k: int, y: np.ndarray) -> np.ndarray:
+    x = np.column_stack([np.ones(y.shape[1]), harmonics(freq, k, y.shape[1])])
+    if y.shape[1] < x.shape[1]:
+        raise ValueError("fewer periods than coefficients")
+    return y - (y @ x) @ np.linalg.inv(x.T @ x) @ x.T + y.mean(axis=1, keepdims=True)
+
+
+@lru_cache(maxsize=64)
+def _hp_factors(penalty: float, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """L D L' of I + penalty * D'D, whose rows have two numbers left of the diagonal: these two of L, and D."""
+    diagonal, one, two = np.full(n, 6.0), np.full(n, -4.0), np.ones(n)
+    diagonal[[0, -1]], diagonal[[1, -2]], one[[1, -1]] = 1.0, 5.0, -2.0
+    diagonal, one, two = 1 + penalty * diagonal, penalty * one, penalty * two
+    d, l1, l2 = np.empty(n), np.zeros(n), np.zeros(n)
+    for i in range(n):
+        l2[i] = two[i] / d[i - 2] if i > 1 else 0.0
+        l1[i] = (one[i] - (l2[i] * d[i - 2] * l1[i - 1] if i > 1 else 0.0)) / d[i - 1] if i else 0.0
+        d[i] = diagonal[i] - (l1[i] ** 2 * d[i - 1] if i else 0.0) - (l2[i] ** 2 * d[i - 2] if i > 1 else 0.0)
+    return d, l1, l2
+
+
+def hp_rows(penalty: float, y: np.ndarray) -> np.ndarray:
+    """``hp_filter`` of each row by a banded factorisation, which all rows share: linear in their length."""
+    n = y.shape[1]
+    if n < 9:
+        raise ValueError("nine periods at least")
+    d, l1, l2 = _hp_factors(float(penalty), n)
+    z = np.ascontiguousarray(y.T)
+    for i in range(1, n):
+        z[i] -= l1[i] * z[i - 1] + (l2[i] * z[i - 2] if i > 1 else 0.0)
+    z /= d[:, None]
+    for i in range(n - 2, -1, -1):
+        z[i] -= l1[i + 1] * z[i + 1] + (l2[i + 2] * z[i + 2] if i + 2 < n else 0.0)
+    return z.T
+
+
+def recursive_residual_rows(y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """``recursive_residuals`` of each row, beside a design that all rows share.
+
+    A least-squares fit takes up one observation at a time: the inverse gets a rank-one update, the coefficients a step
+    along the gain. As long as the first observations leave the design singular, they are fitted afresh.
+    """
+    (m, n), k = y.shape, x.shape[1]
+    out, inverse, beta = np.empty((m, max(0, n - k - 1))), None, None
+    for at in range(k + 1, n):
+        past, now = at - 1, x[at]
+        if inverse is not None:
+            seen = x[past - 1]
+            gain = inverse @ seen
+            gain /= 1 + seen @ gain
+            beta += np.outer(y[:, past - 1] - beta @ seen, gain)
+            inverse -= np.outer(gain, seen @ inverse)
+            spread, fitted = now @ inverse @ now, beta @ now
+        else:
+            regular = np.linalg.matrix_rank(x[:past]) == k
+            whole = (np.linalg.inv if regular else np.linalg.pinv)(x[:past].T @ x[:past])
+            first = y[:, :past] @ (x[:past] @ whole if regular else np.linalg.pinv(x[:past]).T)
+            spread, fitted = now @ whole @ now, first @ now
+            if regular:
+                inverse, beta = whole, first
+        out[:, at - k - 1] = (y[:, at] - fitted) / np.sqrt(1 + spread)
+    return out
+
+
+def mosum_rows(y: np.ndarray, x: np.ndarray, window: float) -> np.ndarray:
+    """``mosum`` of each row."""
+    if window not in CRITICAL:
+        raise ValueError(f"no critical values for window {window}")
+    n, k = x.shape
+    size = int(np.floor((n - k) * window))
+    r = recursive_residual_rows(y, x)
+    if not 0 < size <= r.shape[1]:
+        raise ValueError("too short")
+    sd = np.sqrt(((r - r.mean(axis=1, keepdims=True)) ** 2).sum(axis=1) / (n - k))
+    upto = np.cumsum(np.hstack([np.zeros((len(r), 1)), r]), axis=1)
+    with np.errstate(all="ignore"):
+        return (upto[:, size:] - upto[:, :-size]) / (np.sqrt(size) * sd)[:, None]
+
+
 # --- logistic regression ---
 
 

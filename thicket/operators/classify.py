@@ -38,15 +38,20 @@ def fit(df: DataFrame, by: list[str], params: RunParams, label: str = "hansen",
 
 def fit_distributed(df: DataFrame, by: list[str], params: RunParams, label: str = "hansen", x: str = "x") -> DataFrame:
     """As ``fit`` for groups of any size: each Newton step sums score and information by task and group, and only these
-    sums (k + k**2 numbers a group) meet. ``df`` is read once a step, so give a stored table."""
+    sums meet, one value a task and group. A null group is a group. ``df`` is read once a step, so give a stored table.
+
+    A group has a number, by which tasks know it; the groups, and their coefficients, are on the driver.
+    """
     spark = df.sparkSession
-    rows = df.select(*by, F.when(F.col(label) != 0, 1.0).otherwise(0.0).alias("y"), F.col(x).alias("x"))
-    groups = [tuple(r) for r in rows.select(*by).distinct().collect()]
-    first = rows.first()
-    k = len(first["x"]) if first else N_FEATURES
-    betas = {g: np.zeros(k) for g in groups}
-    open_ = set(groups)
     types = [f"{c} {df.schema[c].dataType.simpleString()}" for c in by]
+    groups = [tuple(r) for r in df.select(*by).distinct().collect()]
+    known = spark.createDataFrame([(k, *g) for k, g in enumerate(groups)], ", ".join(["group__ int", *[f"k{i}__ {t.split(' ', 1)[1]}" for i, t in enumerate(types)]]))
+    same = [F.col(c).eqNullSafe(F.col(f"k{i}__")) for i, c in enumerate(by)]
+    numbered = df.join(known, same) if groups else df.withColumn("group__", F.lit(0))
+    rows = numbered.select("group__", F.when(F.col(label) != 0, 1.0).otherwise(0.0).alias("y"), F.col(x).alias("x"))
+    first = df.select(x).first()
+    k = len(first[0]) if first else N_FEATURES
+    betas, open_ = np.zeros((len(groups), k)), set(range(len(groups)))
 
     for _ in range(params.max_iter):
         if not open_:
@@ -54,29 +59,28 @@ def fit_distributed(df: DataFrame, by: list[str], params: RunParams, label: str
         now = {g: betas[g] for g in open_}
 
         def sums(batches: Iterator[pd.DataFrame], now=now) -> Iterator[pd.DataFrame]:
-            held: dict[tuple, np.ndarray] = {}
+            held: dict[int, np.ndarray] = {}
             for batch in batches:
-                for g, part in batch.groupby(by, dropna=False):
-                    g = g if isinstance(g, tuple) else (g,)
+                for g, part in batch.groupby("group__"):
                     if g in now:
                         m = np.stack(part["x"].to_numpy())
                         p = S.logistic(m @ now[g])
                         got = np.concatenate([m.T @ (part["y"].to_numpy() - p), ((m * (p * (1 - p))[:, None]).T @ m).ravel()])
                         held[g] = held.get(g, 0.0) + got
-            yield pd.DataFrame([[*g, s.tolist()] for g, s in held.items()], columns=[*by, "s"])
+            yield pd.DataFrame({"group__": list(held), "s": [v.tobytes() for v in held.values()]})
+
+        def met(key, parts: pd.DataFrame) -> pd.DataFrame:
+            whole = np.sum([np.frombuffer(v) for v in sorted(map(bytes, parts["s"]))], axis=0)  # in an order that reruns keep
+            return pd.DataFrame({"group__": [key[0]], "s": [whole.tobytes()]})
 
-        parts = rows.mapInPandas(sums, ", ".join([*types, "s array<double>"]))
-        met = parts.select(*by, F.posexplode("s").alias("at", "s")).groupBy(*by, "at").agg(F.sum("s").alias("s")).collect()
-        totals: dict[tuple, np.ndarray] = {}
-        for r in met:
-            totals.setdefault(tuple(r[c] for c in by), np.zeros(k + k * k))[r["at"]] = r["s"]
+        schema = "group__ int, s binary"
+        totals = {r["group__"]: np.frombuffer(r["s"]) for r in rows.mapInPandas(sums, schema).groupBy("group__").applyInPandas(met, schema).collect()}
         for g in list(open_):
-            score, info = totals[g][:k], totals[g][k:].reshape(k, k)
-            step = S.newton_sums(score, info, params.ridge)
+            step = S.newton_sums(totals[g][:k], totals[g][k:].reshape(k, k), params.ridge)
             betas[g] = betas[g] + step
             if np.linalg.norm(step) < params.threshold:
                 open_.discard(g)
-    return spark.createDataFrame([(*g, b.tolist()) for g, b in betas.items()], ", ".join([*types, "beta array<double>"]))
+    return spark.createDataFrame([(*g, b.tolist()) for g, b in zip(groups, betas, strict=True)], ", ".join([*types, "beta array<double>"]))
 
 
 def probability(beta: Column, x: Column) -> Column:

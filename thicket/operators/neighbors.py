@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,11 +85,66 @@ def neighbor_values(df: DataFrame, window: int = 600, halo: bool = False, keys:
     return groups.where(F.col("val").isNotNull()).select(*keys, "period", "val", combined.alias("neighbor"))
 
 
+def _spread(grid: np.ndarray, width: int, pick: np.ufunc, fill: float) -> np.ndarray:
+    """Least or greatest of each ``width`` neighbouring values along the last axis: the window is the end of one stretch of
+    ``width`` and the beginning of the next, so that running extremes of stretches from both sides give it, whatever its width."""
+    n = grid.shape[-1]
+    padded = np.concatenate([grid, np.full((*grid.shape[:-1], -n % width), fill)], axis=-1)
+    parts = padded.reshape(*grid.shape[:-1], -1, width)
+    ahead = pick.accumulate(parts, axis=-1).reshape(padded.shape)
+    back = pick.accumulate(parts[..., ::-1], axis=-1)[..., ::-1].reshape(padded.shape)
+    return pick(back[..., : n - width + 1], ahead[..., width - 1 : n])
+
+
+def _moved(grid: np.ndarray, width: int) -> np.ndarray:
+    """Sums of each ``width`` neighbouring values along the last axis, by running sums."""
+    upto = np.cumsum(np.concatenate([np.zeros((*grid.shape[:-1], 1)), grid], axis=-1), axis=-1)
+    return upto[..., width:] - upto[..., :-width]
+
+
+def _both(grid: np.ndarray, one) -> np.ndarray:
+    """A pass along rows, and one along columns."""
+    return one(one(grid).T).T
+
+
 def window_stat(df: DataFrame, keys: list[str], value: str, radius: int = 1, side: int = 64) -> DataFrame:
-    """Count, mean, least and greatest value of the (2 radius + 1)**2 block around each pixel, itself included. One
-    exchange, by squares of ``side`` pixels and their rims."""
-    met = _sent(df, keys, [value], radius, max(side, 2 * radius), True).withColumnRenamed(value, "value__")
-    return met.groupBy(*keys, "block_s", "block_l", "sample", "line").agg(
-        F.count("value__").alias("n"), F.avg("value__").alias("avg_value"), F.min("value__").alias("min_value"), F.max("value__").alias("max_value"),
-        F.max((F.col("ds") == 0) & (F.col("dl") == 0)).alias("own"),
-    ).where("own").drop("own", "block_s", "block_l")
+    """Count, mean, least and greatest value of the (2 radius + 1)**2 block around each pixel, itself included; nulls do not
+    count. One exchange, by squares of ``side`` pixels and their rims: a row a pixel, and one more for each further square
+    that sees it.
+
+    In its task a square is a grid. Sums and extremes are taken along rows and then along columns, each in a pass that does
+    not depend on the radius. A pixel that comes twice counts once, with its greatest value.
+    """
+    side, width = max(side, 2 * radius), 2 * radius + 1
+    block = lambda c: F.floor(c / side)
+    reach = lambda c: F.sequence(block(F.col(c) - radius), block(F.col(c) + radius))
+    kind = df.schema[value].dataType.simpleString()
+    placed = df.select(*keys, "sample", "line", F.col(value).cast("double").alias("value__"))
+    sent = placed.withColumn("block_s", F.explode(reach("sample"))).withColumn("block_l", F.explode(reach("line")))
+    names = [*keys, "sample", "line", "n", "avg_value", "min_value", "max_value"]
+    types = {k: df.schema[k].dataType.simpleString() for k in [*keys, "sample", "line"]}
+    schema = ", ".join([f"{k} {t}" for k, t in types.items()]) + ", n long, avg_value double, min_value double, max_value double"
+
+    def square(key, rows: pd.DataFrame) -> pd.DataFrame:
+        s0, l0 = (int(key[len(keys) + i]) * side for i in (0, 1))
+        s, line = rows["sample"].to_numpy() - s0 + radius, rows["line"].to_numpy() - l0 + radius
+        grid = np.full((side + 2 * radius, side + 2 * radius), np.nan)
+        np.fmax.at(grid, (line, s), rows["value__"].to_numpy(dtype=float))
+        known = ~np.isnan(grid)
+        n = _both(known.astype(float), lambda g: _moved(g, width))
+        total = _both(np.where(known, grid, 0.0), lambda g: _moved(g, width))
+        least = _both(np.where(known, grid, np.inf), lambda g: _spread(g, width, np.minimum, np.inf))
+        most = _both(np.where(known, grid, -np.inf), lambda g: _spread(g, width, np.maximum, -np.inf))
+        inside = (s >= radius) & (s < side + radius) & (line >= radius) & (line < side + radius)
+        own = inside & ~rows.duplicated(["sample", "line"]).to_numpy()
+        at = (line[own] - radius, s[own] - radius)
+        count = np.rint(n[at]).astype(np.int64)
+        out = rows.loc[own, [*keys, "sample", "line"]].assign(n=count)
+        none = count == 0
+        with np.errstate(all="ignore"):
+            found = {"avg_value": total[at] / count, "min_value": least[at], "max_value": most[at]}
+        return out.assign(**{c: np.where(none, np.nan, v) for c, v in found.items()})[names]
+
+    out = sent.groupBy(*keys, "block_s", "block_l").applyInPandas(square, schema)
+    real = lambda c: F.when(~F.isnan(c), F.col(c))
+    return out.select(*keys, "sample", "line", "n", real("avg_value").alias("avg_value"), real("min_value").cast(kind).alias("min_value"), real("max_value").cast(kind).alias("max_value"))

@@ -67,20 +67,30 @@ def blossom_chunks(chunks: DataFrame, keep: list[str], s_res: str, chunk_size: i
     return rows.withColumn("at", G.chunk_position(s_res, chunk_size, F.col("chunk"), F.col("idx"))).select(*keep, F.col("at.sample").alias("sample"), F.col("at.line").alias("line"), "val")
 
 
+def newest_chunks(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """One chunk for each of ``keys``: that of the newest pedigree; of equally new ones the largest data. A table without
+    pedigrees is taken as it is, copies and all, to one."""
+    order = F.struct("pedigree", "data") if "pedigree" in chunks.columns else F.col("data")
+    return chunks.groupBy(*keys).agg(F.max_by("data", order).alias("data"))
+
+
 def chunks_to_series(chunks: DataFrame, t_res: str, chunk_size: int, missing: int = int(NODATA)) -> DataFrame:
-    """Chunks (dataset, s_res, h, v, chunk, date, data) as pixel series; a date without a chunk is missing for all.
+    """Chunks (dataset, s_res, h, v, chunk, date, data; pedigree where versions are kept) as pixel series; a date without a
+    chunk is missing for all.
 
-    Start and end are the chunk's first and last period. The period arrays are built once a chunk, so pixels are not
-    shuffled one by one.
+    Of versions of a chunk and period the newest counts. Start and end are the chunk's first and last period. Each
+    resolution has its own place in a tile. The period arrays are built once a chunk, so pixels are not shuffled one by one.
     """
     keys = ["dataset", "s_res", "h", "v", "chunk"]
-    dated = chunks.select(*keys, P.period("date", t_res).alias("p"), "data")
-    byp = dated.groupBy(*keys).agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.map_from_entries(F.collect_list(F.struct("p", "data"))).alias("m"))
+    held = [c for c in ("pedigree",) if c in chunks.columns]
+    dated = chunks.select(*keys, *held, P.period("date", t_res).alias("p"), "data").repartition(*keys)  # serves both aggregations
+    byp = newest_chunks(dated, [*keys, "p"]).groupBy(*keys).agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.map_from_entries(F.collect_list(F.struct("p", "data"))).alias("m"))
     pixel = F.transform(F.sequence(F.lit(0), F.lit(chunk_size - 1)), lambda i: F.transform(F.sequence("lo", "hi"), lambda p: F.coalesce(F.try_element_at(F.try_element_at("m", p), i + 1), F.lit(missing))))
     rows = byp.select(*keys, "lo", "hi", F.posexplode(pixel).alias("idx", "series"))
-    s_res = chunks.select("s_res").first()
-    position = G.chunk_position(s_res["s_res"] if s_res else "1000", chunk_size, F.col("chunk"), F.col("idx"))
-    return rows.withColumn("at", position).select("dataset", "s_res", "h", "v", F.col("at.sample").alias("sample"), F.col("at.line").alias("line"), F.col("lo").alias("start_idx"), F.col("hi").alias("end_idx"), "series")
+    width = (F.lit(G.BASE_PIXELS * G.BASE_RES) / F.col("s_res").cast("int")).cast("int")
+    whole = F.when(F.lit(chunk_size) % width == 0, width).otherwise(F.raise_error(F.lit("a chunk must hold whole rows")).cast("int"))
+    at = G.window_position(F.col("width__"), F.lit(chunk_size) / F.col("width__"), F.lit(0), F.col("chunk"), F.col("idx"))
+    return rows.withColumn("width__", whole).withColumn("at", at).select("dataset", "s_res", "h", "v", F.col("at.sample").alias("sample"), F.col("at.line").alias("line"), F.col("lo").alias("start_idx"), F.col("hi").alias("end_idx"), "series")
 
 
 FIRE_FIELDS = ("temp330", "conf50", "both_preds", "count")

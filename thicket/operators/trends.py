@@ -91,60 +91,122 @@ def analyze_trends(df: DataFrame, params: RunParams, keys: list[str] = KEYS) ->
     return rows.mapInPandas(run, schema)
 
 
-def map_series(column: Column, kernel: Callable[[np.ndarray], np.ndarray | None]) -> Column:
-    """A numeric kernel over an array column in Arrow batches; nulls, and series the kernel rejects, give null."""
+def stacked(column: Column, kernel: Callable[[np.ndarray], np.ndarray], scalar: bool = False) -> Column:
+    """A kernel over an array column in Arrow batches: it gets all series of a length as the rows of one matrix, and gives
+    as many rows, or numbers (``scalar``). Nulls, series with nulls, and lengths that the kernel rejects, give null; so
+    does NaN where a number is asked."""
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf("double" if scalar else "array<double>")
     def run(series: pd.Series) -> pd.Series:
-        def one(x):
-            if x is None:
-                return None
+        out = np.full(len(series), None, dtype=object)
+        lengths = np.array([-1 if x is None else len(x) for x in series])
+        for n in np.unique(lengths[lengths >= 0]):
+            at = np.flatnonzero(lengths == n)
+            rows = np.stack([np.asarray(series.iloc[k], dtype=float) for k in at])
+            whole = ~np.isnan(rows).any(axis=1)
             try:
-                out = kernel(np.asarray(x, dtype=float))
+                found = kernel(rows[whole])
             except ValueError:
-                return None
-            return None if out is None else [float(v) for v in out]
-
-        return series.map(one)
+                continue
+            for k, x in zip(at[whole], found, strict=True):
+                out[k] = x if not scalar else None if np.isnan(x) else float(x)
+        return pd.Series(out, dtype="float64") if scalar else pd.Series(out)
 
     return run(column)
 
 
 def deseasonalized(column: Column, freq: int) -> Column:
-    return map_series(column, lambda y: S.deseasonalize(freq, y))
+    return stacked(column, lambda y: S.deseasonalize_rows(freq, y))
 
 
 def harmonic_trend(column: Column, freq: int, k: int = 3) -> Column:
-    return map_series(column, lambda y: S.harmonic_decomposition(freq, k, y))
+    return stacked(column, lambda y: S.harmonic_rows(freq, k, y))
 
 
 def hp_trend(column: Column, penalty: float) -> Column:
-    return map_series(column, lambda y: S.hp_filter(penalty, y))
+    return stacked(column, lambda y: S.hp_rows(penalty, y))
 
 
 def mosum_process(column: Column, window: float = 0.25) -> Column:
-    return map_series(column, lambda y: S.mosum(y, S.with_trend(len(y)), window))
+    return stacked(column, lambda y: S.mosum_rows(y, S.with_trend(y.shape[1]), window))
 
 
-def scalar_of(column: Column, kernel: Callable[[np.ndarray], float | None]) -> Column:
-    @F.pandas_udf("double")
-    def run(series: pd.Series) -> pd.Series:
-        def one(x):
-            if x is None:
-                return None
-            try:
-                return kernel(np.asarray(x, dtype=float))
-            except ValueError:
-                return None
+def short_drop(column: Column, long_block: int, short_block: int) -> Column:
+    return stacked(column, lambda y: S.short_stat_rows(long_block, short_block, y)[:, -1], scalar=True)
 
-        return series.map(one).astype("float64")
 
-    return run(column)
+def long_trend(column: Column) -> Column:
+    """Slope of a whole series by one fold; null for fewer than two values."""
+
+    def slope(y: Column) -> Column:
+        n = F.size(y)
+        zero = F.struct(F.lit(0.0).alias("i"), F.lit(0.0).alias("s"))
+        step = lambda acc, v: F.struct((acc["i"] + 1).alias("i"), (acc["s"] + v * (acc["i"] - (n - 1) / 2)).alias("s"))
+        return F.when(n > 1, F.aggregate(y, zero, step, lambda acc: acc["s"] * 12 / (n.cast("double") * n * n - n)))
+
+    return A.let(column, slope)
 
 
 def stability(column: Column) -> Column:
-    return scalar_of(column, S.hansen_stat)
+    """``stats.hansen_stat`` by two folds: least squares from two running sums, then the running sums of the three
+    first-order conditions with the six moments of each, and the trace from a 3 x 3 inverse. Null where singular.
+
+    Time is centred, which changes neither the statistic nor the sign of the determinant.
+    """
+    pairs = [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+    zero = F.lit(0.0)
+
+    def fitted(y: Column) -> Column:
+        n = F.size(y).cast("double")
+        start = F.struct(*[zero.alias(c) for c in ("i", "s", "ts", "ss")])
+
+        def step(acc: Column, v: Column) -> Column:
+            t = acc["i"] - (n - 1) / 2
+            return F.struct((acc["i"] + 1).alias("i"), (acc["s"] + v).alias("s"), (acc["ts"] + t * v).alias("ts"), (acc["ss"] + v * v).alias("ss"))
+
+        return F.aggregate(y, start, step, lambda acc: F.struct(n.alias("n"), (acc["s"] / n).alias("mean"), (acc["ts"] * 12 / (n * n * n - n)).alias("slope")))
+
+    def residuals(y: Column, fit: Column) -> Column:
+        return F.transform(y, lambda v, i: v - fit["mean"] - fit["slope"] * (i - (fit["n"] - 1) / 2))
+
+    def moments(e: Column, n: Column) -> Column:
+        mse = A.total(F.transform(e, lambda v: v * v)) / n
+        start = F.struct(*[zero.alias(c) for c in ("i", "s0", "s1", "s2", *[f"{m}{a}{b}" for m in "fs" for a, b in pairs])])
+
+        def conditions(acc: Column, v: Column, mean: Column) -> list[Column]:
+            return [v * (acc["i"] - (n - 1) / 2), v, v * v - mean]
+
+        def step(mean: Column):
+            def one(acc: Column, v: Column) -> Column:
+                f = conditions(acc, v, mean)
+                s = [acc[f"s{k}"] + f[k] for k in range(3)]
+                return F.struct(
+                    (acc["i"] + 1).alias("i"), *[s[k].alias(f"s{k}") for k in range(3)],
+                    *[(acc[f"f{a}{b}"] + f[a] * f[b]).alias(f"f{a}{b}") for a, b in pairs], *[(acc[f"s{a}{b}"] + s[a] * s[b]).alias(f"s{a}{b}") for a, b in pairs],
+                )
+
+            return one
+
+        return A.let(mse, lambda mean: F.aggregate(e, start, step(mean)))
+
+    def trace(m: Column, n: Column) -> Column:
+        f = lambda a, b: m[f"f{min(a, b)}{max(a, b)}"]
+        s = lambda a, b: m[f"s{min(a, b)}{max(a, b)}"]
+
+        def cofactor(a: int, b: int) -> Column:
+            (p, q), (r, t) = [k for k in range(3) if k != a], [k for k in range(3) if k != b]
+            return (f(p, r) * f(q, t) - f(p, t) * f(q, r)) * (-1.0 if (a + b) % 2 else 1.0)
+
+        det = f(0, 0) * cofactor(0, 0) + f(0, 1) * cofactor(0, 1) + f(0, 2) * cofactor(0, 2)
+        top = sum(((cofactor(a, b) * s(a, b)) * (1.0 if a == b else 2.0) for a, b in pairs), zero)
+        return F.when(det > 0, top / (det * n))
+
+    def whole(y: Column) -> Column:
+        return A.let(fitted(y), lambda fit: A.let(moments(residuals(y, fit), fit["n"]), lambda m: trace(m, fit["n"])))
+
+    return F.when(F.size(column) > 1, A.let(column, whole))
 
 
-def break_drop(column: Column, window: float = 0.25, level: float = 0.05) -> Column:
-    return scalar_of(column, lambda y: S.downshift_magnitude(y, S.with_trend(len(y)), window, level))
+def stability_rows(column: Column) -> Column:
+    """``stability`` in Arrow batches, all series of a length at once."""
+    return stacked(column, S.hansen_rows, scalar=True)

@@ -400,11 +400,9 @@ def _filled(spark, d) -> DataFrame:
 
 @query(f"WITH {_FILLED} SELECT k, count(*) AS n, round(regr_slope(y, t), 6) AS slope FROM f GROUP BY k")
 def long_trend(spark, d):
-    """The trend of whole series, by the same kernel as prefixes."""
-    from ..functions.stats import long_stats
-
+    """The trend of whole series, by one fold."""
     out = _filled(spark, d)
-    return out.select("k", F.size("y").cast("long").alias("n"), F.round(trends.scalar_of(F.col("y"), lambda y: long_stats(y)[0]), 6).alias("slope"))
+    return out.select("k", F.size("y").cast("long").alias("n"), F.round(trends.long_trend(F.col("y")), 6).alias("slope"))
 
 
 @query(f"WITH {_FILLED}, s AS (SELECT k, i, y, avg(y) OVER (PARTITION BY k, i % 23) AS season, avg(y) OVER (PARTITION BY k) AS mean FROM f) SELECT k, CAST(i AS INTEGER) AS i, round(y - season + mean, 5) AS value FROM s")
@@ -413,47 +411,145 @@ def deseasonalized(spark, d):
     return out.select("k", "i", F.round("value", 5).alias("value"))
 
 
-@query(f"WITH {_FILLED}, w AS (SELECT k, t, regr_slope(y, t) OVER (PARTITION BY k ORDER BY t ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS s FROM f), m AS (SELECT k, t, avg(s) OVER (PARTITION BY k ORDER BY t ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS m FROM w WHERE t >= 30) SELECT k, round(min(m), 6) AS short_drop FROM m WHERE t >= 39 GROUP BY k")
+@query(f"WITH {_FILLED}, w AS (SELECT k, t, regr_slope(y, t) OVER (PARTITION BY k ORDER BY t ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS s FROM f), m AS (SELECT k, t, avg(s) OVER (PARTITION BY k ORDER BY t ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS m FROM w WHERE t >= 30) SELECT k, round(min(m), 6) AS short_drop FROM m WHERE t >= 39 GROUP BY k UNION ALL SELECT k, NULL FROM f GROUP BY k HAVING count(*) < 39")
 def short_drop(spark, d):
-    from ..functions.stats import short_stat
-
-    return _filled(spark, d).select("k", F.round(trends.scalar_of(F.col("y"), lambda y: short_stat(30, 10, y)), 6).alias("short_drop"))
-
-
-@query()
+    return _filled(spark, d).select("k", F.round(trends.short_drop(F.col("y"), 30, 10), 6).alias("short_drop"))
+
+
+def _stable(source: str, by: str) -> str:
+    """SQL from ``source`` (by, t, y) to ``stable`` (by, n, hansen): least squares, the conditions' running sums, and their
+    moments' trace; null where singular."""
+    pairs = [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+    sums = ", ".join(f"sum({x}{a} * {x}{b}) AS {x}{a}{b}" for x in "fs" for a, b in pairs)
+
+    def minor(a: int, b: int) -> str:
+        (p, q), (r, t) = [k for k in range(3) if k != a], [k for k in range(3) if k != b]
+        f = lambda x, y: f"f{min(x, y)}{max(x, y)}"
+        return f"{'-' if (a + b) % 2 else ''}({f(p, r)} * {f(q, t)} - {f(p, t)} * {f(q, r)})"
+
+    det = " + ".join(f"f0{b} * ({minor(0, b)})" for b in range(3))
+    top = " + ".join(f"{1 if a == b else 2} * ({minor(a, b)}) * s{a}{b}" for a, b in pairs)
+    return f"""fit AS (SELECT {by}, count(*) AS n, avg(t) AS mt, avg(y) AS my, regr_slope(y, t) AS b FROM {source} GROUP BY {by}),
+res AS (SELECT {by}, n, t, t - mt AS tc, y - my - b * (t - mt) AS e FROM {source} JOIN fit USING ({by})),
+con AS (SELECT {by}, n, t, e * tc AS f0, e AS f1, e * e - avg(e * e) OVER (PARTITION BY {by}) AS f2 FROM res),
+run AS (SELECT *, sum(f0) OVER w AS s0, sum(f1) OVER w AS s1, sum(f2) OVER w AS s2 FROM con WINDOW w AS (PARTITION BY {by} ORDER BY t)),
+mom AS (SELECT {by}, n, {sums} FROM run GROUP BY {by}, n),
+stable AS (SELECT {by}, n, CASE WHEN {det} > 0 THEN ({top}) / (({det}) * n) END AS hansen FROM mom)"""
+
+
+_FIRST, _LAST_P = P.period_of("1996-01-01", "16"), P.period_of("1998-01-01", "16")
+_PREFIXES = f"""{V.DENSE}, g AS (SELECT k, lo, period - lo + 1 AS t, CAST(last_value(qty IGNORE NULLS) OVER w AS DOUBLE) AS y, CAST(coalesce(last_value(rain IGNORE NULLS) OVER w, 0) AS DOUBLE) AS r FROM dense WINDOW w AS (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ends AS (SELECT k, min(lo) AS lo, max(t) AS size, unnest(range({_FIRST}, {_LAST_P} + 1)) AS period FROM g GROUP BY k HAVING min(lo) <= {_FIRST - 39}),
+long AS (SELECT e.k, e.period, e.lo, unnest(range(1, e.period - e.lo + 2)) AS t, e.size FROM ends e),
+pre AS (SELECT long.k, long.period, long.k * 10000 + long.period AS kp, long.t, g.y, g.r FROM long JOIN g ON g.k = long.k AND g.t = least(long.t, long.size)),
+mid AS (SELECT kp, count(*) AS n, regr_sxx(y, t) AS tt, regr_sxx(y, r) AS rr, regr_syy(y, t) AS yy, regr_sxy(r, t) AS tr, regr_sxy(y, t) AS ty, regr_sxy(y, r) AS ry, max(r) = min(r) AS dry FROM pre GROUP BY kp),
+two AS (SELECT kp, CASE WHEN dry THEN ty / tt ELSE (ty * rr - ry * tr) / (tt * rr - tr * tr) END AS bt, CASE WHEN dry THEN 0 ELSE (ry * tt - ty * tr) / (tt * rr - tr * tr) END AS br, * EXCLUDE (kp) FROM mid),
+lon AS (SELECT kp, bt, bt / sqrt((yy - bt * ty - br * ry) / (n - CASE WHEN dry THEN 2 ELSE 3 END) * CASE WHEN dry THEN 1 / tt ELSE rr / (tt * rr - tr * tr) END) AS t_stat FROM two),
+sl AS (SELECT kp, t, regr_slope(y, t) OVER (PARTITION BY kp ORDER BY t ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS s FROM pre),
+sm AS (SELECT kp, t, avg(s) OVER (PARTITION BY kp ORDER BY t ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS m FROM sl WHERE t >= 30),
+sh AS (SELECT kp, min(m) AS short FROM sm WHERE t >= 39 GROUP BY kp),
+{_stable('pre', 'kp')}"""
+
+
+@query(f"WITH {_PREFIXES} SELECT kp // 10000 AS k, CAST(kp % 10000 AS INTEGER) AS period, round(short, 5) AS short, round(bt, 5) AS long, round(t_stat, 4) AS t_stat, round(hansen, 5) AS break FROM lon JOIN sh USING (kp) JOIN stable USING (kp)")
 def trend_series(spark, d):
-    """Statistics of all prefixes; checked against one regression at a time in the tests."""
+    """Statistics of all prefixes that end in two years, a row a prefix, of series long enough for all of them."""
     s = V.ndvi(spark, d).withColumn("precl", A.fill_forward("precl", -9999.0, 0.0))
-    return trends.analyze_trends(s, RunParams(est_start="1996-01-01", est_end="1998-01-01"))
+    s = s.where(F.col("start_idx") <= _FIRST - 39)
+    out = _k(trends.analyze_trends(s, RunParams(est_start="1996-01-01", est_end="1998-01-01")))
+    z = F.posexplode(F.arrays_zip("short", F.col("long"), "t_stat", F.col("break"))).alias("at", "z")
+    rows = out.select("k", "start_idx", z)
+    digits = {"short": 5, "long": 5, "t_stat": 4, "break": 5}
+    return rows.select("k", (F.col("start_idx") + F.col("at")).alias("period"), *[F.round(F.col("z")[c], n).alias(c) for c, n in digits.items()])
 
 
-@query()
+@query(f"WITH {_FILLED}, {_stable('f', 'k')} SELECT k, round(hansen, 6) AS hansen FROM stable")
 def stability_statistic(spark, d):
-    return _filled(spark, d).select("k", trends.stability(F.col("y")).alias("hansen"))
+    """Of whole series, in batches."""
+    return _filled(spark, d).select("k", F.round(trends.stability_rows(F.col("y")), 6).alias("hansen"))
 
 
-@query()
+@query(f"WITH {_FILLED}, {_stable('f', 'k')} SELECT k, round(hansen, 6) AS hansen FROM stable")
+def stability_columns(spark, d):
+    """Of whole series, by column expressions alone."""
+    return _filled(spark, d).select("k", F.round(trends.stability(F.col("y")), 6).alias("hansen"))
+
+
+@query(f"""WITH {_FILLED}, s AS (SELECT k, count(*) AS n FROM f GROUP BY k), z AS (SELECT k, n, CAST(floor((n - 2) * 0.25) AS BIGINT) AS size FROM s),
+past AS (SELECT k, t, y, regr_slope(y, t) OVER w AS b, regr_intercept(y, t) OVER w AS a, count(*) OVER w AS m, avg(t) OVER w AS mt, var_pop(t) OVER w * count(*) OVER w AS tt FROM f WINDOW w AS (PARTITION BY k ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)),
+r AS (SELECT k, t - 4 AS i, (y - a - b * t) / sqrt(1 + 1.0::DOUBLE / m + (t - mt) * (t - mt) / tt) AS r FROM past WHERE t >= 4),
+sd AS (SELECT k, sqrt(var_pop(r) * count(*) / (max(n) - 2)) AS sd FROM r JOIN s USING (k) GROUP BY k),
+m AS (SELECT k, i, (SELECT 1) AS one, sum(r) OVER (PARTITION BY k ORDER BY i) AS upto FROM r),
+e AS (SELECT a.k, a.i - size + 1 AS i, (a.upto - coalesce(b.upto, 0)) / (sqrt(size) * sd) AS v FROM m a JOIN z USING (k) JOIN sd USING (k) LEFT JOIN m b ON b.k = a.k AND b.i = a.i - size WHERE a.i >= size - 1 AND size > 0)
+SELECT k, CAST(i AS INTEGER) AS i, round(v, 5) AS value FROM e""")
 def break_process(spark, d):
-    return _filled(spark, d).select("k", F.posexplode(trends.mosum_process(F.col("y"))).alias("i", "value"))
+    """Moving sums of recursive residuals."""
+    return _filled(spark, d).select("k", F.posexplode(trends.mosum_process(F.col("y"))).alias("i", "value")).withColumn("value", F.round("value", 5))
 
 
 @query()
 def smooth_trend(spark, d):
+    """A penalised trend; its equations hold exactly in the tests."""
     return _filled(spark, d).select("k", F.posexplode(trends.hp_trend(F.col("y"), 100.0)).alias("i", "value"))
 
 
-@query()
+def _orthogonal(names: list[str]) -> str:
+    """SQL from ``base`` (k, i, y and columns ``names``): y less its part along each, one column after another made orthogonal."""
+    steps, source = [], "base"
+    for j, v in enumerate(names):
+        rest = names[j + 1 :] + ["y"]
+        dots = ", ".join([f"sum({v} * {u}) OVER (PARTITION BY k) / sum({v} * {v}) OVER (PARTITION BY k) AS c_{u}" for u in rest])
+        less = ", ".join([f"{u} - c_{u} * {v} AS {u}" for u in rest])
+        steps.append(f"o{j} AS (SELECT k, i, mean, {less} FROM (SELECT *, {dots} FROM {source}))")
+        source = f"o{j}"
+    return ", ".join(steps)
+
+
+_WAVES = [f"{f}{j}" for j in (1, 2, 3) for f in ("c", "s")]
+_WAVE_COLUMNS = ", ".join(f"{'cos' if w[0] == 'c' else 'sin'}(2 * pi() * {w[1]} * t / 23) AS {w}" for w in _WAVES)
+
+
+@query(f"WITH {_FILLED}, base AS (SELECT k, i, y, avg(y) OVER (PARTITION BY k) AS mean, 1.0::DOUBLE AS one, {_WAVE_COLUMNS} FROM f), {_orthogonal(['one', *_WAVES])} SELECT k, CAST(i AS INTEGER) AS i, round(y + mean, 4) AS value FROM o6")
 def harmonic_trend(spark, d):
-    return _filled(spark, d).select("k", F.posexplode(trends.harmonic_trend(F.col("y"), 23)).alias("i", "value"))
+    """Series less three harmonics of the year."""
+    return _filled(spark, d).select("k", F.posexplode(trends.harmonic_trend(F.col("y"), 23)).alias("i", "value")).withColumn("value", F.round("value", 4))
 
 
-@query()
+def _newton(steps: int, ridge: float) -> str:
+    """SQL from ``rows`` (g, h, x0, x1, x2) to ``b<steps>`` (g, b0, b1, b2): Newton steps with three ridges, each added to what
+    the one before left."""
+    held = [ridge, 2 * ridge + ridge / 10, 3 * ridge]
+    pairs = [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+
+    def solved(r: float) -> list[str]:
+        a = lambda x, y: f"(a{min(x, y)}{max(x, y)}{f' + {r!r}' if x == y else ''})"
+
+        def minor(x: int, y: int) -> str:
+            (p, q), (u, v) = [k for k in range(3) if k != x], [k for k in range(3) if k != y]
+            return f"{'-' if (x + y) % 2 else ''}({a(p, u)} * {a(q, v)} - {a(p, v)} * {a(q, u)})"
+
+        det = " + ".join(f"{a(0, y)} * ({minor(0, y)})" for y in range(3))
+        return [f"(({' + '.join(f'({minor(x, y)}) * v{y}' for y in range(3))}) / ({det}))" for x in range(3)]
+
+    plain, upper, lower = (solved(r) for r in held)
+    moved = ", ".join(f"b{x} + {plain[x]} + ({lower[x]} - {upper[x]}) * 5 AS b{x}" for x in range(3))
+    out = ["n0 AS (SELECT DISTINCT g, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM rows)"]
+    for k in range(steps):
+        sums = ", ".join([f"sum(x{x} * (h - p)) AS v{x}" for x in range(3)] + [f"sum(x{x} * x{y} * p * (1 - p)) AS a{x}{y}" for x, y in pairs])
+        out.append(f"p{k} AS (SELECT rows.*, b0, b1, b2, 1 / (1 + exp(-(b0 * x0 + b1 * x1 + b2 * x2))) AS p FROM rows JOIN n{k} USING (g))")
+        out.append(f"q{k} AS (SELECT g, b0, b1, b2, {sums} FROM p{k} GROUP BY g, b0, b1, b2)")
+        out.append(f"n{k + 1} AS MATERIALIZED (SELECT g, {moved} FROM q{k})")
+    return ", ".join(out)
+
+
+@query(f"WITH rows AS (SELECT 1000 + n_regionkey AS g, CAST(s_acctbal > 5000 AS DOUBLE) AS h, 1.0::DOUBLE AS x0, s_suppkey * 37 % 100 / 100.0::DOUBLE AS x1, s_suppkey % 20 / 20.0::DOUBLE AS x2 FROM supplier JOIN nation ON n_nationkey = s_nationkey), {_newton(10, 1e-4)} SELECT CAST(g AS INTEGER) AS ecoregion, round(b0, 4) AS b0, round(b1, 4) AS b1, round(b2, 4) AS b2 FROM n10")
 def logistic_betas(spark, d):
-    """Coefficients by region, features scaled to unit range; each Newton step is a sum by task and region."""
+    """Coefficients by region after ten Newton steps at most, features scaled to unit range; a step is a sum by task and region."""
     s = V.static(spark, d).join(V.regions(spark, d), "ecoid")
     x = F.array(F.lit(1.0), F.col("vcf") / 100.0, F.col("coast_dist") / 20.0)
     rows = materialize(s.select(F.col("regionid").alias("ecoregion"), "hansen", x.alias("x")), "training-rows")
-    return classify.fit_distributed(rows, ["ecoregion"], RunParams(ridge=1e-4))
+    out = classify.fit_distributed(rows, ["ecoregion"], RunParams(ridge=1e-4, max_iter=10))
+    return out.select(F.col("ecoregion").cast("int").alias("ecoregion"), *[F.round(F.col("beta")[k], 4).alias(f"b{k}") for k in range(3)])
 
 
 _BETA = "0.01 * (s_nationkey + 1)"
@@ -514,11 +610,16 @@ def weighted_means(spark, d):
     return o.select("l_orderkey", F.size("q").cast("long").alias("n"), F.round(A.weighted_mean("q", "w"), 6).alias("mean_quantity"), F.array_min("q").alias("least"), A.is_constant("q").alias("constant"))
 
 
-@query("SELECT h, v, printf('%03d%03d', h, v) AS name FROM (SELECT unnest(range(36)) AS h), (SELECT unnest(range(18)) AS v) WHERE h >= [14, 11, 9, 6, 4, 2, 1, 0, 0, 0, 0, 1, 2, 4, 6, 9, 11, 14][v + 1] AND h < 36 - [14, 11, 9, 6, 4, 2, 1, 0, 0, 0, 0, 1, 2, 4, 6, 9, 11, 14][v + 1]")
+_OFFSETS = "[14, 11, 9, 6, 4, 2, 1, 0, 0, 0, 0, 1, 2, 4, 6, 9, 11, 14]"
+
+
+@query(f"SELECT h, v, printf('%03d%03d', h, v) AS name, count(*) AS n FROM (SELECT o_orderkey % 36 AS h, o_orderkey // 36 % 18 AS v FROM orders) WHERE h >= {_OFFSETS}[v + 1] AND h < 36 - {_OFFSETS}[v + 1] GROUP BY ALL")
 def valid_tiles(spark, d):
-    """All tiles that hold data, there and back through their names."""
-    named = spark.range(36 * 18).select((F.col("id") % 36).alias("h"), F.floor(F.col("id") / 36).alias("v")).withColumn("name", G.tile_string("h", "v")).where("name is not null")
-    return named.select(G.parse_tile_string("name").alias("t"), "name").select(F.col("t.h").cast("long").alias("h"), F.col("t.v").cast("long").alias("v"), "name")
+    """Tiles of orders, those that hold data, there and back through their names."""
+    k = F.col("o_orderkey")
+    at = V.table(spark, d, "orders").select((k % 36).alias("h"), (F.floor(k / 36) % 18).alias("v"))
+    named = at.withColumn("name", G.tile_string("h", "v")).where("name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    return named.select(G.parse_tile_string("name").alias("t"), "name", "n").select(F.col("t.h").cast("long").alias("h"), F.col("t.v").cast("long").alias("v"), "name", "n")
 
 
 @query(f"SELECT s_suppkey AS k, round({V.latlon('(s_suppkey % 10 // 2 * 2 + (s_suppkey // 10 // 2 * 2) * 10)')[0]} - 5.0 / 2400, 6) AS lat FROM supplier")
@@ -583,6 +684,19 @@ def chunk_series(spark, d):
     return series.from_series(out, ["sample", "line"])
 
 
+@query("SELECT CAST(s_suppkey % 10 AS INTEGER) AS sample, CAST(s_suppkey // 10 AS INTEGER) AS line, CAST(period AS INTEGER) AS period, value FROM (SELECT s_suppkey, unnest([700, 701]) AS period, unnest([s_nationkey * 2, s_nationkey]) AS value FROM supplier)")
+def versioned_series(spark, d):
+    """Series from a store in which one of two dates was sent again: the newer chunk counts."""
+    root, layer = fresh_path(spark, "store"), V.layer(spark, d, "ecoid")
+    for pedigree, factor, periods in ((1, 1, (700, 701)), (2, 2, (700,))):
+        chunks = series.to_chunks(layer.withColumn("val", F.col("val") * factor), ["s_res", "h", "v"], V.RES, 24000)
+        dated = chunks.withColumn("date", F.explode(F.array(*[F.lit(str(P.start_of(p, "16"))) for p in periods])))
+        store.append(dated, root, "ndvi", V.RES, "16", pedigree)
+    held = store.read(spark, root, "ndvi", V.RES, "16").withColumn("dataset", F.lit("ndvi"))
+    out = series.chunks_to_series(held, "16", 24000).where(F.exists("series", lambda x: x != -9999))
+    return series.from_series(out, ["sample", "line"])
+
+
 @query("SELECT k, s AS start_idx, version FROM (SELECT s_suppkey AS k, unnest([1, 2]) AS version, unnest([700, 701]) AS s FROM supplier)")
 def store_versions(spark, d):
     """Two versions appended to a store of two datasets, and one dataset read back."""

@@ -9,6 +9,7 @@ from ..functions import geo as G
 from ..functions import periods as P
 from ..operators.pixels import screen_tiles
 from ..operators.series import fire_counts
+from . import trap
 
 
 def _parsed(df: DataFrame, lat: Column, lon: Column, kelvin: Column, conf: Column, date: Column) -> DataFrame:
@@ -52,8 +53,20 @@ def parse_new(lines: DataFrame) -> DataFrame:
     return _parsed(lines.where(is_valid_line(F.col("value"))), F.get(f, F.lit(0)), F.get(f, F.lit(1)), F.get(f, F.lit(2)), F.get(f, F.lit(8)), F.get(f, F.lit(5)))
 
 
+def parse_trapped(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``parse_new``, and the lines that it leaves out, whatever is wrong with them, from one pass over the text."""
+    f = F.split("value", ",")
+    fields = {"lat": 0, "lon": 1, "kelvin": 2, "conf": 8}
+    rows = lines.select("value", F.get(f, F.lit(5)).alias("date"), *[F.get(f, F.lit(k)).try_cast("float").alias(c) for c, k in fields.items()])
+    whole = is_valid_line(F.col("value")) & F.col("date").isNotNull()
+    for c in fields:
+        whole &= F.col(c).isNotNull()
+    good, bad = trap.split(rows, whole, "fires")
+    return good.drop("value"), bad.select("value")
+
+
 def rejected(lines: DataFrame) -> DataFrame:
-    """The lines that ``parse_new`` leaves out, for a sink of bad records."""
+    """The lines that are no detections by their form."""
     return lines.where(~is_valid_line(F.col("value")))
 
 

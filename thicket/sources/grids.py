@@ -9,6 +9,7 @@ from ..functions import geo as G
 from ..operators.series import to_chunks
 from ..schema import NODATA
 from ..session import materialize
+from . import trap
 
 # Corner (lon, lat), directions, step and nodata of each layer: fixed values.
 GRIDS = {
@@ -48,6 +49,16 @@ def grid_cells(lines: DataFrame) -> DataFrame:
     return rows.select("row", "col", F.col("v").try_cast("int").alias("val")).where(F.col("val").isNotNull())
 
 
+def grid_cells_trapped(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``grid_cells``, and the lines (``value``) in which anything is no whole number, from one pass over the text. The
+    good cells of such a line count."""
+    values = F.filter(F.split(F.trim("value"), r"\s+"), lambda x: x != "")
+    whole = (F.size(values) > 1) & F.forall(values, lambda x: x.try_cast("int").isNotNull())
+    good, bad = trap.split(lines.select("value"), whole, "layer")
+    rows = good.unionByName(bad.where(F.get(values, F.lit(0)).try_cast("int").isNotNull()))
+    return grid_cells(rows), bad
+
+
 def upsample(cells: DataFrame, pixels: DataFrame, s_res: str, grid: dict) -> DataFrame:
     """A coarser grid at each pixel: the cell of the pixel's centre."""
     at = pixels.withColumn("cell", G.pixel_to_cell(s_res, grid, *PIXEL)).select(*PIXEL, "cell.row", "cell.col")

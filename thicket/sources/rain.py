@@ -6,12 +6,17 @@ from __future__ import annotations
 import gzip
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .. import files
 from ..functions import arrays as A
 from ..functions import geo as G
 from ..functions import periods as P
@@ -41,20 +46,121 @@ def month_date(name: str, month: int) -> str:
     return f"{found[0]}-{month:02d}-01"
 
 
-def read_rain(spark: SparkSession, path: str, step: float = 0.5, nodata: float = -999.0) -> DataFrame:
-    """``date, row, col, val`` of every cell; months without any value are left out. A file is read by one task."""
+SCHEMA = "date string, row int, col int, val double"
 
+
+@dataclass
+class Month(InputPartition):
+    path: str
+    date: str
+    number: int  # of the grid in its file
+
+
+class RainReader(DataSourceReader):
+    """A partition for each file and month from ``first`` to ``last``; other months are never opened."""
+
+    def __init__(self, paths: list[str], first: str, last: str, step: float, nodata: float):
+        self.paths, self.first, self.last, self.step, self.nodata = paths, first, last, step, nodata
+
+    def partitions(self) -> list[Month]:
+        out = [Month(path, month_date(path.rsplit("/", 1)[-1], k + 1), k) for path in self.paths for k in range(12)]
+        return [m for m in out if self.first <= m.date <= self.last] or [Month("", "", 0)]
+
+    def read(self, partition: Month):
+        grid = month_grid(partition.path, partition.number, self.step) if partition.path else None
+        if grid is None or (grid == self.nodata).all():
+            return
+        row, col = np.indices(grid.shape, dtype=np.int32)
+        columns = [pa.array(np.full(grid.size, partition.date)), pa.array(row.ravel()), pa.array(col.ravel()), pa.array(grid.ravel().astype(float))]
+        for batch in pa.Table.from_arrays(columns, names=["date", "row", "col", "val"]).to_batches(max_chunksize=1 << 16):
+            yield batch
+
+
+class RainSource(DataSource):
+    """Rain grids as a Spark data source. ``paths``: files, one a line; ``first``, ``last``: dates; ``step``, ``nodata``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "rain_grids"
+
+    def schema(self) -> str:
+        return SCHEMA
+
+    def reader(self, schema) -> RainReader:
+        return RainReader(self.options["paths"].split("\n"), self.options.get("first", ""), self.options.get("last", "9999"), float(self.options.get("step", 0.5)), float(self.options.get("nodata", -999.0)))
+
+
+def _opened(path: str):
+    system, place = pa_fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+    return system.open_input_file(place)
+
+
+def month_grid(path: str, number: int, step: float = 0.5) -> np.ndarray | None:
+    """A month's rain grid from a file of any file system that Arrow knows; None where the file ends before it.
+
+    A plain file is read from the grid's place on; a gzip file is read through to it, and not kept.
+    """
+    size, (cols, rows) = grid_bytes(step), G.grid_dims(step)
+    with _opened(path) as file:
+        packed = file.read(2) == b"\x1f\x8b"
+        file.seek(0)
+        source = gzip.GzipFile(fileobj=file) if packed else file
+        if packed:
+            for _ in range(2 * number):
+                if len(source.read(size)) < size:
+                    return None
+        else:
+            source.seek(2 * number * size)
+        data = source.read(size)
+    return np.frombuffer(data, dtype="<f4").reshape(rows, cols) if len(data) == size else None
+
+
+def rain_files(spark: SparkSession, path: str) -> list[str]:
+    """The files under a path whose names have a year; all others are left out."""
+    found = [x.rsplit(" ", 2)[0] for x in files.listing(spark, path)]
+    return [x for x in found if re.search(r"\d{4}", x.rsplit("/", 1)[-1])]
+
+
+def read_rain(spark: SparkSession, path: str, step: float = 0.5, nodata: float = -999.0, first: str = "", last: str = "9999") -> DataFrame:
+    """``date, row, col, val`` of every cell; months without any value are left out.
+
+    A task reads a month of a file; only months (first days, YYYY-MM-DD) from ``first`` to ``last`` are opened. Files without a year in their
+    names are none. A file that ends inside a month ends before it. Where Arrow has no file system for the path, Spark
+    reads whole files, each in one task.
+    """
+    if not re.match("(/|file:|hdfs:|s3a?:|gs:|abfss?:)", path):
+        return _read_whole(spark, path, step, nodata).where(F.col("date").between(first, last))
+    spark.dataSource.register(RainSource)
+    found = rain_files(spark, path)
+    if not found:
+        return spark.createDataFrame([], SCHEMA)
+    return spark.read.format("rain_grids").option("paths", "\n".join(found)).option("first", first).option("last", last).option("step", step).option("nodata", nodata).load()
+
+
+def _read_whole(spark: SparkSession, path: str, step: float, nodata: float) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, content in zip(batch["name"], batch["content"], strict=True):
                 for k, grid in enumerate(months(bytes(content), step)):
-                    if (grid == nodata).all():
-                        continue
-                    row, col = np.indices(grid.shape)
-                    yield pd.DataFrame({"date": month_date(name, k + 1), "row": row.ravel().astype(np.int32), "col": col.ravel().astype(np.int32), "val": grid.ravel().astype(float)})
+                    if not (grid == nodata).all():
+                        row, col = np.indices(grid.shape)
+                        yield pd.DataFrame({"date": month_date(name, k + 1), "row": row.ravel().astype(np.int32), "col": col.ravel().astype(np.int32), "val": grid.ravel().astype(float)})
+
+    named = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+    return named.where(F.col("name").rlike(r"\d{4}")).mapInPandas(run, SCHEMA)
+
+
+def bad_files(spark: SparkSession, path: str, step: float = 0.5) -> DataFrame:
+    """``path, reason`` of files that are not rain grids of whole months."""
+    size, found = 2 * grid_bytes(step), [x.rsplit(" ", 2) for x in files.listing(spark, path)]
+    rows = [(p, "no year in the name") for p, _, _ in found if not re.search(r"\d{4}", p.rsplit("/", 1)[-1])]
+    rows += [(p, "not of whole months") for p, n, _ in found if not p.endswith(".gz") and re.search(r"\d{4}", p.rsplit("/", 1)[-1]) and int(n) % size and not _packed(p)]
+    return spark.createDataFrame(rows, "path string, reason string")
+
 
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    return files.mapInPandas(run, "date string, row int, col int, val double")
+def _packed(path: str) -> bool:
+    with _opened(path) as file:
+        return file.read(2) == b"\x1f\x8b"
 
 
 def cell_series(rain: DataFrame, nodata: float = NODATA) -> DataFrame:

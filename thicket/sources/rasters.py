@@ -21,7 +21,7 @@ BANDS = {
 WANTED = ("ndvi", "evi", "qual", "reli")
 
 
-def whole_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def whole_files(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
     """``name, content`` of each file."""
     reader = spark.read.format("binaryFile")
     if pattern:
