@@ -10,6 +10,10 @@ from thicket.schema import RunParams, fire, pixel_value
 from .test_operators import KEYED, PX
 
 
+def test_singular_series_have_no_statistics():
+    assert S.long_stats([0]) is None and S.hansen_stat([0] * 100) is None
+
+
 def test_filters():
     assert S.deseasonalize(3, [1, 2, 3, 4, 3, 2, 1, 2, 3, 4, 3, 2, 1]) == pytest.approx(
         [1.1846153846153844, 1.8846153846153846, 2.8846153846153846, 4.184615384615384, 2.8846153846153846, 1.8846153846153846, 1.1846153846153844]

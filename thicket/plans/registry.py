@@ -9,9 +9,9 @@ from ..functions import arrays as A
 from ..functions import geo as G
 from ..functions import periods as P
 from ..operators import classify, exports, neighbors, pixels, series, trends
-from ..schema import KEYS, RunParams, pixel_value
+from ..schema import KEYS, RunParams, pixel_value, time_series
 from ..session import fresh_path, materialize
-from ..sources import grids, rain, store, tiles
+from ..sources import dims, grids, rain, store, tiles
 from . import virtual as V
 
 QUERIES: dict = {}
@@ -707,6 +707,41 @@ def store_versions(spark, d):
     return store.read(spark, root, "probs", V.RES, "16").select("k", "start_idx", F.col("pedigree").cast("int").alias("version"))
 
 
+@query("SELECT s_suppkey AS k, unnest([700, 701, 702]) AS start_idx FROM supplier")
+def store_copies(spark, d):
+    """A store that takes in another one, consolidated; a version sent twice is there once."""
+    root, other, whole = (fresh_path(spark, "store") for _ in range(3))
+    rows = _k(V.static(spark, d)).select("k")
+    for place, start in ((root, 700), (root, 701), (other, 702), (root, 701)):
+        store.append(rows.withColumn("start_idx", F.lit(start)), place, "probs", V.RES, "16", start, version=str(start))
+    store.absorb(spark, other, root)
+    store.consolidate(spark, root, whole, 2)
+    return store.read(spark, whole, "probs", V.RES, "16").select("k", "start_idx")
+
+
+@query("SELECT n_name AS iso, n_nationkey AS objectid, count(*) AS n FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey < 3 GROUP BY 1, 2")
+def region_files(spark, d):
+    """Pixels of a region by unit, from a map of units and a list of ids in text files."""
+    n, root = V.table(spark, d, "nation"), fresh_path(spark, "regions")
+    header = spark.createDataFrame([("iso,objectid",)], "value string")
+    header.unionByName(n.select(F.concat_ws(",", "n_name", "n_nationkey", F.lit("x")).alias("value"))).write.text(f"{root}/units")
+    n.where("n_regionkey < 3").select(F.concat(F.lit(" "), F.col("n_nationkey").cast("string")).alias("value")).write.text(f"{root}/ids")
+    inside = dims.in_region(V.static(spark, d), dims.read_ids(spark, f"{root}/ids"))
+    units = dims.read_admin_map(spark, f"{root}/units")
+    return inside.join(units, F.col("ecoid") == F.col("objectid")).groupBy("iso", "objectid").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {V.DENSE}, s AS (SELECT k, CAST(min(period) AS INTEGER) AS start_idx, CAST(max(period) AS INTEGER) AS end_idx, count(*) AS n FROM dense GROUP BY k) SELECT k, start_idx, end_idx, n, '500' AS s_res, '16' AS t_res, true AS forward, start_idx = end_idx AS backward FROM s")
+def series_records(spark, d):
+    """Series with their first and last period, and whether these stand in order; resolutions by product."""
+    s = _k(V.ndvi(spark, d)).select("k", time_series(F.col("start_idx"), F.col("ndvi")).alias("s"))
+    dates = [P.period_start(F.col(f"s.{c}_idx"), "16") for c in ("start", "end")]
+    return s.select(
+        "k", "s.start_idx", "s.end_idx", F.size("s.series").cast("long").alias("n"), F.lit(G.spatial_res("MOD13A1")).alias("s_res"), F.lit(G.temporal_res("MOD13A1")).alias("t_res"),
+        P.sorted_dates(F.array(*dates)).alias("forward"), P.sorted_dates(F.array(*dates[::-1])).alias("backward"),
+    )
+
+
 @query(f"WITH {_FIRES} SELECT CAST(date AS VARCHAR) AS date, k % 18 AS band, count(*) AS n, CAST(sum(conf >= 50) AS BIGINT) AS sure FROM fires GROUP BY 1, 2")
 def old_fire_files(spark, d):
     """Fires from monthly and daily text, a half each, parsed and counted."""
