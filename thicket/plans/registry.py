@@ -437,7 +437,7 @@ mom AS (SELECT {by}, n, {sums} FROM run GROUP BY {by}, n),
 stable AS (SELECT {by}, n, CASE WHEN {det} > 0 THEN ({top}) / (({det}) * n) END AS hansen FROM mom)"""
 
 
-_FIRST, _LAST_P = P.period_of("1996-01-01", "16"), P.period_of("1998-01-01", "16")
+_FIRST, _LAST_P = P.period_of("1999-01-01", "16"), P.period_of("2000-01-01", "16")
 _PREFIXES = f"""{V.DENSE}, g AS (SELECT k, lo, period - lo + 1 AS t, CAST(last_value(qty IGNORE NULLS) OVER w AS DOUBLE) AS y, CAST(coalesce(last_value(rain IGNORE NULLS) OVER w, 0) AS DOUBLE) AS r FROM dense WINDOW w AS (PARTITION BY k ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 ends AS (SELECT k, min(lo) AS lo, max(t) AS size, unnest(range({_FIRST}, {_LAST_P} + 1)) AS period FROM g GROUP BY k HAVING min(lo) <= {_FIRST - 39}),
 long AS (SELECT e.k, e.period, e.lo, unnest(range(1, e.period - e.lo + 2)) AS t, e.size FROM ends e),
@@ -453,10 +453,10 @@ sh AS (SELECT kp, min(m) AS short FROM sm WHERE t >= 39 GROUP BY kp),
 
 @query(f"WITH {_PREFIXES} SELECT kp // 10000 AS k, CAST(kp % 10000 AS INTEGER) AS period, round(short, 5) AS short, round(bt, 5) AS long, round(t_stat, 4) AS t_stat, round(hansen, 5) AS break FROM lon JOIN sh USING (kp) JOIN stable USING (kp)")
 def trend_series(spark, d):
-    """Statistics of all prefixes that end in two years, a row a prefix, of series long enough for all of them."""
+    """Statistics of all prefixes that end in a year, a row a prefix, of series long enough for all of them."""
     s = V.ndvi(spark, d).withColumn("precl", A.fill_forward("precl", -9999.0, 0.0))
     s = s.where(F.col("start_idx") <= _FIRST - 39)
-    out = _k(trends.analyze_trends(s, RunParams(est_start="1996-01-01", est_end="1998-01-01")))
+    out = _k(trends.analyze_trends(s, RunParams(est_start="1999-01-01", est_end="2000-01-01")))
     z = F.posexplode(F.arrays_zip("short", F.col("long"), "t_stat", F.col("break"))).alias("at", "z")
     rows = out.select("k", "start_idx", z)
     digits = {"short": 5, "long": 5, "t_stat": 4, "break": 5}
