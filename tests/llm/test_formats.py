@@ -257,6 +257,20 @@ def test_mixing_against_brute_force(spark):
     assert {r.doc: by.get(r.doc_row, 0) for r in mixed.documents.collect()} == {k: r.taken for k, r in got.items()}
 
 
+def test_small_sources_meet_their_targets(spark):
+    """Forty sources of about 200 words, and one of 30 000."""
+    rng = np.random.default_rng(3)
+    rows = [(100 * k + i, " ".join(["w"] * int(n)), f"s{k:02}") for k in range(40) for i, n in enumerate(rng.integers(1, 80, 5))]
+    rows += [(9000 + i, "x " * 300, "t") for i in range(100)]
+    out = mixing.taken_words(mixing.mix(documents(spark, rows))).collect()
+    taken, aims = defaultdict(int), {}
+    for r in out:
+        taken[r.source_no] += r.taken
+        aims[r.source_no] = r.target
+        assert r.taken <= 3 * r.size
+    assert len(aims) == 41 and all(abs(taken[k] - a) <= 0.05 * a for k, a in aims.items())
+
+
 def test_mixing_odd_rows(spark):
     df, rows = odd(spark)
     out = mixing.taken_words(mixing.mix(df)).collect()

@@ -173,6 +173,7 @@ def fingerprints_with_next(df: DataFrame, key: str = "doc_id", text: str = "text
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
+    """Signatures of every text of ``documents`` and of its edited text, and how alike they and the next document's are."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = fingerprints_with_next(docs)
     return out.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("signature")).alias("fingerprint"), as_text(F.col("edited_signature")).alias("edited_fingerprint"), "near_edited", "near_next")

@@ -1,6 +1,7 @@
 """Mixing sources to target weights, in fixed-length blocks of words.
 
-The documents of a source, in a pseudorandom order, form one stream of words that is cut into blocks. Every
+The documents of a source, in a pseudorandom order, form one stream of words that is cut into blocks: of one length for
+all sources that fill 64 of them, and shorter ones, 64 or so, where a source is small, as a target is met to a block. Every
 output shard draws multinomial counts of blocks by source, weighted by what the sources owe to their
 targets: what the sources owe to a range of shards is drawn for its first half, the rest falls to the second,
 down to a single shard. A draw is seeded by its range, so the task that makes a shard's slots finds the shard's counts
@@ -146,13 +147,15 @@ def mix(
     weights: tuple[float, ...] = (1.0, 2.0, 3.0),
     most: float = 3.0,
     block_words: int = 128,
+    least_blocks: int = 64,
     shard_blocks: int = 4096,
     rows_each: int = 4096,
     seed: int = 20240229,
 ) -> Mix:
     """Mixes all rows of ``df``; the total is 100 % of all words.
 
-    Sources in order of code points, null last, get ``weights`` in turn. Every block of a source is used as
+    Sources in order of code points, null last, get ``weights`` in turn. A block is of ``block_words``, or of fewer in a source
+    that would not fill ``least_blocks`` of them, so that it is no more than about a sixty-fourth of its source. Every block of a source is used as
     often as any other or once more, so no document is taken more than ``most`` times. A null text has no
     words; a source without words has target 0; rows that repeat are documents of their own; an empty table gives empty
     results. One row a source comes to the driver and goes to the tasks (a mix names its sources); the counts by shard
@@ -168,11 +171,12 @@ def mix(
     sizes = [int(r["size"]) for r in found]
     total = sum(sizes)
     aims = targets(sizes, [weights[k % len(weights)] for k in range(len(found))], float(total), most)
-    blocks = np.array([max(1, -(-s // block_words)) for s in sizes] or [1], dtype=np.int64)
+    lengths = [min(block_words, max(1, s // least_blocks)) for s in sizes]
+    blocks = np.array([max(1, -(-s // n)) for s, n in zip(sizes, lengths, strict=True)] or [1], dtype=np.int64)
     owed = np.array([min(round(a * b / s), int(most * b)) if s else 0 for a, b, s in zip(aims, blocks.tolist(), sizes, strict=False)], dtype=np.int64)
     names = spark.createDataFrame(
-        [(r["source"], k, sizes[k], aims[k], max(1, -(-r["n"] // rows_each))) for k, r in enumerate(found)],
-        "source_name string, source_no int, source_size long, target double, buckets int",
+        [(r["source"], k, sizes[k], aims[k], max(1, -(-r["n"] // rows_each)), lengths[k]) for k, r in enumerate(found)],
+        "source_name string, source_no int, source_size long, target double, buckets int, block_words int",
     )
     docs = sized.join(names, F.col("source").eqNullSafe(F.col("source_name"))).drop("source_name", "source")
     docs = docs.withColumn("h", F.xxhash64("doc", "h2", F.lit(seed)))
@@ -184,10 +188,11 @@ def mix(
     placed = docs.withColumns({"within": F.coalesce(F.sum("words").over(inside), F.lit(0)), "turn": F.count(F.lit(1)).over(inside)})
     placed = placed.join(offsets, ["source_no", "bucket"]).select("*", F.explode(F.sequence(F.lit(1).cast("long"), "alike")).alias("copy"))
     placed = placed.withColumns({"at": F.col("first") + F.col("within") + (F.col("copy") - 1) * F.col("size"), "doc_row": F.concat_ws("-", "source_no", "bucket", "turn", "copy")})
-    documents = materialize(placed.select("doc_row", "doc", "h2", "copy", "size", "source_no", "source_size", "target", "at"), "mix-documents")
-    first, last = F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1) / block_words)
-    pieces = documents.where("size > 0").select("doc_row", "source_no", "at", "size", F.explode(F.sequence(first, last)).alias("block"))
-    low, high = F.greatest("at", F.col("block") * block_words), F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block_words)
+    documents = materialize(placed.select("doc_row", "doc", "h2", "copy", "size", "source_no", "source_size", "target", "block_words", "at"), "mix-documents")
+    length = F.col("block_words")
+    first, last = F.floor(F.col("at") / length), F.floor((F.col("at") + F.col("size") - 1) / length)
+    pieces = documents.where("size > 0").select("doc_row", "source_no", "at", "size", "block_words", F.explode(F.sequence(first, last)).alias("block"))
+    low, high = F.greatest("at", F.col("block") * length), F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * length)
     pieces = pieces.select("source_no", "block", "doc_row", (low - F.col("at")).alias("start"), (high - low).alias("words"))
     n_shards = ShardCounts(owed, shard_blocks, seed).shards
     slots = spark.range(0, n_shards, 1, max(1, min(spark.sparkContext.defaultParallelism * 4, n_shards // 5 + 1))).mapInPandas(_slots(owed, blocks, shard_blocks, seed), "source_no int, block long, epoch int, shard long")

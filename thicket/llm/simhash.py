@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize
+from .common import materialize
 
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 SEED = 42
@@ -249,15 +249,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     return docs.join(nodes, "fp").select("key", "fp", "component")
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``df`` with the row of the smallest key of each near-duplicate component; rows with a null key stay, and of
-    rows that repeat a kept key all stay."""
-    kept, name = near_duplicates(df, key, text, **options), free_name(df, "kept_key")
-    kept = kept.where("key = component").select(F.col("key").alias(name)).distinct()
-    return df.where(F.col(key).isNull()).unionByName(df.join(kept, F.col(key) == F.col(name), "left_semi"))
-
-
 def op9(spark, sf_dir: str) -> DataFrame:
+    """Fingerprints of all ``documents`` and the components that links of at most 3 bits make of them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = near_duplicates(docs)
     return out.select(F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
