@@ -148,3 +148,21 @@ def test_a_shared_passage_makes_no_family(spark, monkeypatch, known):
     assert sorted(map(sorted, (x for x in alike_.values() if len(x) > 1))) == [[k, k + 1] for k in range(0, len(texts), 101)]
     families = simhash.components(sizes[0]).groupBy("root").count().agg(F.max("count")).first()[0]
     assert families <= 4 and pairs[0].count() <= count // 10
+
+
+def test_joined_families_grow_with_the_texts(spark, monkeypatch):
+    """Copies with an edit each, without families at first: nearly every two are a pair, and what joins them is linear."""
+    rng = np.random.default_rng(12)
+    base, texts = [f"w{k}" for k in range(60)], []
+    for k in range(400):
+        copy = list(base)
+        copy[int(rng.integers(60))] = f"edit{k}"
+        texts.append(" ".join(copy))
+    monkeypatch.setattr(shingles, "_star_pairs", lambda nodes: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false"))
+    joined, others = [], shingles._other_pairs
+    monkeypatch.setattr(shingles, "_other_pairs", lambda *a: (lambda found: joined.append(found) or found)(others(*a)))
+    df = documents(spark, [(k, t, "s") for k, t in enumerate(texts)])
+    placed = shingles.near_copies(df).groupBy("root").agg(F.min("key").alias("k"))
+    assert sorted(r.k for r in placed.collect()) == sorted(set(brute_roots(texts).tolist()))
+    longest = 56 - -(-4 * 56 // 5) + 1  # shingles of a prefix, each a group that a text is in
+    assert joined[0].count() <= longest * len(texts)
