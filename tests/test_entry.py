@@ -38,6 +38,22 @@ def test_queries_match_their_sql(spark):
         assert sorted(tuple(plain(r[c]) for c in sorted(names)) for r in df.collect()) == want, name
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+@pytest.mark.parametrize("name", ["pixel_positions"])
+def test_suppliers_beyond_their_tile(spark, tmp_path, name):
+    """Queries on suppliers whose numbers go beyond the 2400 lines of their tile."""
+    import duckdb
+
+    con, path = duckdb.connect(), f"{tmp_path}/supplier.parquet"
+    con.sql(f"copy (select s_suppkey + shift as s_suppkey, * exclude s_suppkey from read_parquet('{SF}/supplier.parquet'), (values (0), (23950), (59900)) t(shift)) to '{path}'")
+    con.sql(f"create view supplier as select * from read_parquet('{path}')")
+    out, df = con.execute(entry.oracle_sql()[name]), entry.queries()[name](spark, str(tmp_path))
+    names = [c[0] for c in out.description]
+    want = sorted(tuple(plain(r[names.index(c)]) for c in sorted(names)) for r in out.fetchall())
+    assert len(want) == 3 * spark.read.parquet(f"{SF}/supplier.parquet").count()
+    assert sorted(names) == sorted(df.columns) and sorted(tuple(plain(r[c]) for c in sorted(names)) for r in df.collect()) == want
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_entry(spark):
     assert entry.entry(spark).columns == ["iso", "cdm_period", "date", "count"]

@@ -95,6 +95,15 @@ def test_grid_index(spark):
     assert one(spark, G.global_index("500", F.lit(19200), F.lit(67200)), G.window_index(10, 10, 5, 5, F.lit(12), F.lit(11)), G.window_index(10, 10, 5, 5, F.lit(9), F.lit(11))) == [1658947200, 11, None]
 
 
+def test_pixel_from_tile(spark):
+    """A pixel keeps the numbers it has in its own tile; one below and left of a tile is numbered on from its corner."""
+    there = G.latlon_to_pixel("500", F.lit(-0.002083), F.lit(100.002083))
+    own, above = one(spark, there, G.pixel_from_tile("500", F.lit(28), F.lit(8), there))
+    assert tuple(own) == (28, 9, 0, 0) and tuple(above) == (28, 8, 0, 2400)
+    assert tuple(one(spark, G.pixel_from_tile("500", F.lit(28), F.lit(9), there))) == tuple(own)
+    assert tuple(one(spark, G.pixel_from_tile("500", F.lit(29), F.lit(10), there))) == (29, 10, -2400, -2400)
+
+
 def test_logistic():
     assert S.logistic_fit([1, 0], [[1, 2], [4, 5]], 1e-8, 1e-6, 250) == pytest.approx([-49.06118492894668, 34.891861487354284], rel=1e-6)
     assert S.logistic_fit([1, 0], [[1, 2], [4, 5]], 1e-8, 1e-6, 250, accumulate=False)[0] == pytest.approx(-53.81, abs=0.01)

@@ -255,6 +255,16 @@ def pixel_of_rowcol(res: str, row, col) -> Column:
     )
 
 
+def pixel_from_tile(res: str, h, v, pixel) -> Column:
+    """A pixel as tile ``h, v`` numbers it: sample and line count from that tile's corner, beyond its sides for pixels of
+    other tiles."""
+    n, p = pixels_at(res), _c(pixel)
+    return F.struct(
+        _c(h).cast("int").alias("h"), _c(v).cast("int").alias("v"),
+        (p["sample"] + (p["h"] - _c(h)) * n).cast("int").alias("sample"), (p["line"] + (p["v"] - _c(v)) * n).cast("int").alias("line"),
+    )
+
+
 def window_rowcol(top: int, left: int, height: int, width: int, row, col) -> Column:
     """Row and column inside a window of the world; null outside it."""
     r, c = _c(row) - top, _c(col) - left
