@@ -67,6 +67,24 @@ def test_prefix_and_similarity():
     assert shingles.prefix(np.arange(10), np.array([0, 1])).tolist() == [2, 3, 4]
 
 
+def test_common_shingles_are_counted_over_all_texts(spark):
+    """A passage in 300 of 12 000 texts is common however they are dealt, though none of every second text, by hash, has it."""
+    texts = spark.range(12_000).select(F.concat(F.lit("x"), F.col("id").cast("string")).alias("own"), "id")
+    texts = texts.select("id", F.concat_ws(" ", *[F.concat("own", F.lit(f"_{k}")) for k in range(8)]).alias("text"), F.concat_ws(" ", "own", F.lit("a passage that very many of them have")).alias("other"))
+    having = texts.where(F.pmod(F.xxhash64("other"), F.lit(2)) == 1).limit(300).select("id", "other")
+    df = texts.select("id", "text").join(having, "id", "left").select(F.col("id").alias("doc_id"), F.coalesce("other", "text").alias("text"))
+    shared = shingles.shingle_set(b"a passage that very many of them have")
+    for parts in (1, 9):
+        dealt = df.repartition(parts, "doc_id").cache()
+        assert dealt.where(F.col("text").contains("passage")).count() == 300
+        sign = shingles._signature(shingles._common(dealt, "text"))
+        rows = dealt.select(F.col("text").contains("passage").alias("has"), sign(F.col("text").cast("binary")).alias("sig")).select("has", "sig.prefix").collect()
+        assert sum(r.has for r in rows) == 300
+        mine = [r.prefix for r in rows if r.has]
+        assert all(x[0] not in shared for x in mine)
+        dealt.unpersist()
+
+
 @pytest.mark.parametrize(("most", "block", "families"), [(7, 1 << 19, False), (32768, 300, True), (32768, 1 << 19, True)])
 def test_either_step(spark, monkeypatch, most, block, families):
     """Pairs of candidates without families, and families, in blocks and whole, find what brute force does."""

@@ -5,8 +5,9 @@ is the same for all sets. So fingerprints are compared only among documents that
 sizes allow the similarity. The comparison is that of ``simhash``: bit planes, carry-save counters, blocks abandoned
 beyond ``RADIUS``. That radius is wide: at similarity 4/5 a bit differs with a chance of about 0.15 (0.19 in the
 smallest sets), so that more than 28 of 64 do so in fewer than one pair of a million. What is within the
-radius is a link if the whole sets are similar. The order puts shingles last that are common in a sample, which keeps
-sets of candidates small; the sample changes the time, never the result.
+radius is a link if the whole sets are similar. The order puts shingles last that are of common classes, which keeps sets of
+candidates small. Shingles fall into classes by their hashes, and all of all texts are counted by class; what is common
+changes the time, never the result.
 
 Texts that share a passage and little else lie within that radius often enough. So a sketch goes with every set, the least
 shingle of each of some equal ranges of hashes: two sets agree in as many of them as their similarity says, give or take
@@ -36,7 +37,8 @@ from .simhash import SEED, close_pairs, components, hook, set_fingerprint
 
 WORDS = 5
 RADIUS = 28
-SAMPLE, COMMON, MOST_COMMON = 5_000, 5, 1 << 18
+COMMON, SHARE = 5, 1_000  # a common class has so many more shingles than the median one, and one more for each so many texts
+CLASSES, SPAN = 1 << 20, 1 << 12  # classes of shingles, and those whose counts travel together
 FIRST = 4  # shingles of a document by which it finds its family: the least hashes, common or not
 MOST = 32_768  # rows of a set of candidates that one task compares; larger sets are compared in blocks
 BLOCK, LARGEST = 1 << 19, 1 << 22  # shingles of a family's documents in a block: of a small family, and of any
@@ -53,12 +55,18 @@ def shingle_set(text: bytes | None, words: int = WORDS) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype=np.uint64).view(np.int64))
 
 
-def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The shingles of which any set of similarity 4/5 or more has one, rare ones first; ``common`` is sorted."""
+def class_of(shingles: np.ndarray) -> np.ndarray:
+    return shingles & (CLASSES - 1)
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, classes: np.ndarray | None = None) -> np.ndarray:
+    """The shingles of which any set of similarity 4/5 or more has one, rare ones first; ``common``, sorted, are classes where
+    those of the shingles are given, else shingles."""
     n = len(shingles)
     if len(common):
-        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-        shingles = shingles[np.argsort(common[at] == shingles, kind="stable")]
+        names = shingles if classes is None else classes
+        at = np.minimum(np.searchsorted(common, names), len(common) - 1)
+        shingles = shingles[np.argsort(common[at] == names, kind="stable")]
     return shingles[: n - (4 * n + 4) // 5 + 1] if n else shingles
 
 
@@ -101,18 +109,34 @@ def _tied(a: str, b: str) -> Column:
 
 
 def _common(df: DataFrame, text: str) -> np.ndarray:
-    """Sorted shingles that at least ``COMMON`` of about ``SAMPLE`` different texts have, ``MOST_COMMON`` of them at most."""
+    """Sorted classes of common shingles, from counts of all shingles of all texts, copies too.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A task counts into one array and sends it by spans, so what travels does not depend on how many different shingles there
+    are. Long texts fill all classes alike, so a class counts by what it has beyond the median of its span.
+    """
+    least = max(COMMON, df.count() // SHARE)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(CLASSES, dtype=np.int64)
+        for batch in batches:
+            for t in batch["text"]:
+                np.add.at(counts, class_of(shingle_set(None if t is None else bytes(t))), 1)
+        spans = counts.reshape(-1, SPAN)
+        some = np.flatnonzero(spans.any(axis=1))
+        yield pd.DataFrame({"span": some, "counts": [(x.astype(np.uint8) if x.max() < 256 else x).tobytes() for x in spans[some]]})
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            found = [shingle_set(None if t is None else bytes(t)) for t in batch["text"]]
-            yield pd.DataFrame({"shingle": np.concatenate([np.zeros(0, dtype=np.int64), *found])})
+            for span, counts in zip(batch["span"], batch["counts"], strict=True):
+                held = sums.setdefault(span, np.zeros(SPAN, dtype=np.int64))
+                held += np.frombuffer(counts, dtype=np.uint8 if len(counts) == SPAN else np.int64)
+        for span, counts in sums.items():
+            yield pd.DataFrame({"class": span * SPAN + np.flatnonzero(counts >= np.median(counts) + least)})
 
-    n, h = df.count(), F.xxhash64(text)
-    texts = df.where(F.pmod(h, F.lit(max(1, n // SAMPLE))) == 0).groupBy(h.alias("h")).agg(F.first(F.col(text).cast("binary")).alias("text"))
-    counts = texts.select("text").mapInPandas(run, "shingle long").groupBy("shingle").count().where(F.col("count") >= COMMON)
-    rows = counts.orderBy(F.desc("count"), "shingle").limit(MOST_COMMON).select("shingle").toPandas()
-    return np.sort(rows["shingle"].to_numpy(dtype=np.int64))
+    parts = df.select(F.col(text).cast("binary").alias("text")).mapInPandas(counted, "span long, counts binary")
+    rows = parts.repartition("span").mapInPandas(summed, "class long").toPandas()
+    return np.sort(rows["class"].to_numpy(dtype=np.int64))
 
 
 def _signature(common: np.ndarray):
@@ -126,7 +150,7 @@ def _signature(common: np.ndarray):
             fps.append(set_fingerprint(s))
             sketches.append(sketch(s).tobytes())
             heads.append(s[:FIRST])
-            prefixes.append(prefix(s, common))
+            prefixes.append(prefix(s, common, class_of(s)))
         return pd.DataFrame({"node": np.array(nodes, dtype=np.uint64).view(np.int64), "n": np.array(sizes, dtype=np.int32), "fp": np.array(fps, dtype=np.int64), "sketch": sketches, "heads": heads, "prefix": prefixes})
 
     return run
